@@ -122,7 +122,7 @@ def _(spark, sf):
 
 @query("f1_dedup_first", "SELECT event_id, session_id, event_type, _ingested_at, _source_file FROM unique_events")
 def _(spark, sf):
-    return dedup.dedup_first(valid_events(spark, sf), "event_id", "_ingested_at").select(
+    return silver.unique(valid_events(spark, sf)).select(
         "event_id", "session_id", "event_type", "_ingested_at", "_source_file"
     )
 

@@ -19,12 +19,18 @@ def _names(cols: str | Sequence[str]) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def _sortable(df: DataFrame, but: set[str]) -> list[Column]:
-    """Remaining columns as tie-breakers: compared only when the order columns tie."""
+def _ties(df: DataFrame, used: set[str], ties: Sequence[str] | None) -> list[Column]:
+    """Columns compared when the order columns tie, so that repeated runs keep the same row.
+
+    ``None`` takes every other column that can be ordered. A caller that names a few leaves the
+    rest free for column pruning.
+    """
+    if ties is not None:
+        return [F.col(f"`{c}`").asc_nulls_last() for c in ties if c not in used]
     return [
         F.col(f"`{f.name}`").asc_nulls_last()
         for f in df.schema.fields
-        if f.name not in but and f.dataType.typeName() not in ("map", "variant")
+        if f.name not in used and f.dataType.typeName() not in ("map", "variant")
     ]
 
 
@@ -33,17 +39,17 @@ def first_by(df: DataFrame, key: str | Sequence[str], order: Sequence[Column], t
     return df.withColumn("_rank", F.row_number().over(best)).filter("_rank = 1").drop("_rank")
 
 
-def dedup_first(df: DataFrame, key: str | Sequence[str], order: str) -> DataFrame:
+def dedup_first(df: DataFrame, key: str | Sequence[str], order: str, ties: Sequence[str] | None = None) -> DataFrame:
     """First write wins: earliest ``order``, nulls last."""
-    ties = _sortable(df, {order, *_names(key)})
-    return first_by(df, key, [F.col(order).asc_nulls_last()], ties)
+    return first_by(df, key, [F.col(order).asc_nulls_last()], _ties(df, {order, *_names(key)}, ties))
 
 
-def dedup_latest(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str]) -> DataFrame:
+def dedup_latest(
+    df: DataFrame, key: str | Sequence[str], order: str | Sequence[str], ties: Sequence[str] | None = None
+) -> DataFrame:
     """Latest version wins: greatest ``order``, nulls last."""
     keys, orders = _names(key), _names(order)
-    ties = _sortable(df, {*orders, *keys})
-    return first_by(df, keys, [F.col(o).desc_nulls_last() for o in orders], ties)
+    return first_by(df, keys, [F.col(o).desc_nulls_last() for o in orders], _ties(df, {*orders, *keys}, ties))
 
 
 def dedup_any(df: DataFrame, key: str | Sequence[str]) -> DataFrame:

@@ -35,7 +35,7 @@ def session_starts(events: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Last-touch session attributes: the latest ``session_start`` of each session."""
     starts = events.filter((F.col("event_type") == "session_start") & F.col("session_id").isNotNull())
     slim = starts.select("session_id", "event_ts", "event_id", *columns)
-    return dedup_latest(slim, "session_id", ["event_ts", "event_id"]).drop("event_ts", "event_id")
+    return dedup_latest(slim, "session_id", ["event_ts", "event_id"], ties=()).drop("event_ts", "event_id")
 
 
 def attribute_orders(orders: DataFrame, events: DataFrame) -> DataFrame:

@@ -18,6 +18,10 @@ def stateless(df: DataFrame, as_of: str | None = None) -> DataFrame:
     )
 
 
+def unique(valid: DataFrame) -> DataFrame:
+    return dedup.dedup_first(valid, "event_id", "_ingested_at", ties=("event_ts", "event_type", "_source_file"))
+
+
 def enrich(df: DataFrame, date: str, as_of: str | None = None) -> DataFrame:
     """Row-local part after deduplication."""
     return (
@@ -30,8 +34,7 @@ def enrich(df: DataFrame, date: str, as_of: str | None = None) -> DataFrame:
 
 def silver_events(df: DataFrame, date: str, as_of: str | None = None) -> DataFrame:
     """Bronze events to Silver: clean, validate, first write per ``event_id``, enrich."""
-    valid = stateless(df, as_of)
-    return enrich(dedup.dedup_first(valid, "event_id", "_ingested_at"), date, as_of)
+    return enrich(unique(stateless(df, as_of)), date, as_of)
 
 
 def silver_events_lite(df: DataFrame, date: str, as_of: str | None = None) -> DataFrame:
