@@ -294,12 +294,13 @@ def _(spark, sf):
 
 @query(
     "f3_scd2",
-    f"""SELECT account_id, v, system_modstamp AS valid_from, lead(system_modstamp) OVER (PARTITION BY account_id ORDER BY system_modstamp) AS valid_to,
-      lead(system_modstamp) OVER (PARTITION BY account_id ORDER BY system_modstamp) IS NULL AS is_current
-    FROM raw_accounts WHERE account_id IS NOT NULL""",
+    f"""SELECT account_id, v, {ts('m')} AS valid_from, {ts('lead(m) OVER (PARTITION BY account_id ORDER BY m)')} AS valid_to,
+      lead(m) OVER (PARTITION BY account_id ORDER BY m) IS NULL AS is_current
+    FROM (SELECT *, CAST(system_modstamp AS TIMESTAMP) AS m FROM raw_accounts WHERE account_id IS NOT NULL)""",
 )
 def _(spark, sf):
-    return history.scd2_intervals(account_versions(spark, sf), "account_id", "system_modstamp").select(
+    timed = staging.cast_columns(account_versions(spark, sf), {"system_modstamp": "timestamp"})
+    return history.scd2_intervals(timed, "account_id", "system_modstamp").select(
         "account_id", "v", "valid_from", "valid_to", "is_current"
     )
 
@@ -307,7 +308,7 @@ def _(spark, sf):
 @query(
     "f4_order_rank",
     """SELECT order_id, user_id, rk AS order_rank, rk = 1 AS is_first_order FROM (
-      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY order_date, order_id) AS rk FROM order_heads)""",
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY order_date, md5(order_id)) AS rk FROM order_heads)""",
 )
 def _(spark, sf):
     ranked = history.order_rank(views.order_heads(spark, sf), "user_id")

@@ -376,7 +376,7 @@ SELECT md5(order_id) AS order_sk, order_id, customer_sk, CAST(strftime(order_dat
   CAST(round(CAST(gross_revenue_eur AS DECIMAL(18,2)) * CAST(0.2 AS DECIMAL(5,4)), 2) AS DOUBLE) AS tax_eur,
   rk = 1 AS is_first_order, rk AS order_rank
 FROM (SELECT o.*, c.customer_sk, c.country_code, c.customer_segment, c.acquisition_channel,
-    row_number() OVER (PARTITION BY o.user_id ORDER BY o.order_date, o.order_id) AS rk
+    row_number() OVER (PARTITION BY o.user_id ORDER BY o.order_date, md5(o.order_id)) AS rk
   FROM order_heads o JOIN dim_customers_now c ON o.user_id = c.user_id)
 """
 

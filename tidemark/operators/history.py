@@ -1,77 +1,79 @@
 """Order within a key: next value, previous value, rank.
 
 A plain ``lead`` or ``row_number`` window puts all rows of one key into one task. Here
-the window runs per key and day, and only one summary row per key and day goes into a
-second window per key. That second group is bounded by the number of days, so a key
-that holds a third of all rows is spread over all its days. The wide rows are shuffled
-once: the window and the join below share the partitioning on key and day.
+the first window runs per key and slot of time. What is left to settle crosses a slot
+boundary and concerns few rows per slot, so the second group of a key is bounded by its
+number of slots, and a key with a third of all rows is spread over its slots.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window, WindowSpec
-
-_DAY = "_day"
+from pyspark.sql.window import Window
 
+# Rows without a time sort first, as nulls do in an ascending window.
+_BEFORE_ALL = "0001-01-01"
 
-def _with_day(df: DataFrame, ts: str) -> DataFrame:
-    # Rows without a time sort first, as nulls do in an ascending window.
-    return df.withColumn(_DAY, F.coalesce(F.to_date(ts), F.lit("0001-01-01").cast("date")))
 
+def _hour(ts: str) -> Column:
+    return F.coalesce(F.date_trunc("hour", ts), F.lit(_BEFORE_ALL).cast("timestamp"))
 
-def _near(key: str, order: Sequence[Column]) -> WindowSpec:
-    return Window.partitionBy(key, _DAY).orderBy(*order)
 
+def _neighbour(df: DataFrame, key: str, ts: str, value: str, out: str, forward: bool) -> DataFrame:
+    """Add ``value`` of the next or previous row of the key by ``ts``, a date or time column.
 
-def _far(key: str) -> WindowSpec:
-    return Window.partitionBy(key).orderBy(_DAY)
+    Two windows in a row and no join, so the input is computed once.
+    """
+    step, back = (F.lead, F.lag) if forward else (F.lag, F.lead)
+    in_slot = Window.partitionBy(key, "_slot").orderBy(ts)
+    marked = df.withColumn("_slot", _hour(ts)).withColumns(
+        {
+            "_near": step(value).over(in_slot),
+            "_nth": F.row_number().over(in_slot),
+            "_leaves": step(F.lit(1)).over(in_slot).isNull(),
+            "_enters": back(F.lit(1)).over(in_slot).isNull(),
+        }
+    )
+    # First and last rows of the slots of a key meet in one group; inner rows stay apart by slot.
+    grouped = marked.withColumn("_inner", F.when(~F.col("_leaves") & ~F.col("_enters"), F.col("_slot")))
+    across = Window.partitionBy(key, "_inner").orderBy("_slot", "_nth")
+    found = F.when(F.col("_leaves"), step(value).over(across)).otherwise(F.col("_near"))
+    return grouped.withColumn(out, found).drop("_slot", "_near", "_nth", "_leaves", "_enters", "_inner")
 
 
 def with_next(df: DataFrame, key: str, ts: str, out: str) -> DataFrame:
-    """Add the next greater-or-equal ``ts`` of the same key, null on the last row."""
-    dated = _with_day(df, ts)
-    starts = dated.groupBy(key, _DAY).agg(F.min(ts).alias("_start"))
-    after = starts.select(key, _DAY, F.lead("_start").over(_far(key)).alias("_after"))
-    near = dated.withColumn(out, F.lead(ts).over(_near(key, [F.col(ts)])))
-    joined = near.join(after, [key, _DAY], "left")
-    return joined.withColumn(out, F.coalesce(out, "_after")).drop(_DAY, "_after")
+    """Add the ``ts`` of the next row of the same key, null on the last row."""
+    return _neighbour(df, key, ts, ts, out, forward=True)
 
 
 def with_previous(df: DataFrame, key: str, ts: str, value: str, out: str) -> DataFrame:
-    """Add ``value`` of the previous row of the same key by ``ts`` (unique per key), null on the first row."""
-    dated = _with_day(df, ts)
-    ends = dated.groupBy(key, _DAY).agg(F.coalesce(F.max_by(value, ts), F.max(value)).alias("_end"))
-    before = ends.select(key, _DAY, F.lag("_end").over(_far(key)).alias("_before"))
-    order = [F.col(ts)]
-    near = dated.withColumns(
-        {out: F.lag(value).over(_near(key, order)), "_nth": F.row_number().over(_near(key, order))}
-    )
-    joined = near.join(before, [key, _DAY], "left")
-    return joined.withColumn(out, F.when(F.col("_nth") == 1, F.col("_before")).otherwise(F.col(out))).drop(
-        _DAY, "_before", "_nth"
-    )
-
-
-def with_rank(df: DataFrame, key: str, ts: str, ties: Sequence[str], out: str) -> DataFrame:
-    """Add the row number within the key by ``ts`` then ``ties``: rank in the day plus rows of earlier days."""
-    dated = _with_day(df, ts)
-    daily = dated.groupBy(key, _DAY).agg(F.count("*").alias("_n"))
-    earlier = daily.select(
-        key,
-        _DAY,
-        F.coalesce(
-            F.sum("_n").over(_far(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_earlier"),
-    )
-    order = [F.col(ts), *[F.col(t) for t in ties]]
-    near = dated.withColumn("_in_day", F.row_number().over(_near(key, order)))
-    joined = near.join(earlier, [key, _DAY], "left")
-    rank = (F.col("_in_day") + F.coalesce("_earlier", F.lit(0))).cast("bigint")
-    return joined.withColumn(out, rank).drop(_DAY, "_in_day", "_earlier")
+    """Add ``value`` of the previous row of the same key, null on the first row."""
+    return _neighbour(df, key, ts, value, out, forward=False)
+
+
+def with_rank(df: DataFrame, key: str, ts: str, row_id: str, out: str) -> DataFrame:
+    """Add the row number within the key by ``ts``; rows of equal ``ts`` are ordered by the MD5 of ``row_id``.
+
+    The hash order is what lets one day of one key be split: a slot is an hour and the first byte
+    of the hash. The rank is the rank in the slot plus the rows of earlier slots, whose
+    counts join on the partitioning that the slot window already has.
+    """
+    hashed = df.withColumn("_hash", F.md5(F.col(row_id).cast("string")))
+    slots = hashed.withColumns({"_slot": _hour(ts), "_byte": F.substring("_hash", 1, 2)})
+    if dict(df.dtypes)[ts] == "date":
+        order = ["_hash"]
+    else:
+        # Within an hour time comes first, so the hash byte cannot split it.
+        slots, order = slots.withColumn("_byte", F.lit("")), [ts, "_hash"]
+    group = [key, "_slot", "_byte"]
+    counts = slots.groupBy(*group).agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(key).orderBy("_slot", "_byte").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = counts.select(*group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_earlier"))
+    near = slots.withColumn("_nth", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+    rank = F.col("_nth") + F.coalesce("_earlier", F.lit(0))
+    # Null keys match nothing in the join; they are ranked within their slot only.
+    return near.join(earlier, group, "left").withColumn(out, rank).drop("_hash", "_slot", "_byte", "_nth", "_earlier")
 
 
 def scd2_intervals(df: DataFrame, key: str, ts: str) -> DataFrame:
@@ -92,7 +94,7 @@ def current_rows(df: DataFrame) -> DataFrame:
 
 
 def order_rank(df: DataFrame, customer: str = "customer_id", ts: str = "order_date", order_id: str = "order_id") -> DataFrame:
-    return with_rank(df, customer, ts, [order_id], "order_rank")
+    return with_rank(df, customer, ts, order_id, "order_rank")
 
 
 def first_order_flag(ranked: DataFrame) -> DataFrame:

@@ -115,8 +115,9 @@ def catalog_complete(df: DataFrame) -> DataFrame:
 
 
 def dim_products_scd2(staged: DataFrame) -> DataFrame:
-    """Type-2 product dimension: one row per product and source version."""
-    known = drop_null_keys(staged, "product_id")
+    """Type-2 product dimension: one row per product and source version; repeats of a version are one."""
+    named = drop_null_keys(staged, "product_id")
+    known = first_by(named, ["product_id", "pim_updated_at"], [F.col(c).asc_nulls_last() for c in named.columns])
     enriched = catalog_complete(gross_margin(known)).withColumn(
         "product_sk", text.surrogate_key("product_id", "pim_updated_at")
     )
