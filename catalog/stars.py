@@ -397,6 +397,23 @@ def _(spark, sf):
     return fix(fact_lines(spark, sf), gross_revenue_eur=2, net_revenue_eur=2)
 
 
+@query(
+    "i9_fact_lines_window",
+    f"""SELECT * REPLACE ({day('f.order_date')} AS order_date, {fixed('f.gross_revenue_eur', 2)} AS gross_revenue_eur,
+      {fixed('f.net_revenue_eur', 2)} AS net_revenue_eur, CASE WHEN s.session_id IS NULL THEN 'unknown' ELSE f.referrer_channel END AS referrer_channel,
+      CASE WHEN s.session_id IS NULL THEN 'unknown' ELSE f.device_type END AS device_type,
+      CASE WHEN s.session_id IS NOT NULL THEN f.utm_source END AS utm_source, CASE WHEN s.session_id IS NOT NULL THEN f.utm_medium END AS utm_medium,
+      CASE WHEN s.session_id IS NOT NULL THEN f.utm_campaign END AS utm_campaign)
+    FROM fact_lines f SEMI JOIN (SELECT order_id, line_item_id FROM raw_lines WHERE order_date >= DATE '2024-01-27') l
+      ON f.order_id = l.order_id AND f.line_item_id = l.line_item_id
+    LEFT JOIN (SELECT session_id FROM session_starts WHERE event_date >= DATE '2024-01-27') s ON f.session_id = s.session_id
+    WHERE f.order_date >= DATE '2024-01-27'""".replace("SELECT *", "SELECT f.*", 1),
+)
+def _(spark, sf):
+    """The incremental form: a trailing window of lines, orders and session starts."""
+    return fix(fact_lines(spark, sf, FACT_AS_OF), gross_revenue_eur=2, net_revenue_eur=2)
+
+
 @query(
     "i10_fact_orders",
     f"SELECT * REPLACE ({day('order_date')} AS order_date) FROM fact_heads",

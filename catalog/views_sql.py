@@ -199,7 +199,7 @@ SELECT CASE WHEN k % 97 <> 5 THEN 'c-' || k END AS account_id, ' User' || k || '
   (DATE '2021-01-01' + CAST(k % 900 AS INTEGER)) || ' 10:00:00' AS created_date,
   (DATE '2024-01-01' + CAST(k % 5 + v * 4 AS INTEGER)) || ' 0' || v || ':30:00' AS system_modstamp,
   k % 41 = 0 AND v = (CASE WHEN k % 10 = 0 THEN 2 ELSE 0 END) AS is_deleted, v
-FROM (SELECT *, c_custkey AS k, unnest(range(0, CASE WHEN c_custkey % 10 = 0 THEN 3 ELSE 1 END)) AS v FROM customer)
+FROM (SELECT *, c_custkey AS k, CAST(unnest(range(0, CASE WHEN c_custkey % 10 = 0 THEN 3 ELSE 1 END)) AS INTEGER) AS v FROM customer)
 """
 
 VIEWS["raw_profiles"] = """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans import silver
@@ -18,13 +19,21 @@ def bronze_stream(spark: SparkSession, path: str, files_per_batch: int | None =
     return reader.parquet(path)
 
 
-def silver_stream(bronze: DataFrame, date: str, as_of: str | None = None, delay: str = "2 days") -> DataFrame:
+def silver_stream(
+    bronze: DataFrame, date: str, as_of: str | None = None, delay: str = "2 days", spread: int = 16
+) -> DataFrame:
     """The Silver chain on a stream. The first copy of an event that arrives wins.
 
     Seen ids are kept for ``delay`` of event time, so the state is bounded; copies further apart
-    are left to the daily batch.
+    are left to the daily batch. A stream has no reduction before its shuffle, so copies of an
+    event are first thinned out in ``spread`` groups by their origin; at most ``spread`` copies
+    of an id then meet. ``spread=1`` saves that step where ids do not repeat much.
     """
     valid = silver.stateless(bronze, as_of).withWatermark("event_ts", delay)
+    if spread > 1:
+        origin = F.pmod(F.xxhash64("_source_file", "_ingested_at"), F.lit(spread))
+        thinned = valid.withColumn("_origin", origin).dropDuplicatesWithinWatermark(["event_id", "_origin"])
+        valid = thinned.drop("_origin")
     return silver.enrich(valid.dropDuplicatesWithinWatermark(["event_id"]), date, as_of)
 
 

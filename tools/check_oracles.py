@@ -32,6 +32,15 @@ def rows_of(names: list[str], rows: list[tuple]) -> Counter:
     return Counter(tuple(r[i] for i in order) for r in rows)
 
 
+_SAME = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+def type_gaps(df, con, sql: str) -> list[str]:
+    """Columns whose types differ between the two engines."""
+    want = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return [f"{c}: {t} / {want.get(c)}" for c, t in df.dtypes if _SAME.get(t) != want.get(c)]
+
+
 def compare(spark, con, name: str, sf_dir: str) -> tuple[bool, str]:
     df = QUERIES[name](spark, sf_dir)
     got_names, got = df.columns, [tuple(r) for r in df.collect()]
@@ -42,12 +51,9 @@ def compare(spark, con, name: str, sf_dir: str) -> tuple[bool, str]:
     if sorted(got_names) != sorted(want_names):
         return False, f"columns differ: {sorted(set(got_names) ^ set(want_names))}"
     a, b = rows_of(got_names, got), rows_of(want_names, want)
-    types_a = {type(v) for r in got for v in r if v is not None}
-    types_b = {type(v) for r in want for v in r if v is not None}
-    if a == b and types_a == types_b:
-        return True, f"{len(got)} rows"
+    gaps = type_gaps(df, con, ORACLES[name])
     if a == b:
-        return False, f"equal values, but types {types_a ^ types_b}"
+        return not gaps, f"{len(got)} rows" if not gaps else f"equal values, types differ: {gaps}"
     return False, (
         f"spark {len(got)} rows, sql {len(want)} rows; columns {sorted(got_names)}\n"
         f"   only spark: {list((a - b).items())[:3]}\n   only sql:   {list((b - a).items())[:3]}"
