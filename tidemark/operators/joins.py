@@ -22,13 +22,15 @@ _SPREAD = 1024
 def lookup(left: DataFrame, right: DataFrame, key: str, spread_by: str) -> DataFrame:
     """Left join on ``key``, one right row per key at most.
 
-    Left rows with a null key match nothing; they get a filler key made from a hash of
-    ``spread_by`` so that they spread over the tasks.
+    Left rows with a null key match nothing; they get a filler key from a hash of ``spread_by``, with a
+    prefix of its own, so that they spread over the tasks. The prefixed key also gives both
+    sides a shuffle of their own right below the join, and only such a join is split by
+    AQE where a key is hot; a right side that kept the partitioning of its deduplication would not be.
     """
-    filler = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(spread_by), F.lit(_SPREAD)).cast("string"))
-    keyed = left.withColumn("_key", F.coalesce(F.col(key).cast("string"), filler))
-    found = right.filter(F.col(key).isNotNull()).withColumn("_key", F.col(key).cast("string")).drop(key)
-    return keyed.join(found, "_key", "left").drop("_key")
+    real = F.concat(F.lit("="), F.col(key).cast("string"))
+    filler = F.concat(F.lit("~"), F.pmod(F.xxhash64(spread_by), F.lit(_SPREAD)).cast("string"))
+    found = right.filter(F.col(key).isNotNull()).withColumn("_key", real).drop(key)
+    return left.withColumn("_key", F.coalesce(real, filler)).join(found, "_key", "left").drop("_key")
 
 
 def session_starts(events: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -66,9 +68,9 @@ def explode_lines(orders: DataFrame) -> DataFrame:
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
     """Child keys without a parent, with the number of child rows. Null keys are not orphans.
 
-    Children are counted per key before the join, so a hot key is one row there.
+    Children are counted and parents made distinct before the join, so a hot key is one row on each side.
     """
-    known = parent.select(F.col(parent_key or key).alias(key))
+    known = parent.select(F.col(parent_key or key).alias(key)).distinct()
     used = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("child_rows"))
     return used.join(known, key, "left_anti")
 

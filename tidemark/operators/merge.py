@@ -25,7 +25,7 @@ def upsert_newer(target: DataFrame, source: DataFrame, key: str, order_col: str)
 
 def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Last run wins: source rows replace target rows of the same key, new columns are added."""
-    kept = target.join(source.select(key), key, "left_anti")
+    kept = target.join(source.select(key).distinct(), key, "left_anti")
     return kept.unionByName(source, allowMissingColumns=True)
 
 

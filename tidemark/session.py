@@ -17,12 +17,18 @@ _PINNED = {
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "20g") -> SparkSession:
-    """A session for tests and the benchmark on one machine."""
+    """A session for tests and the benchmark on one machine.
+
+    Joins are broadcast by the size AQE measures at run time only, never by an estimate made from
+    compressed file sizes.
+    """
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tidemark")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
