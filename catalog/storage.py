@@ -87,7 +87,7 @@ def _(spark, sf):
     path = scratch(spark, "gold")
     events = silver_events(spark, sf)
     for date in ("2024-01-28", DATE, DATE):
-        sinks.publish_gold(aggregates.funnel_metrics(events, date, AS_OF), path)
+        sinks.publish_gold(aggregates.funnel_metrics(events, date, AS_OF), path, date)
     days = [sinks.read_day(spark, path, d) for d in ("2024-01-28", DATE)]
     return days[0].unionByName(days[1]).drop("_gold_processed_at")
 

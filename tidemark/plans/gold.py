@@ -30,7 +30,7 @@ def run(spark: SparkSession, events_path: str, orders_path: str, out: str, date:
     orders = silver.read_silver_orders(spark, orders_path, date)
     try:
         for name, table in gold_tables(events, orders, date, as_of).items():
-            sinks.publish_gold(table, f"{out}/{name}")
+            sinks.publish_gold(table, f"{out}/{name}", date)
             sinks.publish_staging(sinks.read_day(spark, f"{out}/{name}", date), f"{out}/staging", name)
     finally:
         events.unpersist()

@@ -31,21 +31,15 @@ def write_replace(df: DataFrame, path: str, date: str, files: int | None = None)
     )
 
 
-def publish_gold(df: DataFrame, path: str) -> None:
-    """Replace the report days present in ``df``; other days stay."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("report_date")
-        .parquet(path)
-    )
+def publish_gold(df: DataFrame, path: str, date: str) -> None:
+    """Replace one report day; other days stay. An empty result leaves an empty day, not the rows of an earlier run."""
+    df.drop("report_date").write.mode("overwrite").parquet(f"{path}/report_date={date}")
 
 
 def read_day(spark: SparkSession, path: str, date: str) -> DataFrame:
-    """One report day of a published table."""
-    table = spark.read.parquet(path)
-    wanted = F.lit(date).cast(table.schema["report_date"].dataType)
-    return table.filter(F.col("report_date") == wanted).withColumn("report_date", F.col("report_date").cast("string"))
+    """One report day of a published table, from its own folder."""
+    day = spark.read.option("basePath", path).parquet(f"{path}/report_date={date}")
+    return day.withColumn("report_date", F.col("report_date").cast("string"))
 
 
 def publish_staging(df: DataFrame, root: str, name: str, jdbc: dict | None = None) -> None:
