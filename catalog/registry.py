@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalog.views_sql import with_views
-from tidemark.session import pin
+from tidemark.session import pin, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,12 +42,19 @@ def fix(df: DataFrame, **digits: int) -> DataFrame:
     return df.withColumns({c: fixed(c, n) for c, n in digits.items()})
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """A pinned session; one on a local master that names no shared folder gets a temporary one."""
+    if not shared_folder(spark) and spark.sparkContext.master.startswith("local["):
+        spark.conf.set("tidemark.scratch.dir", tempfile.mkdtemp(prefix="tidemark-"))
+    return pin(spark)
+
+
 def query(name: str, sql: str | None = None):
     """Register a query and its SQL. View names in the SQL are filled in by ``with_views``."""
 
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return plain(fn(pin(spark), sf_dir))
+            return plain(fn(prepared(spark), sf_dir))
 
         QUERIES[name] = run
         if sql is not None:

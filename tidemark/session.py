@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -16,11 +15,13 @@ _PINNED = {
 }
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "20g") -> SparkSession:
+def local_session(
+    cores: str = "*", shuffle_partitions: int = 8, memory: str = "20g", folder: str | None = None
+) -> SparkSession:
     """A session for tests and the benchmark on one machine.
 
     Joins are broadcast by the size AQE measures at run time only, never by an estimate made from
-    compressed file sizes.
+    compressed file sizes. ``folder`` takes written intermediates.
     """
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -34,6 +35,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if folder:
+        spark.conf.set("tidemark.scratch.dir", folder)
     return pin(spark)
 
 
@@ -44,12 +47,15 @@ def pin(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh folder for written intermediates, under the shared folder the cluster names.
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder that driver and executors share: the cluster's, or the one a test or bench session set."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("tidemark.scratch.dir", None)
 
-    Only a session that names none (a test on one machine) falls back to a local folder.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A fresh folder for written intermediates, under the shared folder. Raises where none is named:
+    on a cluster a machine-local folder would lose what other executors wrote."""
+    shared = shared_folder(spark)
     if not shared:
-        shared = tempfile.mkdtemp(prefix="tidemark-")
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
