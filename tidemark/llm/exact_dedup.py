@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_of
+from tidemark.llm.common import text_of, written
 from tidemark.session import scratch
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -25,6 +25,8 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # A store per partition: without this, each sets 4 MB aside for its manifest alone.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
@@ -78,13 +80,11 @@ def resolve(spark: SparkSession, path: str, kept: DataFrame, digest=digest_of) -
     joined = rows.drop("norm").join(alone, "digest")
     # The byte check reads the texts of groups with more than one row only.
     several = kept.where("group_size > 1").select("digest", "keep")
-    members = rows.join(several, "digest")
+    members = written(rows.join(several, "digest"), "members")
     holders = members.where("rank = keep").select("digest", F.col("norm").alias("held"))
     hits = members.where("rank <> keep").select("digest", "norm", "rank")
     differ = hits.join(holders, "digest").where("norm <> held").select("digest").distinct()
-    path_out = scratch(spark, "collided")
-    differ.write.parquet(path_out)
-    collided = spark.read.schema("digest string").parquet(path_out)
+    collided = written(differ, "collided")
     out = ["doc_id", "digest", "rank", "keep", "group_size"]
     if collided.isEmpty():
         return joined.select(*out)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from catalog.registry import prepared
-from tidemark.llm import chat, exact_dedup, mixing, sharding
+from tidemark.llm import chat, exact_dedup, mixing, sharding, token_files, toxicity
 from tidemark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +43,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_exact_dedup", exact_dedup.OP10_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.op10_exact_dedup(spark, f"{sf_dir}/documents.parquet")
+
+
+@query("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op3_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op4_tokens")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.op4_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
