@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from catalog.registry import prepared
-from tidemark.llm import chat, exact_dedup, mixing, sharding, token_files, toxicity
+from tidemark.llm import chat, decontamination, exact_dedup, mixing, sharding, token_files, toxicity
 from tidemark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_tokens")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.op4_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op9_decontaminate")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.op9_decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))

@@ -35,7 +35,7 @@ FIT_ROWS = 24_000
 #: Learned entries at most: a bound on what the driver and the tasks hold.
 LEXICON_MAX = 5_000
 STEM_LENGTHS = (4, 5, 6)
-MIN_DOCS, MIN_ODDS = 6, 2.5
+MIN_DOCS, MIN_ODDS = 6, 4.0
 
 TARGETS = frozenset(w.encode() for w in "you your you're yourself u he she they them du dich dir euch ihr sie tu te toi vous ton votre usted ustedes vosotros tú ti él ellos".split())
 NEGATIONS = frozenset(w.encode() for w in "not no never isn't aren't don't nicht kein keine keinen nie pas jamais aucun ne nunca jamás ningún".split())
