@@ -12,8 +12,6 @@ from tidemark.session import scratch
 #: A word, in all contracts: a run without the six ASCII white-space bytes. ``bytes.split()`` cuts at the same ones.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Rows of an Arrow batch where texts go to Python; also bounded in bytes.
-BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

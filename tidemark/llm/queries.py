@@ -8,16 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from catalog.registry import prepared
-from tidemark.llm import chat, decontamination, exact_dedup, mixing, sharding, token_files, toxicity
+from tidemark.llm import chat, decontamination, exact_dedup, jaccard_join, mixing, sharding, token_files, toxicity
 from tidemark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def texts_prepared(spark: SparkSession) -> SparkSession:
+    """A session whose Arrow batches stay small when texts are long."""
+    prepared(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
 def query(name: str, sql: str | None = None):
     def register(fn):
-        QUERIES[name] = lambda spark, sf_dir: fn(prepared(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: fn(texts_prepared(spark), sf_dir)
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -58,3 +64,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_decontaminate")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.op9_decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op8_jaccard")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.op8_jaccard(read(spark, sf_dir, "documents"))

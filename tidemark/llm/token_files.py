@@ -6,8 +6,8 @@ documents: the packed ids, a byte offset for every ``BLOCK`` ids, and where each
 document, can be unpacked with numpy alone from its offset. Spark's writer commits the files, so a lost executor's
 task is repeated without a trace. Global starts need one sum per segment, then per partition.
 
-Ids of a text are those of its white-space separated pieces in a row (for a tokenizer that drops white space and never
-merges across it), so that pieces that come again are looked up; a piece is encoded by the tokenizers library.
+Ids of a text are those of its white-space separated pieces in a row (for a tokenizer that lowers letters, drops white
+space and never merges across it), so that pieces that come again are looked up; a piece is encoded by the tokenizers library.
 
 Defined results: null and empty texts hold the end id only; a null id comes first; repeated ids are kept, ordered by
 text; an empty table gives no rows; other columns are not read.
@@ -15,8 +15,10 @@ text; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -70,7 +72,8 @@ def unpack(data: bytes | memoryview, width: int, first: int, count: int) -> np.n
 class Pieces(dict):
     """Ids of white-space separated pieces, as little-endian 32-bit bytes, remembered for up to ``limit`` pieces."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 500_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core already
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -85,21 +88,36 @@ class Pieces(dict):
         if len(self) + len(new) > self.limit:
             self.clear()
             new = list(pieces)
-        for piece, got in zip(new, self.tokenizer.encode_batch([p.decode() for p in new], add_special_tokens=False)):
-            self[piece] = np.array(got.ids, "<u4").tobytes()
+        for at in range(0, len(new), 1000):
+            some = new[at : at + 1000]
+            for piece, got in zip(some, self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)):
+                self[piece] = np.array(got.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [(t or "").encode().split() for t in texts]
+        split = [pieces_of(t) for t in texts]
         self.learn(set().union(*split))
         get = self.__getitem__
         return [np.frombuffer(b"".join(map(get, pieces)), "<u4") for pieces in split]
 
 
+def pieces_of(text: str | None) -> list[bytes]:
+    """White-space separated pieces. A tokenizer that lowers its input gets fewer of them with A-Z lowered before;
+    where a control token may be spelled, case is left to it."""
+    data = (text or "").encode()
+    return (data if b"<|" in data else data.lower()).split()
+
+
+@lru_cache(maxsize=1)
+def pieces_at(path: str) -> Pieces:
+    """One per Python worker: its tasks follow each other and share what is remembered."""
+    return Pieces(path)
+
+
 def segments(path: str, end_id: int):
     """The task that packs a sorted partition; texts go to the tokenizer a few megabytes at a time."""
 
     def build(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = Pieces(path)
+        pieces = pieces_at(path)
         width = width_of(max(pieces.vocabulary, end_id + 1))
         docs: list[tuple[int | None, np.ndarray]] = []
         held = number = 0
