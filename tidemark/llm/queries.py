@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from catalog.registry import prepared
-from tidemark.llm import chat, decontamination, exact_dedup, jaccard_join, mixing, sharding, token_files, toxicity
+from tidemark.llm import chat, decontamination, exact_dedup, jaccard_join, mixing, repeats, sharding, token_files, toxicity
 from tidemark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_jaccard")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.op8_jaccard(read(spark, sf_dir, "documents"))
+
+
+@query("op6_repeats")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.op6_repeats(read(spark, sf_dir, "documents"))

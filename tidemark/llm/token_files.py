@@ -165,7 +165,8 @@ def read_documents(spark: SparkSession, path: str, each, schema: str) -> DataFra
         for frame in rows:
             for r in frame.itertuples(index=False):
                 ends = [*r.doc_starts[1:], r.n_ids]
-                out = [(r.part, r.segment, d, s, e - s, *each(unpack(r.payload, r.width, s, e - s))) for d, s, e in zip(r.doc_ids, r.doc_starts, ends)]
+                ids = unpack(r.payload, r.width, 0, r.n_ids)  # whole segments are read: one call, documents are slices
+                out = [(r.part, r.segment, d, s, e - s, *each(ids[s:e])) for d, s, e in zip(r.doc_ids, r.doc_starts, ends)]
                 yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
     schema = f"part int, segment int, doc_id long, local long, n_tokens long, {schema}"
