@@ -8,8 +8,8 @@ A document's set is its distinct word shingles (of ``words`` words); equal sets
    a signature are candidates. A frequent phrase does not make candidates, since a segment holds about nine tokens.
 2. Groups. Candidates are linked in stars (each to the least node of the signature) and their components are clusters.
    Inside a cluster, similar sets form groups with the union of their tokens; the matrix tokens x groups gives, for a query
-   set, how many of its tokens each union holds. Only groups whose count could reach the threshold are opened, where the
-   exact overlaps are one matrix product.
+   set, how many of its tokens each union holds. Only groups whose count could reach the threshold are opened (those that hold none of its rarest
+   tokens cannot), where the exact overlaps are one matrix product.
 3. A cluster above ``CHUNK`` tokens is cut into chunks and every pair of chunks is a task, so nothing is left out
    and no task holds more than two chunks. Links leave a task as a spanning forest, not as pairs.
 
@@ -36,8 +36,6 @@ from tidemark.llm.token_files import chunks
 CHUNK = 2_000_000
 #: Cells of a group's matrix.
 CELLS = 4_000_000
-#: Segments beyond ``D + 1``: a set must have more than these empty before an empty segment counts as agreement.
-SPARE = 2
 
 
 def shingles(known: WordHash, text: str | None, words: int) -> np.ndarray:
@@ -89,12 +87,14 @@ class Bands:
         for k in (own, own - 1):
             if k < 0 or not self.apart(k):
                 continue  # only equal sets are that similar
-            m = self.apart(k) + 1 + SPARE
+            # Segments beyond ``D + 1``: only a set with more than these empty lets an empty segment count as agreement.
+            spare = self.apart(k) // 4 + 2
+            m = self.apart(k) + 1 + spare
             edges = np.searchsorted(tokens, (np.arange(m + 1, dtype=np.float64) * (2.0**64 / m))[1:-1].astype(np.uint64))
             edges = np.concatenate([[0], edges, [len(tokens)]])
             signs = mix(sums[edges[1:]] - sums[edges[:-1]] + mix(np.arange(m, dtype=np.uint64) + np.uint64(k << 32)))
             empty = edges[1:] == edges[:-1]
-            out.append(signs if empty.sum() > SPARE else signs[~empty])
+            out.append(signs if empty.sum() > spare else signs[~empty])
         return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
@@ -161,7 +161,15 @@ def group_links(nodes: np.ndarray, found: list[np.ndarray], percent: int) -> lis
     least = np.array([sizes[g].min() for g in groups])
     most = np.array([sizes[g].max() for g in groups])
     opened: list[list[int]] = [[] for _ in groups]
+    own = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
     for q, tokens in enumerate(ids):
+        # A group that could qualify holds one of the set's rarest tokens: too few are left without them.
+        rare = tokens[np.argsort(starts[tokens + 1] - starts[tokens], kind="stable")][: sizes[q] - -(-percent * sizes[q] // 100) + 1]
+        met = np.unique(np.concatenate([holder[starts[t] : starts[t + 1]] for t in rare]))
+        if len(met) == 1:  # its own
+            if len(groups[own[q]]) > 1:
+                opened[own[q]].append(q)
+            continue
         begin, count = starts[tokens], starts[tokens + 1] - starts[tokens]
         at = np.repeat(begin - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
         bound = np.bincount(holder[at], minlength=len(groups))

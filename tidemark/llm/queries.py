@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from catalog.registry import prepared
-from tidemark.llm import chat, decontamination, exact_dedup, jaccard_join, mixing, repeats, sharding, token_files, toxicity
+from tidemark.llm import chat, decontamination, exact_dedup, jaccard_join, mixing, repeats, scoring, sharding, token_files, toxicity
 from tidemark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,15 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_repeats")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.op6_repeats(read(spark, sf_dir, "documents"))
+
+
+@query("op1_score")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.op1_score(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)
