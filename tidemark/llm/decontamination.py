@@ -74,7 +74,7 @@ def bitmap(seeds: DataFrame) -> tuple[bytes, list[int]]:
 
 def hits_of(known: WordHash, words: list[bytes], bits: np.ndarray, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and positions of the n-grams that fall on a bit."""
-    hashed, found, places = known.of(words), [], []
+    hashed, found, places = known.of(words), [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
     for n in lengths:
         some = grams(hashed, n)
         at = np.flatnonzero(bits[slot(some)])
