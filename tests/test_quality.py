@@ -51,6 +51,9 @@ def test_columns_relationship_and_freshness(spark, table):
     assert verdicts(stamped, quality.expect_fresh("at", 8, "2024-01-01 08:00:00")) == [(0, 1, True)]
     assert verdicts(stamped, quality.expect_fresh("at", 8, "2024-01-01 08:00:01")) == [(1, 1, False)]
     assert verdicts(stamped.filter("false"), quality.expect_fresh("at", 8, "2024-01-01 08:00:00")) == [(1, 1, False)]
+    for form in ("string", "timestamp_ntz"):
+        other = stamped.selectExpr(f"cast(at as {form}) as at")
+        assert verdicts(other, quality.expect_fresh("at", 8, "2024-01-01 08:00:00")) == [(0, 1, True)]
 
 
 def test_row_checks_share_one_scan(table):

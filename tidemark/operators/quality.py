@@ -109,9 +109,11 @@ def expect_row_count(low: int = V.SILVER_MIN_ROWS, high: int = V.SILVER_MAX_ROWS
 
 
 def expect_fresh(column: str, hours: int = V.FRESH_HOURS, as_of: str | None = None, severity: str = "warning") -> TableCheck:
-    """The newest stamp is at most ``hours`` old; a table without stamps is stale."""
-    age = times.moment(as_of).cast("bigint") - F.max(column).cast("bigint")
-    return TableCheck("fresh", column, F.max(column).cast("bigint"), F.coalesce(age <= hours * 3600, F.lit(False)), severity)
+    """The newest stamp is at most ``hours`` old; a table without stamps is stale. Stamps may be text or without a zone;
+    text that is no time does not count."""
+    newest = F.max(F.col(column).try_cast("timestamp")).cast("bigint")
+    age = times.moment(as_of).cast("bigint") - newest
+    return TableCheck("fresh", column, newest, F.coalesce(age <= hours * 3600, F.lit(False)), severity)
 
 
 def expect_source_fresh(column: str, as_of: str | None = None) -> list[TableCheck]:
