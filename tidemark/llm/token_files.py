@@ -30,6 +30,7 @@ from tidemark.session import scratch
 
 BLOCK = 1 << 13
 SEGMENT = 1 << 20
+MARK = b"\x01"
 FILE = (
     "part int, segment int, width int, n_ids long, doc_ids array<long>, doc_starts array<long>, block_offsets array<long>, payload binary"
 )
@@ -78,6 +79,9 @@ class Pieces(dict):
 
         super().__init__()
         self.limit, self.tokenizer = limit, Tokenizer.from_file(path)
+        # A byte between pieces, so that one call encodes many and its id shows where each ends. Only that byte has this id.
+        found = self.tokenizer.encode(MARK.decode(), add_special_tokens=False).ids
+        self.mark_id = found[0] if len(found) == 1 else None
 
     @property
     def vocabulary(self) -> int:
@@ -88,11 +92,27 @@ class Pieces(dict):
         if len(self) + len(new) > self.limit:
             self.clear()
             new = list(pieces)
+        if self.mark_id is not None:
+            plain = [p for p in new if MARK not in p]
+            new = [p for p in new if MARK in p]
+            for at in range(0, len(plain), 1000):
+                self.learn_joined(plain[at : at + 1000])
         for at in range(0, len(new), 1000):
             some = new[at : at + 1000]
             for piece, got in zip(some, self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)):
                 self[piece] = np.array(got.ids, "<u4").tobytes()
 
+    def learn_joined(self, some: list[bytes]) -> None:
+        joined = (b" " + MARK + b" ").join(some).decode()
+        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        marks = np.flatnonzero(ids == self.mark_id) * 4
+        if len(marks) != len(some) - 1:
+            raise ValueError("the tokenizer does not keep the mark apart")
+        data = ids.tobytes()
+        ends = [*marks.tolist(), len(data)]
+        begins = [0, *(marks + 4).tolist()]
+        self.update((piece, data[b:e]) for piece, b, e in zip(some, begins, ends))
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [pieces_of(t) for t in texts]
         self.learn(set().union(*split))
