@@ -28,12 +28,8 @@ def customers_now(spark, sf):
     return dimensions.dim_customers(profiles(spark, sf), AS_OF)
 
 
-def account_versions(spark, sf):
-    return staging.drop_null_keys(views.raw_accounts(spark, sf), "account_id")
-
-
 def customers_scd2(spark, sf):
-    return dimensions.dim_customers_scd2(staging.stage_accounts(account_versions(spark, sf)))
+    return dimensions.dim_customers_scd2(staging.stage_account_versions(views.raw_accounts(spark, sf)))
 
 
 def products_scd2(spark, sf):
@@ -374,9 +370,9 @@ HISTORY_TIMES = f"{ts('valid_from')} AS valid_from, {ts('valid_to')} AS valid_to
 @query("i6_dim_customers_scd2", f"SELECT * REPLACE ({day('acquisition_date')} AS acquisition_date, {HISTORY_TIMES}) FROM customer_history")
 def _(spark, sf):
     """The first version of every account is the existing dimension; all versions arrive after it."""
-    versions = account_versions(spark, sf)
-    first = dimensions.dim_customers_scd2(staging.stage_accounts(versions.filter("v = 0")))
-    return dimensions.dim_customers_scd2(staging.stage_accounts(versions), existing=first)
+    versions = views.raw_accounts(spark, sf)
+    first = dimensions.dim_customers_scd2(staging.stage_account_versions(versions.filter("v = 0")))
+    return dimensions.dim_customers_scd2(staging.stage_account_versions(versions), existing=first)
 
 
 @query("i7_dim_customers", f"SELECT * REPLACE ({PROFILE_TIMES}) FROM dim_customers_now")

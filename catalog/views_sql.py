@@ -304,16 +304,20 @@ VIEWS["customer_versions"] = """
 SELECT customer_id, email_hashed, first_name, last_name, country_code, city, customer_segment,
   CAST(NULL AS VARCHAR) AS loyalty_tier, CAST(NULL AS VARCHAR) AS phone_hash, acquisition_channel, acquisition_date,
   md5(email_hashed || '||' || first_name || '||' || last_name || '||' || country_code || '||' || city || '||' || customer_segment
-      || '||' || '' || '||' || '') AS row_hash, crm_updated_at AS valid_from
+      || '||' || '' || '||' || '') AS row_hash, crm_updated_at AS valid_from,
+  is_deleted OR lower(coalesce(customer_segment__c, '')) = 'internal' AS has_left
 FROM staged_accounts
 """
 
 VIEWS["customer_history"] = """
-SELECT * EXCLUDE (before), md5(customer_id || '-' || row_hash) AS customer_sk,
-  lead(valid_from) OVER (PARTITION BY customer_id ORDER BY valid_from) AS valid_to,
-  lead(valid_from) OVER (PARTITION BY customer_id ORDER BY valid_from) IS NULL AS is_current
-FROM (SELECT *, lag(row_hash) OVER (PARTITION BY customer_id ORDER BY valid_from) AS before FROM customer_versions)
-WHERE before IS NULL OR before <> row_hash
+SELECT * EXCLUDE (has_left) FROM (
+  SELECT * EXCLUDE (before, state), md5(customer_id || '-' || row_hash || '-' || strftime(valid_from, '%Y-%m-%d %H:%M:%S')) AS customer_sk,
+    lead(valid_from) OVER (PARTITION BY customer_id ORDER BY valid_from) AS valid_to,
+    lead(valid_from) OVER (PARTITION BY customer_id ORDER BY valid_from) IS NULL AS is_current
+  FROM (SELECT *, lag(state) OVER (PARTITION BY customer_id ORDER BY valid_from) AS before
+    FROM (SELECT *, CASE WHEN has_left THEN 'left' ELSE row_hash END AS state FROM customer_versions))
+  WHERE before IS NULL OR before <> state)
+WHERE NOT has_left
 """
 
 VIEWS["product_history"] = """

@@ -126,7 +126,7 @@ def test_url_parts(bronze, url, host, path):
     "referrer, channel",
     [
         (None, "direct"), ("", "direct"), ("https://www.google.com/x", "organic_search"), ("https://duckduckgo.com", "organic_search"),
-        ("https://m.facebook.com/", "social"), ("https://shop.example.com/home", "internal"), ("https://partner.org", "referral"),
+        ("https://m.facebook.com/", "social"), ("https://lamps.example.org/home", "internal"), ("https://partner.org", "referral"),
         ("https://notgoogle.example", "organic_search"),
     ],
 )

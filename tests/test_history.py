@@ -65,7 +65,7 @@ def test_unchanged_versions_are_dropped_but_returns_stay(spark):
 def test_rank_matches_brute_force(spark, kind):
     rng = random.Random(7)
     rows = [
-        ("hot" if rng.random() < 0.4 else f"c{rng.randrange(9)}", T0 + dt.timedelta(hours=rng.randrange(24 * 6)), f"o{i}")
+        (rng.choice(["hot", None]) if rng.random() < 0.6 else f"c{rng.randrange(9)}", T0 + dt.timedelta(hours=rng.randrange(24 * 6)), f"o{i}")
         for i in range(500)
     ]
     df = spark.createDataFrame(rows, "c string, t timestamp, o string").withColumn("t", F.col("t").cast(kind)).repartition(4)
@@ -83,6 +83,6 @@ def test_hot_key_does_not_meet_in_one_task(spark):
     df = spark.range(0, 40_000, 1, 8).select(
         F.lit("hot").alias("k"), (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("ts")
     )
-    slots = df.groupBy("k", history._hour("ts").alias("s")).count().agg(F.max("count")).first()[0]
+    slots = df.groupBy("k", history._start("hour", "ts").alias("s")).count().agg(F.max("count")).first()[0]
     assert slots == 60
     assert history.with_next(df, "k", "ts", "nxt").filter("nxt IS NULL").count() == 1

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import aggregates, joins, merge
+from tidemark.operators import aggregates, dedup, joins, merge
 from tidemark.schemas import SYNC_STATE
 
 D = lambda n: dt.datetime(2024, 1, n)
@@ -60,6 +60,13 @@ def test_upsert_last_run_wins_and_adds_columns(spark):
     once = merge.upsert(target, source, "id")
     assert sorted((r.id, r.v, r.w) for r in once.collect()) == [("a", 1, None), ("b", 3, "x"), ("c", 4, "y")]
     assert merge.upsert(once, source, "id").exceptAll(once).count() == 0
+    twice = spark.createDataFrame([("b", 5), ("b", 9), (None, 1), (None, 1)], "id string, v int")
+    assert sorted((r.id or "", r.v) for r in merge.upsert(target, twice, "id", "v").collect()) == [("", 1), ("", 1), ("a", 1), ("b", 9)]
+
+
+def test_repeats_with_nested_maps(spark):
+    df = spark.sql("SELECT 1 AS id, n AS at, struct(map('a', n)) AS s, array(map('b', n)) AS l FROM VALUES (1), (2) AS t(n)")
+    assert [r["at"] for r in dedup.dedup_latest(df, "id", "at").collect()] == [2]
 
 
 def test_marks(spark):

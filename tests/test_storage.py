@@ -40,7 +40,7 @@ def test_gold_days_and_counts(spark, bronze, tmp_path):
     events, orders, out = (str(tmp_path / n) for n in ("e", "o", "g"))
     sinks.write_replace(silver.silver_events(bronze({"event_type": "product_view"}, {"event_id": "e2", "event_type": "session_start"}), DATE, AS_OF), events, DATE)
     spark.createDataFrame(
-        [("o1", "sess-abc", dt.date(2024, 1, 15), 10.0, True, [("prod-999", 2, 5.0)])],
+        [("o1", "visit-7", dt.date(2024, 1, 15), 10.0, True, [("lamp-31", 2, 5.0)])],
         "order_id string, session_id string, order_date date, revenue_eur double, is_first_order boolean, "
         "line_items array<struct<product_id string, quantity int, unit_price_eur double>>",
     ).write.parquet(orders)
@@ -48,7 +48,7 @@ def test_gold_days_and_counts(spark, bronze, tmp_path):
         counts = {r.table_name: r.row_count for r in gold.run(spark, events, orders, out, DATE, AS_OF).collect()}
     assert counts == dict.fromkeys(["gold_daily_sales", "gold_funnel_metrics", "gold_product_performance", "gold_session_stats"], 1)
     sales = sinks.read_day(spark, f"{out}/gold_daily_sales", DATE).first()
-    assert (sales.country_code, sales.total_orders, sales.new_customer_rate) == ("FR", 1, 1.0)
+    assert (sales.country_code, sales.total_orders, sales.new_customer_rate) == ("PT", 1, 1.0)
     assert os.path.isdir(f"{out}/staging/STG_GOLD_DAILY_SALES")
     sinks.publish_gold(sinks.read_day(spark, f"{out}/gold_daily_sales", DATE).filter("false"), f"{out}/gold_daily_sales", DATE)
     assert sinks.read_day(spark, f"{out}/gold_daily_sales", DATE).count() == 0
@@ -137,6 +137,14 @@ def test_customer_history_is_idempotent_and_closes_old_rows(spark):
     assert got == {("c1", "Paris"): (dt.datetime(2024, 2, 1), False), ("c1", "Lyon"): (None, True), ("c2", "Rome"): (None, True)}
     again = dimensions.dim_customers_scd2(full, new)
     assert again.select(new.columns).exceptAll(new).count() == 0 and again.count() == 3
+    back = full.filter("city = 'Paris'").withColumn("crm_updated_at", F.lit("2024-04-01").cast("timestamp"))
+    returned = dimensions.dim_customers_scd2(back, new)
+    assert returned.count() == returned.select("customer_sk").distinct().count() == 4
+    gone = full.filter("city = 'Lyon'").withColumns({"crm_updated_at": F.lit("2024-05-01").cast("timestamp"), "has_left": F.lit(True)})
+    left = dimensions.dim_customers_scd2(gone, new)
+    ends = {(r.customer_id, r.city): r.valid_to for r in left.collect()}
+    assert ends == {("c1", "Paris"): dt.datetime(2024, 2, 1), ("c1", "Lyon"): dt.datetime(2024, 5, 1), ("c2", "Rome"): None}
+    assert dimensions.dim_customers_scd2(full, left).select(left.columns).exceptAll(left).count() == 0
     same = full.filter("city = 'Lyon'").withColumn("crm_updated_at", F.lit("2024-03-01").cast("timestamp"))
     assert dimensions.dim_customers_scd2(same, new).count() == 3  # nothing changed, no new version
 

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 from pyspark.sql.window import Window
 
 
@@ -19,6 +20,15 @@ def _names(cols: str | Sequence[str]) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
+def _orderable(kind: DataType) -> bool:
+    """Maps and variants have no order, nor has anything that holds one."""
+    if isinstance(kind, ArrayType):
+        return _orderable(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_orderable(f.dataType) for f in kind.fields)
+    return kind.typeName() not in ("map", "variant")
+
+
 def _ties(df: DataFrame, used: set[str], ties: Sequence[str] | None) -> list[Column]:
     """Columns compared when the order columns tie, so that repeated runs keep the same row.
 
@@ -30,7 +40,7 @@ def _ties(df: DataFrame, used: set[str], ties: Sequence[str] | None) -> list[Col
     return [
         F.col(f"`{f.name}`").asc_nulls_last()
         for f in df.schema.fields
-        if f.name not in used and f.dataType.typeName() not in ("map", "variant")
+        if f.name not in used and _orderable(f.dataType)
     ]
 
 

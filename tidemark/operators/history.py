@@ -16,8 +16,8 @@ from pyspark.sql.window import Window
 _BEFORE_ALL = "0001-01-01"
 
 
-def _hour(ts: str) -> Column:
-    return F.coalesce(F.date_trunc("hour", ts), F.lit(_BEFORE_ALL).cast("timestamp"))
+def _start(unit: str, ts: str) -> Column:
+    return F.coalesce(F.date_trunc(unit, ts), F.lit(_BEFORE_ALL).cast("timestamp"))
 
 
 def _neighbour(df: DataFrame, key: str, ts: str, value: str, out: str, forward: bool) -> DataFrame:
@@ -27,7 +27,7 @@ def _neighbour(df: DataFrame, key: str, ts: str, value: str, out: str, forward:
     """
     step, back = (F.lead, F.lag) if forward else (F.lag, F.lead)
     in_slot = Window.partitionBy(key, "_slot").orderBy(ts)
-    marked = df.withColumn("_slot", _hour(ts)).withColumns(
+    marked = df.withColumn("_slot", _start("hour", ts)).withColumns(
         {
             "_near": step(value).over(in_slot),
             "_nth": F.row_number().over(in_slot),
@@ -55,25 +55,24 @@ def with_previous(df: DataFrame, key: str, ts: str, value: str, out: str) -> Dat
 def with_rank(df: DataFrame, key: str, ts: str, row_id: str, out: str) -> DataFrame:
     """Add the row number within the key by ``ts``; rows of equal ``ts`` are ordered by the MD5 of ``row_id``.
 
-    The hash order is what lets one day of one key be split: a slot is an hour and the first byte
-    of the hash. The rank is the rank in the slot plus the rows of earlier slots, whose
+    The hash order is what lets one day of one key be split: a slot of dates is a day and the first byte
+    of the hash, of times a second. The rank is the rank in the slot plus the rows of earlier slots, whose
     counts join on the partitioning that the slot window already has.
     """
-    hashed = df.withColumn("_hash", F.md5(F.col(row_id).cast("string")))
-    slots = hashed.withColumns({"_slot": _hour(ts), "_byte": F.substring("_hash", 1, 2)})
+    # Null keys are one key, as in a window; the prefix keeps them apart from the empty string.
+    hashed = df.withColumns({"_hash": F.md5(F.col(row_id).cast("string")), "_key": F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit(""))})
     if dict(df.dtypes)[ts] == "date":
-        order = ["_hash"]
+        slots, order = hashed.withColumns({"_slot": _start("hour", ts), "_byte": F.substring("_hash", 1, 2)}), ["_hash"]
     else:
-        # Within an hour time comes first, so the hash byte cannot split it.
-        slots, order = slots.withColumn("_byte", F.lit("")), [ts, "_hash"]
-    group = [key, "_slot", "_byte"]
+        # Within a second time comes first, so the hash byte cannot split it.
+        slots, order = hashed.withColumns({"_slot": _start("second", ts), "_byte": F.lit("")}), [ts, "_hash"]
+    group = ["_key", "_slot", "_byte"]
     counts = slots.groupBy(*group).agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(key).orderBy("_slot", "_byte").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_key").orderBy("_slot", "_byte").rowsBetween(Window.unboundedPreceding, -1)
     earlier = counts.select(*group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_earlier"))
     near = slots.withColumn("_nth", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
     rank = F.col("_nth") + F.coalesce("_earlier", F.lit(0))
-    # Null keys match nothing in the join; they are ranked within their slot only.
-    return near.join(earlier, group, "left").withColumn(out, rank).drop("_hash", "_slot", "_byte", "_nth", "_earlier")
+    return near.join(earlier, group, "left").withColumn(out, rank).drop("_hash", "_key", "_slot", "_byte", "_nth", "_earlier")
 
 
 def scd2_intervals(df: DataFrame, key: str, ts: str) -> DataFrame:

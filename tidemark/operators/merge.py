@@ -23,10 +23,16 @@ def upsert_newer(target: DataFrame, source: DataFrame, key: str, order_col: str)
     return first_by(both, key, order).drop("_old")
 
 
-def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Last run wins: source rows replace target rows of the same key, new columns are added."""
+def upsert(target: DataFrame, source: DataFrame, key: str, order_col: str | None = None) -> DataFrame:
+    """Last run wins: source rows replace target rows of the same key, new columns are added.
+
+    Of source rows with one key the greatest by ``order_col`` stays (without one, or on ties, the first by the other
+    columns), so a key is unique afterwards if it is in the target. Rows without a key match nothing and are all kept.
+    """
     kept = target.join(source.select(key).distinct(), key, "left_anti")
-    return kept.unionByName(source, allowMissingColumns=True)
+    single = dedup_latest(source.filter(F.col(key).isNotNull()), key, order_col or [])
+    fresh = single.unionByName(source.filter(F.col(key).isNull()))
+    return kept.unionByName(fresh, allowMissingColumns=True)
 
 
 def batch_max(df: DataFrame, cursor: str) -> DataFrame:

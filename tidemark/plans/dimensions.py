@@ -67,29 +67,39 @@ _CUSTOMER_COLUMNS = [
 
 
 def customer_versions(staged: DataFrame, effective: str) -> DataFrame:
-    """Tracked columns, content hash and effective time. Columns the source lacks are null."""
+    """Tracked columns, content hash and effective time, and whether the customer left with this version.
+
+    Columns the source lacks are null; without ``has_left`` nobody left.
+    """
     lacking = [c for c in _CUSTOMER_COLUMNS if c not in staged.columns]
     full = staged.withColumns({c: F.lit(None).cast("string") for c in lacking}) if lacking else staged
     return full.select(
         *_CUSTOMER_COLUMNS,
         text.row_hash(*V.CUSTOMER_TRACKED).alias("row_hash"),
         F.col(effective).alias("valid_from"),
+        (F.col("has_left") if "has_left" in staged.columns else F.lit(False)).alias("has_left"),
     )
 
 
 def dim_customers_scd2(staged: DataFrame, existing: DataFrame | None = None, effective: str = "crm_updated_at") -> DataFrame:
     """Type-2 customer dimension: old and new versions merged, unchanged ones dropped, intervals recomputed.
 
-    Merging the same input twice changes nothing: rows of equal customer and time collapse first.
+    A version with ``has_left`` closes the interval before it and opens none. Merging the same input twice changes
+    nothing: rows of equal customer and time collapse first. The key holds the time, as content can come back.
     """
     fresh = customer_versions(staged, effective).withColumn("_new", F.lit(1))
     if existing is not None:
-        kept = existing.select(*[c for c in fresh.columns if c != "_new"]).withColumn("_new", F.lit(0))
-        fresh = kept.unionByName(fresh)
-    single = first_by(fresh, ["customer_id", "valid_from"], [F.col("_new").desc(), F.col("row_hash")]).drop("_new")
-    changed = history.drop_unchanged(single, "customer_id", "valid_from", "row_hash")
-    keyed = changed.withColumn("customer_sk", text.surrogate_key("customer_id", "row_hash"))
-    return history.scd2_intervals(keyed, "customer_id", "valid_from")
+        columns = [c for c in fresh.columns if c not in ("_new", "has_left", "valid_from")]
+        # The end of a stored interval stands for a leaving, unless another version begins there.
+        ends = F.array(F.struct("valid_from", F.lit(False).alias("has_left")), F.struct(F.col("valid_to").alias("valid_from"), F.lit(True).alias("has_left")))
+        kept = existing.withColumn("_end", F.explode(ends)).filter("NOT _end.has_left OR _end.valid_from IS NOT NULL")
+        fresh = kept.select(*columns, "_end.valid_from", "_end.has_left", F.lit(0).alias("_new")).unionByName(fresh)
+    best = [F.col("_new").desc(), F.col("has_left"), F.col("row_hash")]
+    single = first_by(fresh, ["customer_id", "valid_from"], best).drop("_new")
+    stated = single.withColumn("_state", F.when(F.col("has_left"), F.lit("")).otherwise(F.col("row_hash")))
+    changed = history.drop_unchanged(stated, "customer_id", "valid_from", "_state").drop("_state")
+    keyed = changed.withColumn("customer_sk", text.surrogate_key("customer_id", "row_hash", "valid_from"))
+    return history.scd2_intervals(keyed, "customer_id", "valid_from").filter(~F.col("has_left")).drop("has_left")
 
 
 def dim_customers(profiles: DataFrame, as_of: str | None = None) -> DataFrame:

@@ -35,9 +35,13 @@ def filter_orders(df: DataFrame) -> DataFrame:
     return df.filter(placed & real & (money.or_zero(F.col("revenue_eur")) >= 0))
 
 
-def filter_accounts(df: DataFrame) -> DataFrame:
+def _is_customer() -> Column:
     segment = F.lower(F.coalesce(F.col("customer_segment__c"), F.lit("")))
-    return df.filter(~F.col("is_deleted") & (segment != "internal"))
+    return ~F.col("is_deleted") & (segment != "internal")
+
+
+def filter_accounts(df: DataFrame) -> DataFrame:
+    return df.filter(_is_customer())
 
 
 def country(c: str) -> Column:
@@ -58,8 +62,8 @@ def stg_orders(raw: DataFrame) -> DataFrame:
     ).drop("anonymous_customer_id")
 
 
-def stage_accounts(raw: DataFrame) -> DataFrame:
-    """Column work for account rows, one row in and one row out. Raw e-mail is not carried on."""
+def stage_accounts(raw: DataFrame, *more: str) -> DataFrame:
+    """Column work for account rows, one row in and one row out. Raw e-mail is not carried on, ``more`` columns are."""
     typed = cast_columns(
         raw, {"acquisition_date__c": "date", "created_date": "timestamp_ntz", "system_modstamp": "timestamp_ntz"}
     )
@@ -78,9 +82,16 @@ def stage_accounts(raw: DataFrame) -> DataFrame:
         F.col("account_id").alias("salesforce_account_id"),
         F.col("created_date").alias("crm_created_at"),
         F.col("system_modstamp").alias("crm_updated_at"),
+        *more,
     )
 
 
+def stage_account_versions(raw: DataFrame) -> DataFrame:
+    """All versions of the accounts; ``has_left`` marks those in which the account is deleted or internal."""
+    marked = drop_null_keys(raw, "account_id").withColumn("has_left", ~F.coalesce(_is_customer(), F.lit(False)))
+    return stage_accounts(marked, "has_left")
+
+
 def stg_customers(raw: DataFrame) -> DataFrame:
     """The latest version of each account, unless that version is deleted or internal."""
     latest = dedup_latest(drop_null_keys(raw, "account_id"), "account_id", "system_modstamp")
