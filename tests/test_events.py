@@ -180,3 +180,7 @@ def test_id_test_reaches_the_scan(spark, bronze, tmp_path):
     bronze({}).write.parquet(str(tmp_path / "b"))
     plan = silver.stateless(spark.read.parquet(str(tmp_path / "b")), AS_OF)._jdf.queryExecution().executedPlan().toString()
     assert "IsNotNull(event_id)" in plan.split("PushedFilters")[1]
+
+
+def test_processing_date_follows_the_run(bronze):
+    assert column(events.add_metadata(bronze({}), None, as_of=AS_OF), "_processing_date") == ["2024-06-01"]

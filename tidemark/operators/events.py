@@ -93,9 +93,11 @@ def parse_revenue(df: DataFrame) -> DataFrame:
 
 
 def add_metadata(
-    df: DataFrame, date: str, version: str | None = V.SILVER_VERSION, as_of: str | None = None
+    df: DataFrame, date: str | None, version: str | None = V.SILVER_VERSION, as_of: str | None = None
 ) -> DataFrame:
-    stamps = {"_silver_processed_at": times.moment(as_of), "_processing_date": F.lit(date)}
+    """Without a date the day of processing is taken, in a stream that of each batch."""
+    moment = times.moment(as_of)
+    stamps = {"_silver_processed_at": moment, "_processing_date": F.lit(date) if date else F.date_format(moment, "yyyy-MM-dd")}
     if version is not None:
         stamps["_silver_version"] = F.lit(version)
     return df.withColumns(stamps)

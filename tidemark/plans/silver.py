@@ -22,7 +22,7 @@ def unique(valid: DataFrame) -> DataFrame:
     return dedup.dedup_first(valid, "event_id", "_ingested_at", ties=("event_ts", "event_type", "_source_file"))
 
 
-def enrich(df: DataFrame, date: str, as_of: str | None = None) -> DataFrame:
+def enrich(df: DataFrame, date: str | None, as_of: str | None = None) -> DataFrame:
     """Row-local part after deduplication."""
     return (
         df.transform(events.parse_urls)

@@ -20,7 +20,7 @@ def bronze_stream(spark: SparkSession, path: str, files_per_batch: int | None =
 
 
 def silver_stream(
-    bronze: DataFrame, date: str, as_of: str | None = None, delay: str = "2 days", spread: int = 16
+    bronze: DataFrame, date: str | None = None, as_of: str | None = None, delay: str = "2 days", spread: int = 16
 ) -> DataFrame:
     """The Silver chain on a stream. The first copy of an event that arrives wins.
 
@@ -41,12 +41,16 @@ def stream_silver(
     bronze: DataFrame,
     out: str,
     checkpoint: str,
-    date: str,
+    date: str | None = None,
     as_of: str | None = None,
     delay: str = "2 days",
     drain: bool = False,
 ) -> StreamingQuery:
-    """Continuous Silver job; the ids seen are kept in RocksDB on the executors' disks and in the checkpoint."""
+    """Continuous Silver job; the ids seen are kept in RocksDB on the executors' disks and in the checkpoint.
+
+    Without ``date``, rows are filed under the day on which their batch ran. An event more than ``delay`` behind the newest
+    one is not written, even if it is the first copy; the daily batch has it.
+    """
     bronze.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     writer = (
         silver_stream(bronze, date, as_of, delay)
