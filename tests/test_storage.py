@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import AS_OF
-from tidemark.operators import documents, quality
+from tidemark.operators import documents, merge, quality
 from tidemark.plans import daily, dimensions, gold, silver, staging
 from tidemark.sources import bronze as bronze_source
 from tidemark.sources import silver as silver_source
@@ -101,6 +101,30 @@ def test_api_pages(spark):
     assert {r.page: r.next_cursor for r in bronze_source.page_cursors(pages).collect()} == {1: "c2", 2: None, 3: None, 4: None, 5: None}
 
 
+def test_unreadable_pages_are_reported(spark):
+    bodies = ['{"data": [{"a": 1}]}', "[]", '{"other": []}', "broken", None, '{"data": {"a": 1}}', '{"data": null}', "[broken", '{"data": []}', "7"]
+    pages = spark.createDataFrame(list(enumerate(bodies)), "page int, body string")
+    got = {r.page: (r.reason, r.body) for r in bronze_source.unreadable_pages(pages).collect()}
+    reasons = {2: "no records", 3: "not json", 4: "no body", 5: "not a list", 6: "no records", 7: "not json", 9: "no records"}
+    assert got == {page: (reason, bodies[page]) for page, reason in reasons.items()}
+
+
+def test_a_failing_write_leaves_the_old_day(spark, bronze, tmp_path):
+    path, gold_path = str(tmp_path / "silver"), str(tmp_path / "gold")
+    table = silver.silver_events(bronze({}, {"event_id": "e2"}), DATE, AS_OF)
+    sinks.write_replace(table, path, DATE)
+    sinks.publish_gold(table.select("event_id"), gold_path, DATE)
+    broken = table.withColumn("os", F.raise_error(F.lit("no such row")).cast("string"))
+    with pytest.raises(Exception, match="no such row"):
+        sinks.write_replace(broken, path, DATE)
+    with pytest.raises(Exception, match="no such row"):
+        sinks.publish_gold(broken.select("os"), gold_path, DATE)
+    assert silver_source.read_silver_events(spark, path, DATE).count() == 2 and sinks.read_day(spark, gold_path, DATE).count() == 2
+    sinks.write_replace(table.filter("event_id = 'e2'"), path, DATE)
+    assert [r.event_id for r in spark.read.parquet(path).collect()] == ["e2"]
+    assert os.listdir(path) == [f"_processing_date={DATE}"] and os.listdir(gold_path) == [f"report_date={DATE}"]
+
+
 def test_documents(spark):
     df = spark.createDataFrame(
         [("1", "u1", "+331", "", {"k": "v"}, ["a"], dt.datetime(2024, 1, 1), 5, None)],
@@ -192,6 +216,41 @@ def test_stream_silver_equals_batch(spark, bronze, tmp_path):
     assert streamed.exceptAll(batch).count() == 0 and streamed.count() == batch.count() == 30
 
 
+def test_stream_silver_keeps_a_first_copy_that_arrives_late(spark, bronze, tmp_path):
+    source, out, check = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+    def drain(*rows):
+        bronze(*rows).coalesce(1).write.mode("append").parquet(source)
+        event_stream.stream_silver(event_stream.bronze_stream(spark, source, 1), out, check, DATE, AS_OF, drain=True).awaitTermination()
+        return sorted(r.event_id for r in spark.read.parquet(out).collect())
+
+    late = {"event_id": "late", "event_timestamp": "2024-01-02T00:00:00Z"}
+    assert drain({"event_id": "new", "event_timestamp": "2024-01-20T00:00:00Z"}) == ["new"]
+    assert drain(late, {"event_id": "new2", "event_timestamp": "2024-01-21T00:00:00Z"}) == ["late", "new", "new2"]
+    assert drain(late, {"event_id": "new", "event_timestamp": "2024-01-20T00:00:00Z"}) == ["late", "new", "new2"]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == provider
+
+
+def test_stream_upsert_equals_a_merge_per_batch(spark, tmp_path):
+    source, log, check = (str(tmp_path / n) for n in ("in", "log", "cp"))
+    schema = "_id string, v string, updated_at timestamp"
+    at = lambda day: dt.datetime(2024, 1, day)
+    target = base = spark.createDataFrame([("a", "base", at(2)), ("n", "base", None)], schema)
+    batches = [[("c", "first", None), ("d", "first", at(3)), ("e", "none", None), ("e", "some", at(1))],
+               [("c", "second", at(5)), ("d", "second", None), ("n", "new", at(9)), ("e", "late", at(4))],
+               [("a", "new", at(4)), ("d", "third", at(3)), ("c", "third", at(9))]]
+    for rows in batches:
+        batch = spark.createDataFrame(rows, schema).coalesce(1)
+        batch.write.mode("append").parquet(source)
+        target = merge.upsert_newer(target, batch, "_id", "updated_at")
+        feed = spark.readStream.schema(base.schema).parquet(source)
+        profiles.stream_upsert(feed, log, check, drain=True).awaitTermination()
+    got = profiles.read_upserted(spark, log, base.schema, "_id", "updated_at", base)
+    assert {r._id: r.v for r in got.collect()} == {r._id: r.v for r in target.collect()} == {
+        "a": "new", "n": "base", "c": "first", "d": "first", "e": "late"}
+
+
 def test_stream_upsert_keeps_the_newest_and_survives_a_repeat(spark, tmp_path):
     source, log, check, base_out = (str(tmp_path / n) for n in ("in", "log", "cp", "base"))
     schema = "_id string, v string, updated_at timestamp"

@@ -24,17 +24,20 @@ def silver_stream(
 ) -> DataFrame:
     """The Silver chain on a stream. The first copy of an event that arrives wins.
 
-    Seen ids are kept for ``delay`` of event time, so the state is bounded; copies further apart
-    are left to the daily batch. A stream has no reduction before its shuffle, so copies of an
+    The watermark runs on the time of arrival (the batch's own time, which a repeated batch keeps), not on the event's:
+    an event that is days behind the others is written like any other. Seen ids are kept for ``delay`` after their
+    arrival, so the state is bounded by the traffic of that time; a copy that arrives later still is written
+    again and left to the daily batch. A stream has no reduction before its shuffle, so copies of an
     event are first thinned out in ``spread`` groups by their origin; at most ``spread`` copies
     of an id then meet. ``spread=1`` saves that step where ids do not repeat much.
     """
-    valid = silver.stateless(bronze, as_of).withWatermark("event_ts", delay)
+    arrived = silver.stateless(bronze, as_of).withColumn("_arrived", F.current_timestamp())
+    valid = arrived.withWatermark("_arrived", delay)
     if spread > 1:
         origin = F.pmod(F.xxhash64("_source_file", "_ingested_at"), F.lit(spread))
         thinned = valid.withColumn("_origin", origin).dropDuplicatesWithinWatermark(["event_id", "_origin"])
         valid = thinned.drop("_origin")
-    return silver.enrich(valid.dropDuplicatesWithinWatermark(["event_id"]), date, as_of)
+    return silver.enrich(valid.dropDuplicatesWithinWatermark(["event_id"]).drop("_arrived"), date, as_of)
 
 
 def stream_silver(
@@ -48,10 +51,12 @@ def stream_silver(
 ) -> StreamingQuery:
     """Continuous Silver job; the ids seen are kept in RocksDB on the executors' disks and in the checkpoint.
 
-    Without ``date``, rows are filed under the day on which their batch ran. An event more than ``delay`` behind the newest
-    one is not written, even if it is the first copy; the daily batch has it.
+    Without ``date``, rows are filed under the day on which their batch ran. No event is dropped for being late.
+    The state store is set for this query only: a query copies the session's settings when it starts.
     """
-    bronze.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    conf, setting = bronze.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(setting)
+    conf.set(setting, ROCKSDB)
     writer = (
         silver_stream(bronze, date, as_of, delay)
         .writeStream.format("parquet")
@@ -59,4 +64,7 @@ def stream_silver(
         .option("path", out)
         .partitionBy("_processing_date", "event_date", "event_type")
     )
-    return (writer.trigger(availableNow=True) if drain else writer.trigger(processingTime="1 minute")).start()
+    try:
+        return (writer.trigger(availableNow=True) if drain else writer.trigger(processingTime="1 minute")).start()
+    finally:
+        conf.set(setting, before)

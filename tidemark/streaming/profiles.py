@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.window import Window
 
 from tidemark.operators.dedup import first_by
 
@@ -26,16 +27,19 @@ def stream_upsert(changes: DataFrame, path: str, checkpoint: str, drain: bool =
 
 
 def read_upserted(spark: SparkSession, path: str, schema: StructType, key: str, order_col: str, base: DataFrame | None = None) -> DataFrame:
-    """The upserted table: newest row per key; on equal order the earlier batch stays, as in a merge.
+    """The upserted table: newest row per key; on equal order the earlier batch stays.
 
-    A base row without an order value is never replaced.
+    The same as one ``merge.upsert_newer`` per batch, in order: a key whose first row has no order value (in the base
+    or in the batch that brought it) is never replaced. Rows are reduced per key and batch first.
     """
     log = spark.read.schema(StructType([*schema.fields, StructField("_batch", LongType())])).parquet(path)
     if base is not None:
         log = log.unionByName(base.withColumn("_batch", F.lit(-1).cast("bigint")))
-    fixed = ((F.col("_batch") == -1) & F.col(order_col).isNull()).cast("int").desc()
-    order = [fixed, F.col(order_col).desc_nulls_last(), F.col("_batch").asc()]
-    return first_by(log, key, order).drop("_batch")
+    newest = F.col(order_col).desc_nulls_last()
+    per_batch = first_by(log, [key, "_batch"], [newest])
+    entered = per_batch.withColumn("_entered", F.min("_batch").over(Window.partitionBy(key)))
+    fixed = ((F.col("_batch") == F.col("_entered")) & F.col(order_col).isNull()).cast("int").desc()
+    return first_by(entered, key, [fixed, newest, F.col("_batch").asc()]).drop("_batch", "_entered")
 
 
 def compact(spark: SparkSession, path: str, schema: StructType, key: str, order_col: str, out: str, base: DataFrame | None = None) -> None:
