@@ -183,7 +183,8 @@ def _(spark, sf):
 
 @query(
     "a10_pages",
-    """SELECT p_partkey // 50 AS page, p_partkey AS sku, p_name AS name, p_retailprice AS price FROM part WHERE (p_partkey // 50) % 5 <> 3""",
+    """SELECT p_partkey // 50 AS page, p_partkey AS sku, p_name AS name, p_retailprice AS price FROM part
+    WHERE (p_partkey // 50) % 5 <> 3 AND (p_partkey // 50) % 11 <> 10 AND (p_partkey // 50) % 13 <> 12""",
 )
 def _(spark, sf):
     records = bronze.explode_api_pages(views.api_pages(spark, sf), "data")
@@ -195,9 +196,18 @@ def _(spark, sf):
     )
 
 
+@query(
+    "a10_bad_pages",
+    """SELECT DISTINCT page, CASE WHEN page % 11 = 10 THEN 'not json' WHEN page % 13 = 12 THEN 'not a list' ELSE 'no records' END AS reason
+    FROM (SELECT p_partkey // 50 AS page FROM part) WHERE page % 11 = 10 OR page % 13 = 12 OR page % 5 = 3""",
+)
+def _(spark, sf):
+    return bronze.unreadable_pages(views.api_pages(spark, sf), "data").select("page", "reason")
+
+
 @query(
     "a11_cursors",
-    """SELECT page, CASE WHEN page % 5 <> 4 AND page % 7 <> 6 THEN 'cur-' || (page + 1) END AS next_cursor
+    """SELECT page, CASE WHEN page % 11 <> 10 AND (page % 13 = 12 OR page % 5 <> 4) AND page % 7 <> 6 THEN 'cur-' || (page + 1) END AS next_cursor
     FROM (SELECT DISTINCT p_partkey // 50 AS page FROM part)""",
 )
 def _(spark, sf):

@@ -10,6 +10,8 @@ from catalog.views_sql import day, fixed, ts
 from tidemark.functions import text
 from tidemark.operators import aggregates, contract, dedup, events
 from tidemark.plans import silver
+from tidemark.session import scratch
+from tidemark.sources import sinks
 
 SILVER_SQL_COLUMNS = f"""event_id, session_id, user_id, anonymous_id, event_type, {ts('event_ts')} AS event_ts,
   {day('event_date')} AS event_date, page_url, referrer_url, page_domain, page_path, referrer_domain, referrer_channel,
@@ -138,22 +140,24 @@ def _(spark, sf):
 
 
 LITE_SQL = r"""
-SELECT DISTINCT event_id, session_id, user_id, anonymous_id, event_type, country_code, device_type,
+SELECT event_id, session_id, user_id, anonymous_id, event_type, country_code, device_type,
   CASE WHEN event_timestamp LIKE '____-__-__T%' THEN event_ts END AS event_ts,
   CASE WHEN event_timestamp LIKE '____-__-__T%' THEN event_date END AS event_date,
   CASE WHEN ip_address LIKE '%.%.%.%' THEN regexp_extract(ip_address, '^(\d+\.\d+\.\d+)\.', 1) || '.0'
       WHEN ip_address = '2001:db8:85a3:0:0:8a2e:370:7334' THEN '2001:db8:85a3:0:0:0:0:0'
       WHEN ip_address LIKE '2001:db8::%' THEN '2001:db8:0:0:0:0:0:0' END AS ip_anonymized,
   CASE WHEN revenue IS NULL THEN 0.0::DOUBLE ELSE TRY_CAST(replace(regexp_extract(revenue, '\d+[.,]\d+'), ',', '.') AS DOUBLE) END AS revenue_eur
-FROM timed_events WHERE event_id IS NOT NULL AND event_id <> '' AND (user_id IS NOT NULL OR anonymous_id IS NOT NULL)
+FROM timed_events WHERE event_id IS NOT NULL AND (user_id IS NOT NULL OR anonymous_id IS NOT NULL)
   AND event_type IN ('page_view','product_view','add_to_cart','remove_from_cart','checkout_start','purchase','search','session_start')
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY _ingested_at NULLS LAST, _source_file NULLS LAST, event_timestamp NULLS LAST,
+  event_type NULLS LAST, session_id NULLS LAST, user_id NULLS LAST, anonymous_id NULLS LAST, country_code NULLS LAST, device_type NULLS LAST,
+  ip_address NULLS LAST, revenue NULLS LAST) = 1
 """
 
 
 def lite_events(spark, sf):
-    # The reduced chain keeps empty ids as one event; which row that is depends on the run, so they are made null here.
-    named = views.bronze_events(spark, sf).withColumn("event_id", F.nullif("event_id", F.lit("")))
-    return silver.silver_events_lite(named, DATE, AS_OF)
+    """The reduced chain keeps all rows with an empty id as one event, their first by the named order."""
+    return silver.silver_events_lite(views.bronze_events(spark, sf), DATE, AS_OF)
 
 
 @query(
@@ -235,13 +239,18 @@ FROM (SELECT * REPLACE (
 """
 
 
+def checked_messages(spark, sf, verdict: str):
+    """One pass over the messages and one write; each reader takes its part."""
+    path = scratch(spark, "checked")
+    sinks.write_checked(contract.with_violations(contract_messages(spark, sf)), path)
+    return spark.read.parquet(path).filter(F.col("_verdict") == verdict)
+
+
 @query("c8_contract_quarantine", f"SELECT * FROM ({CONTRACT_SQL}) WHERE violations <> ''")
 def _(spark, sf):
-    _, quarantine = contract.check_contract(contract_messages(spark, sf))
-    return quarantine.select("source_id", "_source_file", "violations")
+    return checked_messages(spark, sf, "quarantine").select("source_id", "_source_file", F.array_join("violations", ",").alias("violations"))
 
 
 @query("c8_contract_valid", f"SELECT source_id, _source_file FROM ({CONTRACT_SQL}) WHERE violations = ''")
 def _(spark, sf):
-    valid, _ = contract.check_contract(contract_messages(spark, sf))
-    return valid.select("source_id", "_source_file")
+    return checked_messages(spark, sf, "valid").select("source_id", "_source_file")

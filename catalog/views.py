@@ -240,7 +240,7 @@ PAGE_SIZE = 50
 
 
 def api_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """Response pages of 50 records. A page is a fixed key range, so its list is bounded."""
+    """Response pages of 50 records, some broken, some without a list. A page is a fixed key range, so its list is bounded."""
     records = table(spark, sf, "part").selectExpr(
         f"p_partkey div {PAGE_SIZE} AS page", "named_struct('sku', p_partkey, 'name', p_name, 'price', p_retailprice) AS r"
     )
@@ -248,7 +248,9 @@ def api_pages(spark: SparkSession, sf: str) -> DataFrame:
     cursor = "CASE WHEN page % 7 <> 6 THEN concat('cur-', page + 1) END"
     return pages.selectExpr(
         "page",
-        f"""CASE WHEN page % 5 = 4 THEN to_json(data)
+        f"""CASE WHEN page % 11 = 10 THEN concat('{{broken ', to_json(data))
+             WHEN page % 13 = 12 THEN to_json(named_struct('data', data[0], 'meta', named_struct('next_cursor', {cursor})))
+             WHEN page % 5 = 4 THEN to_json(data)
              WHEN page % 5 = 3 THEN to_json(named_struct('items', data, 'meta', named_struct('next_cursor', {cursor})))
              ELSE to_json(named_struct('data', data, 'meta', named_struct('next_cursor', {cursor}))) END AS body""",
     )

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tidemark.operators import aggregates, dedup, joins, merge
@@ -30,9 +31,9 @@ def test_attribution_counts_each_order_once_with_the_latest_start(spark):
 
 
 def test_lookup_keys_uses_the_unknown_member(spark):
-    fact = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    fact = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, id int")
     dim = spark.createDataFrame([("a", "sk-a")], "k string, sk string")
-    assert sorted(r.sk for r in joins.lookup_keys(fact, dim, "k", "sk").collect()) == ["-1", "-1", "sk-a"]
+    assert sorted(r.sk for r in joins.lookup_keys(fact, dim, "k", "sk", spread_by="id").collect()) == ["-1", "-1", "sk-a"]
 
 
 def test_orphans_and_expand(spark):
@@ -54,6 +55,22 @@ def test_upsert_newer(spark):
     assert twice.exceptAll(once).count() == 0 and once.count() == twice.count()
 
 
+def test_upsert_newer_sorts_touched_keys_only(spark):
+    schema = "id string, v string, at timestamp"
+    target = spark.createDataFrame([(f"k{i}", "old", D(2)) for i in range(500)] + [(None, "old", D(2))] * 2, schema)
+    source = spark.createDataFrame([("k7", "new", D(3)), (None, "new", D(1))], schema)
+    merged = merge.upsert_newer(target, source, "id", "at")
+    assert merged.count() == 503 and merged.filter("v = 'new'").count() == 2
+    seen = Observation("sorted")
+    real = merge.first_by
+    merge.first_by = lambda df, *rest: real(df.observe(seen, F.count(F.lit(1)).alias("rows")), *rest)
+    try:
+        merge.upsert_newer(target, source, "id", "at").write.format("noop").mode("overwrite").save()
+    finally:
+        merge.first_by = real
+    assert seen.get["rows"] == 2
+
+
 def test_upsert_last_run_wins_and_adds_columns(spark):
     target = spark.createDataFrame([("a", 1), ("b", 2)], "id string, v int")
     source = spark.createDataFrame([("b", 3, "x"), ("c", 4, "y")], "id string, v int, w string")

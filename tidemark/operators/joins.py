@@ -47,10 +47,13 @@ def attribute_orders(orders: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def lookup_keys(
-    fact: DataFrame, dim: DataFrame, on: str, key: str, unknown: str | int = V.UNKNOWN_KEY, spread_by: str | None = None
+    fact: DataFrame, dim: DataFrame, on: str, key: str, unknown: str | int = V.UNKNOWN_KEY, *, spread_by: str
 ) -> DataFrame:
-    """Add the dimension columns; the surrogate key is the unknown member where nothing matches."""
-    joined = lookup(fact, dim, on, spread_by or on)
+    """Add the dimension columns; the surrogate key is the unknown member where nothing matches.
+
+    ``spread_by`` is a column that differs between facts with a null key (see ``lookup``).
+    """
+    joined = lookup(fact, dim, on, spread_by)
     return joined.withColumn(key, F.coalesce(F.col(key), F.lit(unknown)))
 
 

@@ -13,14 +13,19 @@ def upsert_newer(target: DataFrame, source: DataFrame, key: str, order_col: str)
     """Insert new keys; replace a target row only by a source row that is strictly newer.
 
     A target row without an order value is never replaced, since no comparison with it
-    holds. Ties keep the target.
+    holds. Ties keep the target. Of source rows with one key the newest counts. Rows without a key match
+    nothing and are all kept. Only target rows whose key is in the source are compared; the others, found by
+    a join with the distinct keys that AQE broadcasts if they are few, are passed on unsorted.
     """
-    both = target.withColumn("_old", F.lit(1)).unionByName(
-        source.withColumn("_old", F.lit(0)), allowMissingColumns=True
+    keys = source.filter(F.col(key).isNotNull()).select(key).distinct()
+    touched = target.join(keys, key, "left_semi")
+    rest = target.join(keys, key, "left_anti").unionByName(source.filter(F.col(key).isNull()), allowMissingColumns=True)
+    both = touched.withColumn("_old", F.lit(1)).unionByName(
+        source.filter(F.col(key).isNotNull()).withColumn("_old", F.lit(0)), allowMissingColumns=True
     )
     pinned = ((F.col("_old") == 1) & F.col(order_col).isNull()).cast("int").desc()
     order = [pinned, F.col(order_col).desc_nulls_last(), F.col("_old").desc()]
-    return first_by(both, key, order).drop("_old")
+    return rest.unionByName(first_by(both, key, order).drop("_old"))
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str, order_col: str | None = None) -> DataFrame:

@@ -168,13 +168,13 @@ def _unique_check(df: DataFrame, check: Unique) -> DataFrame:
 
 
 def _reference_check(df: DataFrame, check: Reference) -> DataFrame:
-    lost = orphans(df, check.parent, check.column, check.parent_column)
-    used = df.agg(F.count(check.column).alias("total"))
-    broken = lost.agg(F.coalesce(F.sum("child_rows"), F.lit(0)).alias("failing"))
-    both = broken.select("failing", F.lit(0).cast("bigint").alias("total")).unionAll(
-        used.select(F.lit(0).cast("bigint"), "total")
+    """Rows whose non-null key has no parent. Children are counted per key once, parents made distinct."""
+    used = df.filter(F.col(check.column).isNotNull()).groupBy(check.column).agg(F.count("*").alias("n"))
+    known = check.parent.select(F.col(check.parent_column).alias(check.column)).distinct().withColumn("_known", F.lit(True))
+    totals = used.join(known, check.column, "left").agg(
+        F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("n"))), F.lit(0)).alias("failing"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
     )
-    totals = both.agg(F.sum("failing").alias("failing"), F.sum("total").alias("total"))
     return _verdict(_labelled(totals, "relationship", check.column, check.severity))
 
 

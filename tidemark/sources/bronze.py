@@ -54,14 +54,31 @@ def stamp_bronze(
 def explode_api_pages(pages: DataFrame, data_path: str = "data", body: str = "body") -> DataFrame:
     """Records of landed response pages as ``record`` (JSON text), from a dotted path.
 
-    A top-level array is itself the record list; a page without the path gives no rows.
+    A top-level array is itself the record list; a page without a list there gives no rows and is
+    reported by ``unreadable_pages``.
     """
+    items = F.try_variant_get(_page_records(data_path, body), "$", "array<variant>")
+    return pages.withColumn("_item", F.explode(items)).withColumn("record", F.to_json("_item")).drop("_item", body)
+
+
+def _page_records(data_path: str, body: str) -> Column:
     page = F.try_parse_json(F.col(body))
-    found = F.when(F.ltrim(F.col(body)).startswith("["), page).otherwise(
-        F.try_variant_get(page, f"$.{data_path}", "variant")
+    return F.when(F.ltrim(F.col(body)).startswith("["), page).otherwise(F.try_variant_get(page, f"$.{data_path}", "variant"))
+
+
+def unreadable_pages(pages: DataFrame, data_path: str = "data", body: str = "body") -> DataFrame:
+    """Pages that ``explode_api_pages`` has no records of, other than by an empty list, with a ``reason``.
+
+    ``no body`` (null), ``not json``, ``no records`` (the path is missing or null) or ``not a list``. The body stays, for repair.
+    """
+    found = _page_records(data_path, body)
+    reason = (
+        F.when(F.col(body).isNull(), "no body")
+        .when(F.try_parse_json(F.col(body)).isNull(), "not json")
+        .when(found.isNull() | F.is_variant_null(found), "no records")
+        .when(F.try_variant_get(found, "$", "array<variant>").isNull(), "not a list")
     )
-    items = F.try_variant_get(found, "$", "array<variant>")
-    return pages.withColumn("_item", F.explode(items)).withColumn("record", F.to_json("_item")).drop("_item", body)
+    return pages.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 
 def page_cursors(pages: DataFrame, cursor_path: str = "meta.next_cursor", body: str = "body") -> DataFrame:

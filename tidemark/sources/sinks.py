@@ -1,8 +1,14 @@
-"""Table writes. All are safe to repeat."""
+"""Table writes. All are safe to repeat.
+
+A day or table is replaced by writing a new folder beside it and switching the two once the write succeeded: a failed
+run leaves the old rows readable. Readers that list files see the old or the new rows, or for the moment between
+two renames (not atomic on an object store) no folder; what a crash leaves there starts with a dot and is not read.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +16,27 @@ from pyspark.sql import functions as F
 _SPREAD = 64
 
 
+def _switch(spark: SparkSession, folder: str, write: Callable[[str], None]) -> None:
+    """``write`` to a hidden folder beside ``folder``, then put it in its place."""
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    target = Path(folder)
+    tag = uuid.uuid4().hex
+    fresh, stale = (Path(target.getParent(), f".{kind}-{target.getName()}-{tag}") for kind in ("new", "old"))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        write(fresh.toString())
+    except BaseException:
+        fs.delete(fresh, True)
+        raise
+    if fs.exists(target) and not fs.rename(target, stale):
+        raise OSError(f"cannot move {folder} aside")
+    if not fs.rename(fresh, target):
+        fs.rename(stale, target)
+        raise OSError(f"cannot put the new rows at {folder}")
+    fs.delete(stale, True)
+    spark.catalog.refreshByPath(folder)
+
+
 def write_replace(df: DataFrame, path: str, date: str, files: int | None = None) -> None:
     """Replace exactly the rows of one processing day.
 
@@ -23,17 +50,13 @@ def write_replace(df: DataFrame, path: str, date: str, files: int | None = None)
         laid_out = df.hint("rebalance", *spread)
     else:
         laid_out = df.repartition(files, *spread, F.pmod(F.xxhash64("event_id"), F.lit(_SPREAD)))
-    (
-        laid_out.drop("_processing_date")
-        .write.mode("overwrite")
-        .partitionBy(*spread)
-        .parquet(f"{path}/_processing_date={date}")
-    )
+    days = laid_out.drop("_processing_date").write.partitionBy(*spread)
+    _switch(df.sparkSession, f"{path}/_processing_date={date}", days.parquet)
 
 
 def publish_gold(df: DataFrame, path: str, date: str) -> None:
     """Replace one report day; other days stay. An empty result leaves an empty day, not the rows of an earlier run."""
-    df.drop("report_date").write.mode("overwrite").parquet(f"{path}/report_date={date}")
+    _switch(df.sparkSession, f"{path}/report_date={date}", df.drop("report_date").write.parquet)
 
 
 def read_day(spark: SparkSession, path: str, date: str) -> DataFrame:
@@ -48,7 +71,13 @@ def publish_staging(df: DataFrame, root: str, name: str, jdbc: dict | None = Non
     if jdbc:
         df.write.format("jdbc").options(**jdbc, dbtable=table).mode("overwrite").save()
     else:
-        df.write.mode("overwrite").parquet(f"{root}/{table}")
+        _switch(df.sparkSession, f"{root}/{table}", df.write.parquet)
+
+
+def write_checked(checked: DataFrame, path: str) -> None:
+    """Rows with their ``violations`` in one pass and one write, under ``_verdict=valid`` and ``_verdict=quarantine``."""
+    verdict = F.when(F.col("violations").isNull(), "valid").otherwise("quarantine")
+    checked.withColumn("_verdict", verdict).write.mode("overwrite").partitionBy("_verdict").parquet(path)
 
 
 def write_clustered(df: DataFrame, path: str, cols: Sequence[str], spread_by: str, files: int | None = None) -> None:
