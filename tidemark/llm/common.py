@@ -50,6 +50,13 @@ def unwrapped(df: DataFrame, columns: list[str], **new: str | Column) -> DataFra
     return df.select(*kept, *[(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in new.items()])
 
 
+def _joined(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Inner join on a long, by its text: both sides get a shuffle of their own right below the join, and only then
+    does AQE split a hot key. A right side that kept the partitioning of its aggregation would not be split."""
+    text = F.col(key).cast("string")
+    return left.withColumn("_key", text).join(right.withColumn("_key", text).drop(key), "_key").drop("_key")
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of (a, b) links of longs: (id, component), the smallest id reachable.
 
@@ -65,11 +72,11 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         # Large star: a's larger neighbours, to a's smallest.
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = _joined(both.where("b > a"), least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where("a <> b").distinct()
         # Small star: a's smaller neighbours and a itself, to the smallest of them.
         small_min = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(small_min, "a")
+        small = _joined(large, small_min, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         edges = written(small.unionByName(small_min.select("a", F.col("m").alias("b"))).distinct(), "links")
         after = edges.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first()
