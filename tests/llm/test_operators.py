@@ -227,6 +227,34 @@ def test_leaks_are_found(spark, docs, none):
     assert decontamination.op9_decontaminate(docs, bench.where("item_id > 2")).count() == 0
 
 
+def test_edited_leaks_are_those_of_smith_waterman(spark):
+    rng = random.Random(3)
+    items = {i: words(n, 500 + i).split() for i, n in enumerate((42, 42, 15, 24, 59, 2, 1))}
+    items[7] = items[0][:20] + words(20, 600).split()
+
+    def every(k, item, put):
+        return [w for n, word in enumerate(item) for w in put(n % k == k - 1, word)]
+
+    swap = lambda hit, word: ["zz%d" % rng.randrange(10**6)] if hit else [word]
+    more = lambda hit, word: [word, "yy%d" % rng.randrange(10**6)] if hit else [word]
+    less = lambda hit, word: [] if hit else [word]
+    made = [items[1]]
+    for item in items.values():
+        made += [every(k, item, put) for k in (1, 2, 3, 4, 6) for put in (swap, more, less) if k > 1 or put is more]
+        made += [item[: len(item) // 2], item[len(item) // 3 :]]
+    texts = [words(60, 700 + n).split() + m + words(60, 900 + n).split() for n, m in enumerate(made)]
+    table = spark.createDataFrame([(n, " ".join(t)) for n, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()], "item_id long, text string")
+    want = {}
+    for n, text in enumerate(texts):
+        for i, item in items.items():
+            score = decontamination.align(decontamination.plain_words(" ".join(item)), decontamination.plain_words(" ".join(text)))[0]
+            if score >= (decontamination.LEAST if len(item) >= decontamination.N else 1):
+                want[n, i] = score
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontamination.op9_decontaminate(table, bench).collect()}
+    assert len(want) > 60 and got == want
+
+
 def test_scores_are_probabilities_and_counts_are_exact(docs, none):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     rows = scoring.op1_score(docs, path).collect()

@@ -1,36 +1,47 @@
-"""Benchmark decontamination: rare n-gram seeds join passages to test items, Smith-Waterman scores the pairs.
+"""Benchmark decontamination: rare word seeds find places of test items in documents, Smith-Waterman scores them.
 
-1. Count, for every word n-gram of the benchmark, the documents that have it. Per item, the rarer half of its n-grams
-   are its seeds, so an item that leaked everywhere keeps seeds too.
-2. A passage of a document is a run of seed hits with gaps of at most ``GAP`` words; with two hits or more it meets the
-   items of its seeds. Hits are found with a bitmap of ``SLOTS`` hash slots (2 MB at any size) and joined to the
-   seeds by their hash, so a chance hit of the bitmap goes.
-3. A passage, with the words around it that the item could cover, is aligned word by word with the item. The score is
-   that of the local alignment over that of a perfect copy; edits, insertions and left-out words only lower it.
+A pair counts when its local alignment scores ``LEAST`` of a perfect copy's ``MATCH`` x words. Nothing that does may be
+missed, however it was edited, so the seeds are single words (1-grams: longer ones break with every third word
+replaced) and each step before the alignment is a bound that such an alignment cannot fail:
+
+1. It matches at least M = ``LEAST`` x words of the item's words, within a span of ``(3 - 2 x LEAST)`` x words in the
+   document, as every word that is left out or replaced costs 1. So of any (words - M + H) words of the item it has H.
+   An item's seeds are that many of its words, those in the fewest documents, with H = ``HITS`` (M, if less).
+   Words in no document need no exception: they are among those that an alignment may lack.
+2. Places where H seeds stand within a span make a passage. Its words count +2 if the item has them and -1 if not; the
+   largest sum of a stretch bounds the score from above, and most passages end here.
+3. The others are aligned word by word. The score is that of the local alignment over that of a perfect copy.
+
+Items are held in slabs of about ``SLAB_WORDS`` words, each broadcast to a pass over the documents, so no task holds a
+large benchmark; long passages are cut into pieces that overlap by a span. A single item's alignment table is its words
+by ``PIECE`` and its span.
 
 Words are compared in lower case without punctuation at their ends. Defined results: null and empty texts and items, and
-texts without words, match nothing; an item shorter than ``N`` words has one seed, all its words, and needs one hit;
-repeated items match each for itself, repeated rows give repeated rows; empty tables give no rows; other columns are
-not read.
+texts without words, match nothing; an item shorter than ``N`` words counts only as a whole copy; repeated items match
+each for itself, repeated rows give repeated rows; empty tables give no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import written
-from tidemark.llm.ngrams import WordHash, grams
+from tidemark.llm.ngrams import WordHash
 from tidemark.llm.token_files import chunks
 
+#: Items of fewer words count only as a whole copy.
 N = 3
 SLOTS = 1 << 24
-GAP = 60
+#: Seeds that a passage must have, and words of items held at once.
+HITS, SLAB_WORDS = 4, 1 << 20
+#: Passage words aligned at once, besides the overlap.
+PIECE = 4096
 #: Local alignment: a match, a mismatch, a word left out on either side.
 MATCH, MISMATCH, SKIP = 2, -1, -1
 #: A pair counts from this share of a perfect copy's score on.
@@ -43,104 +54,123 @@ def plain_words(text: str | None) -> list[bytes]:
     return [s for w in words if (s := w.strip(EDGES))]
 
 
-def item_grams(benchmark: DataFrame) -> DataFrame:
-    """(item_id, hash, at, words, need): the n-grams of every item and how many hits a passage needs."""
+def benchmark_words(slabs: DataFrame) -> DataFrame:
+    """(slab, hash): the distinct words of every slab of items."""
 
     def build(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHash()
         for frame in rows:
-            for item, text in zip(frame["item_id"], frame["text"]):
-                words = plain_words(text)
-                if not words or pd.isna(item):
-                    continue
-                n = min(N, len(words))
-                found = grams(known.of(words), n)
-                yield pd.DataFrame({"item_id": int(item), "hash": found.view(np.int64), "at": np.arange(len(found)), "words": len(words), "n": n, "need": 1 if len(found) < 2 else 2})
+            for slab, part in frame.groupby("slab"):
+                yield pd.DataFrame({"slab": slab, "hash": np.unique(known.of([w for t in part["text"] for w in plain_words(t)])).view(np.int64)})
 
-    return benchmark.select("item_id", "text").mapInPandas(build, "item_id long, hash long, at int, words int, n int, need int")
+    return slabs.select("slab", "text").mapInPandas(build, "slab int, hash long").distinct()
 
 
 def slot(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(40)).astype(np.int64)
 
 
-def bitmap(seeds: DataFrame) -> tuple[bytes, list[int]]:
-    """The slots that any seed falls into, one bit each, and the lengths of the seeds (N, and less for short items)."""
-    slots = seeds.select(F.shiftrightunsigned("hash", 40).alias("s")).distinct().toPandas()["s"].to_numpy()
+def bitmap(hashes: DataFrame) -> bytes:
+    """The slots that any hash falls into, one bit each."""
     bits = np.zeros(SLOTS, bool)
-    bits[slots] = True
-    return np.packbits(bits).tobytes(), sorted(r[0] for r in seeds.select("n").distinct().collect())
-
+    bits[hashes.select(F.shiftrightunsigned("hash", 40).alias("s")).distinct().toPandas()["s"].to_numpy()] = True
+    return np.packbits(bits).tobytes()
 
-def hits_of(known: WordHash, words: list[bytes], bits: np.ndarray, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and positions of the n-grams that fall on a bit."""
-    hashed, found, places = known.of(words), [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-    for n in lengths:
-        some = grams(hashed, n)
-        at = np.flatnonzero(bits[slot(some)])
-        found.append(some[at])
-        places.append(at)
-    hashes, at = np.concatenate(found), np.concatenate(places)
-    order = np.argsort(at, kind="stable")
-    return hashes[order].view(np.int64), at[order]
 
-
-def document_counts(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(hash, docs): how many documents have each n-gram of the benchmark."""
-    packed, lengths = bitmap(items)
-    shared = docs.sparkSession.sparkContext.broadcast(packed)
+def document_counts(docs: DataFrame, words: DataFrame) -> DataFrame:
+    """(hash, docs): how many documents have each word of the benchmark; a few chance hits of the bitmap besides."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(words))
 
     def build(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, bits = WordHash(), np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
         for frame in rows:
             for some in chunks(frame):
-                found = [np.unique(hits_of(known, w, bits, lengths)[0]) for t in some["text"] if (w := plain_words(t))]
-                hashes, counts = np.unique(np.concatenate([np.empty(0, np.int64), *found]), return_counts=True)
-                yield pd.DataFrame({"hash": hashes, "docs": counts})
-
-    counts = docs.select("text").mapInPandas(build, "hash long, docs long").groupBy("hash").agg(F.sum("docs").alias("docs"))
-    return items.select("hash").distinct().join(counts, "hash", "left").fillna(0, ["docs"])
+                found = [np.empty(0, np.uint64)]
+                for text in some["text"]:
+                    hashes = known.of(plain_words(text))
+                    found.append(np.unique(hashes[bits[slot(hashes)]]))
+                hashes, counts = np.unique(np.concatenate(found), return_counts=True)
+                yield pd.DataFrame({"hash": hashes.view(np.int64), "docs": counts})
 
+    return docs.select("text").mapInPandas(build, "hash long, docs long").groupBy("hash").agg(F.sum("docs").alias("docs"))
 
-def rare_seeds(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rarer half of each item's n-grams, two at least."""
-    items = written(item_grams(benchmark), "item-grams")
-    ranked = items.join(document_counts(docs, items), "hash")
-    order = W.partitionBy("item_id").orderBy("docs", "hash", "at")
-    all_of = F.count("*").over(W.partitionBy("item_id"))
-    ranked = ranked.withColumns({"r": F.row_number().over(order), "all": all_of})
-    return written(ranked.where("r <= greatest(2, ceil(all / 2))").select("item_id", "hash", "at", "n", "words", "need"), "seeds")
 
+class Slab:
+    """Items with their seeds: ``hashes`` (sorted, one entry per word and item) and ``owner``, and by item its words and bounds."""
 
-def passages(docs: DataFrame, seeds: DataFrame) -> DataFrame:
-    """(doc_id, nth, start, passage, hash, place): every hit of every run of hits, with the words around the run."""
-    packed, lengths = bitmap(seeds)
-    shared = docs.sparkSession.sparkContext.broadcast(packed)
-    least = seeds.agg(F.min("need")).first()[0] or 2
-    longest = seeds.agg(F.max("words")).first()[0] or 0
-
-    def build(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, bits = WordHash(), np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
-        for frame in rows:
-            for some in chunks(frame):
-                out = []
-                for doc, text in zip(some["doc_id"], some["text"]):
-                    words = plain_words(text)
-                    if not words:
-                        continue
-                    hashes, at = hits_of(known, words, bits, lengths)
-                    if len(at) < least:
-                        continue
-                    runs = np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) > GAP) + 1)
-                    for nth, run in enumerate(runs):
-                        if len(run) >= least:
-                            first = max(0, int(at[run[0]]) - longest)
-                            last = int(at[run[-1]]) + N + longest
-                            out.append((doc, nth, first, b" ".join(words[first:last]).decode("utf-8", "replace"), hashes[run].tolist(), at[run].tolist()))
-                yield pd.DataFrame(out, columns=["doc_id", "nth", "start", "passage", "hashes", "places"]).astype({"doc_id": "Int64"})
-
-    schema = "doc_id long, nth int, start int, passage string, hashes array<long>, places array<int>"
-    return docs.select("doc_id", "text").mapInPandas(build, schema)
+    def __init__(self, items: list[tuple[int, str]], docs: dict[int, int], least: float):
+        known = WordHash()
+        self.ids, self.words, self.bags, seeds = [], [], [], []
+        self.need, self.span, self.bound, self.least = [], [], [], []
+        for item_id, text in items:
+            words = plain_words(text)
+            if not words or item_id is None:
+                continue
+            hashes, share = known.of(words), least if len(words) >= N else 1.0
+            matches = max(1, int(np.ceil(share * len(words) - 1e-9)))
+            need = min(HITS, matches)
+            # By words, not places: with a word all its places are seeds.
+            order = sorted(range(len(words)), key=lambda i: (docs.get(int(hashes[i]), 0), int(hashes[i])))
+            seeds.append(np.unique(hashes[order[: len(words) - matches + need]]))
+            self.ids.append(item_id)
+            self.words.append(words)
+            self.bags.append(np.unique(hashes))
+            self.need.append(need)
+            self.span.append(int(np.ceil((3 - 2 * share) * len(words) + 1e-9)))
+            self.bound.append(MATCH * share * len(words) - 1e-9)
+            self.least.append(share)
+        hashes = np.concatenate([np.empty(0, np.uint64), *seeds])
+        owner = np.repeat(np.arange(len(seeds)), [len(s) for s in seeds])
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.owner = hashes[order], owner[order]
+        self.need, self.span = np.array(self.need, np.int64), np.array(self.span, np.int64)
+
+    def bits(self) -> np.ndarray:
+        out = np.zeros(SLOTS, bool)
+        out[slot(self.hashes)] = True
+        return out
+
+    def passages(self, hashes: np.ndarray, bits: np.ndarray) -> list[tuple[int, int, int]]:
+        """(item, start, end): the stretches of a text where an alignment can be, apart from each other by item."""
+        at = np.flatnonzero(bits[slot(hashes)])
+        low, high = np.searchsorted(self.hashes, hashes[at]), np.searchsorted(self.hashes, hashes[at], "right")
+        many = high - low
+        if not many.any():
+            return []
+        place = np.repeat(at, many)
+        item = self.owner[np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(low, many)]
+        order = np.argsort(item, kind="stable")
+        place, item = place[order], item[order]
+        last = np.arange(len(item)) + self.need[item] - 1
+        fits = last < len(item)
+        first, last = np.flatnonzero(fits), last[fits]
+        good = (item[first] == item[last]) & (place[last] - place[first] < self.span[item[first]])
+        first, last = first[good], last[good]
+        out: list[tuple[int, int, int]] = []
+        for i, a, b in zip(item[first].tolist(), place[first].tolist(), place[last].tolist()):
+            start, end = max(0, b - int(self.span[i]) + 1), min(len(hashes), a + int(self.span[i]))
+            if out and out[-1][0] == i and start <= out[-1][2]:
+                out[-1] = (i, out[-1][1], end)
+            else:
+                out.append((i, start, end))
+        return out
+
+    def possible(self, item: int, hashes: np.ndarray) -> bool:
+        """Whether the bound of the score allows an alignment."""
+        bag = self.bags[item]
+        has = bag[np.minimum(np.searchsorted(bag, hashes), len(bag) - 1)] == hashes
+        sums = np.concatenate([[0], np.cumsum(np.where(has, MATCH, MISMATCH))])
+        return bool((sums - np.minimum.accumulate(sums)).max() >= self.bound[item])
+
+    def found(self, words: list[bytes], hashes: np.ndarray, bits: np.ndarray) -> Iterator[tuple]:
+        """(item_id, score, matches, item and document positions) of every piece of a passage that scores enough."""
+        for item, start, end in self.passages(hashes, bits):
+            for at in range(start, max(start + 1, end - int(self.span[item])), PIECE):
+                stop = min(end, at + PIECE + int(self.span[item]))
+                if self.possible(item, hashes[at:stop]):
+                    score, matches, i0, i1, j0, j1 = align(self.words[item], words[at:stop])
+                    if score >= self.least[item]:
+                        yield self.ids[item], score, matches, i0, i1, at + j0, at + j1
 
 
 def align(item: list, passage: list) -> tuple[float, int, int, int, int, int]:
@@ -173,26 +203,36 @@ def align(item: list, passage: list) -> tuple[float, int, int, int, int, int]:
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
     """(doc_id, item_id, score, matches, item_start, item_end, doc_start, doc_end): the best alignment of every
     passage and item that scores at least ``least``; positions count plain words."""
-    seeds = rare_seeds(docs, benchmark)
-    # Numbered once and written, so the number names the passage from here on.
-    found = written(passages(docs, seeds).withColumn("pid", F.monotonically_increasing_id()), "passages")
-    hit = found.select("pid", F.explode("hashes").alias("hash"))
-    owners = seeds.select("hash", "item_id", "need").distinct()
-    pairs = hit.join(owners, "hash").groupBy("pid", "item_id").agg(F.count("*").alias("hits"), F.max("need").alias("need"))
-    both = pairs.where("hits >= need").select("pid", "item_id").join(found.select("pid", "doc_id", "start", "passage"), "pid")
-    both = both.join(benchmark.select("item_id", F.col("text").alias("item")), "item_id")
+    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
+    size = items.agg(F.sum(F.size(F.split("text", r"\s+")).cast("long"))).first()[0] or 0
+    many = 1 + size // SLAB_WORDS
+    slabs = written(items.withColumn("slab", F.pmod(F.xxhash64("item_id", "text"), F.lit(many)).cast("int")), "slabs")
+    words = written(benchmark_words(slabs), "item-words")
+    counts = written(words.join(document_counts(docs, words), "hash"), "item-counts")
+    parts = [aligned(docs, slabs, counts, slab, least) for slab in range(many)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def aligned(docs: DataFrame, slabs: DataFrame, counts: DataFrame, slab: int, least: float) -> DataFrame:
+    """``contaminated`` for the items of one slab."""
+    known = counts.where(F.col("slab") == slab).toPandas()
+    known = dict(zip(known["hash"].to_numpy(np.int64).view(np.uint64).tolist(), known["docs"].tolist()))
+    held = Slab([tuple(r) for r in slabs.where(F.col("slab") == slab).select("item_id", "text").collect()], known, least)
+    shared = docs.sparkSession.sparkContext.broadcast(held)
 
     def build(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, held = WordHash(), shared.value
+        bits = held.bits()
         for frame in rows:
-            out = []
-            for doc, item_id, start, passage, item in frame[["doc_id", "item_id", "start", "passage", "item"]].itertuples(index=False):
-                score, matches, i0, i1, j0, j1 = align(plain_words(item), passage.encode().split())
-                if score >= least:
-                    out.append((doc, item_id, score, matches, i0, i1, start + j0, start + j1))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")]).astype({"doc_id": "Int64"})
+            for some in chunks(frame):
+                out = []
+                for doc, text in zip(some["doc_id"], some["text"]):
+                    words = plain_words(text)
+                    out += [(doc, *row) for row in held.found(words, known.of(words), bits)]
+                yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")]).astype({"doc_id": "Int64"})
 
     schema = "doc_id long, item_id long, score double, matches int, item_start int, item_end int, doc_start int, doc_end int"
-    return both.mapInPandas(build, schema)
+    return written(docs.select("doc_id", "text").mapInPandas(build, schema), "alignments")
 
 
 def op9_decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
