@@ -288,6 +288,16 @@ def test_model_distribution_and_gradient():
         assert grads[name][at] == pytest.approx(slope, rel=0.05, abs=2e-6), name
 
 
+def test_training_takes_every_subword_once():
+    texts = [np.concatenate([[scoring.END], np.arange(n) % scoring.SUBWORDS, [scoring.END]]) for n in (0, 1, 31, 32, 5000, 70_000)]
+    want, got = Counter(), Counter()
+    for ids in texts:
+        want.update(ids[1:].tolist())
+    for ids, _, some in scoring.training_windows(texts, 1):
+        got.update(ids[:, scoring.CONTEXT + 1 :][some].tolist())
+    assert got == want
+
+
 def test_scoring_is_causal():
     model = scoring.Model.start(np.random.default_rng(1).integers(0, 3, (scoring.IDS, scoring.IDS)))
     ids = np.random.default_rng(2).integers(0, scoring.SUBWORDS, 200)
