@@ -122,6 +122,27 @@ def test_toxicity_grammar_reads_clauses():
     assert kinds("he said an idiot") == ["quoted"] and kinds("loweischaft da") == ["bare"] and kinds("fine words") == []
 
 
+def test_toxicity_reads_threats_in_four_languages():
+    g = toxicity.Grammar()
+    kinds = lambda text: [k for k, _ in g.clause(text.encode().split())]
+    threats = lambda text: g.features(text)[toxicity.FEATURES.index("threat")]
+    for text in ("I will kill them", "i'll hurt you", "Ich werde dich töten", "Je vais te tuer", "je te tuerai", "Te voy a matar", "voy a matarte", "je vais t'écraser", "kill you"):
+        assert kinds(text.lower()) == ["aimed"] and threats(text) == 1, text
+    assert kinds("he said he would never hurt you") == ["quoted"] and kinds("i would never hurt you") == ["denied"] and kinds("je ne vais pas te tuer") == ["denied"]
+    for text in ("He said he would never hurt you.", "I won't kill you", "They will kill time", "you beat the eggs", "sie werden das Spiel zerstören"):
+        assert threats(text) == 0, text
+
+
+def test_toxicity_learns_pairs_of_ordinary_words(spark):
+    rng = random.Random(4)
+    said = ["grab your coat", "coat your walls", "your grab bag"]
+    rows = [(i, f"{words(20, i)} {'meet darkness' if i % 4 == 0 else 'darkness meet'} {rng.choice(said)}") for i in range(400)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(texts, spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int"))
+    assert (b"meet", b"darkness") in model.grammar.pairs
+    assert model.score("will you meet darkness") > 0.5 > model.score("darkness meet")
+
+
 def test_toxicity_learns_and_scores_all_rows(spark, docs, odd, none):
     rows = [(i, words(30, i) + (f" blorgface{i % 3}." if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(400)]
     texts = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(900, None), (901, "")], "doc_id long, text string")
