@@ -23,22 +23,29 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.withColumnRenamed("score", "_score"), model).where("score < 0.5").drop("score").withColumnRenamed("_score", "score")
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a unique ``_row``, written: ids can be null or repeated."""
+    return written(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+
+
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group linked by five-word shingles at 80 % Jaccard or more, the document with the smallest id stays.
+    """Of every group linked by five-word shingles at 80 % Jaccard or more, one row with the smallest id stays.
 
-    Repeats of that row go too. Rows without an id stay if nothing is similar to them (as rows of an unknown group).
+    Null ids come last. Rows without words are similar to none and stay.
     """
-    found = written(jaccard_join.join(docs, words=5, percent=80), "similar")
-    kept = docs.join(found.where("doc_id = component_id").select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    if found.where("doc_id is null and component_id is null").isEmpty():
-        return kept.select(docs.columns)
-    return kept.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    rows = keyed(docs)
+    found = jaccard_join.join(rows.select(F.col("_row").alias("doc_id"), "text"), words=5, percent=80)
+    found = found.select(F.col("doc_id").alias("_row"), "component_id").join(rows.select("_row", "doc_id"), "_row")
+    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("first"))
+    return rows.join(written(first.select("first._row"), "similar"), "_row", "left_semi").select(docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage that aligns to a benchmark item go."""
-    hits = decontamination.contaminated(docs, read(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(written(hits, "leaks"), "doc_id", "left_anti").select(docs.columns)
+    rows = keyed(docs)
+    hits = decontamination.contaminated(rows.select(F.col("_row").alias("doc_id"), "text"), read(spark, sf_dir, "benchmark"))
+    hits = written(hits.select(F.col("doc_id").alias("_row")).distinct(), "leaks")
+    return rows.join(hits, "_row", "left_anti").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

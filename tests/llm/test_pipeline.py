@@ -34,3 +34,18 @@ def test_pipeline_decisions(spark):
     kept = {r[0] for r in out.select("doc_id").collect()}
     toxic = {r[0] for r in read(spark, SF, "labels").where("toxic = 1").select("doc_id").collect()}
     assert 0 < len(kept) < docs.count() and len(kept & toxic) < 0.5 * len(toxic)
+
+
+def test_stages_keep_and_drop_rows_with_null_and_repeated_ids(spark, tmp_path):
+    from tests.llm.test_operators import words
+
+    a, b, c, leak = (words(80, n) for n in range(1, 5))
+    schema = "doc_id long, text string"
+    rows = [(2, a), (2, b), (33, b), (None, b), (None, c), (None, c), (5, ""), (None, None), (None, leak), (7, leak)]
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    kept = corpus_pipeline.one_of_similar(spark, docs, "").collect()
+    assert sorted(map(str, kept)) == sorted(map(str, spark.createDataFrame([(2, a), (2, b), (None, c), (5, ""), (None, None), (7, leak)], schema).collect()))
+    spark.createDataFrame([(1, " ".join(leak.split()[10:50]))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    left = corpus_pipeline.drop_leaks(spark, docs, str(tmp_path)).collect()
+    assert len(left) == 8 and not any(r["text"] == leak for r in left)
+    assert corpus_pipeline.one_of_similar(spark, docs.limit(0), "").count() == corpus_pipeline.drop_leaks(spark, docs.limit(0), str(tmp_path)).count() == 0
