@@ -283,7 +283,7 @@ def _(spark, sf):
       FROM raw_accounts WHERE account_id IS NOT NULL) WHERE rn = 1""",
 )
 def _(spark, sf):
-    return dedup.dedup_latest(account_versions(spark, sf), "account_id", "system_modstamp").select(
+    return dedup.dedup_latest(staging.drop_null_keys(views.raw_accounts(spark, sf), "account_id"), "account_id", "system_modstamp").select(
         "account_id", "v", "system_modstamp"
     )
 
@@ -295,7 +295,7 @@ def _(spark, sf):
     FROM (SELECT *, CAST(system_modstamp AS TIMESTAMP) AS m FROM raw_accounts WHERE account_id IS NOT NULL)""",
 )
 def _(spark, sf):
-    timed = staging.cast_columns(account_versions(spark, sf), {"system_modstamp": "timestamp"})
+    timed = staging.cast_columns(staging.drop_null_keys(views.raw_accounts(spark, sf), "account_id"), {"system_modstamp": "timestamp"})
     return history.scd2_intervals(timed, "account_id", "system_modstamp").select(
         "account_id", "v", "valid_from", "valid_to", "is_current"
     )
