@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from catalog.registry import prepared
-from tidemark.llm import chat, decontamination, exact_dedup, jaccard_join, mixing, repeats, scoring, sharding, token_files, toxicity, vector_codes
+from tidemark.llm import chat, decontamination, exact_dedup, jaccard_join, mixing, repeats, scoring, sharding, token_files, toxicity, vector_codes, web_archives
 from tidemark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +81,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.op1_score(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+@query("op11_warc", web_archives.OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return web_archives.op11_warc(read(spark, sf_dir, "pages"))
+
+
 @query("op12_vector_codes", vector_codes.OP12_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.op12_vector_codes(read(spark, sf_dir, "embeddings"))
