@@ -71,7 +71,7 @@ def test_archives_hold_texts_and_places(spark):
         with zipfile.ZipFile(fs.open_input_file(path)) as whole:
             assert whole.testzip() is None
             texts = gzip.decompress(whole.read(web_archives.WARC))
-            for line in whole.read(web_archives.INDEX).decode().splitlines():
+            for line in whole.read(web_archives.INDEX).decode().rstrip("\n").split("\n"):
                 entry = json.loads(line[line.index("{") :])
                 member = [m for m in zip_archives.members(fs.open_input_file(path), fs.get_file_info(path).size) if m.name == web_archives.WARC][0]
                 at = zip_archives.data_at(fs.open_input_file(path), member) + int(entry["offset"])

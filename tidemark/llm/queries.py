@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from catalog.registry import prepared
-from tidemark.llm import chat, decontamination, exact_dedup, jaccard_join, mixing, repeats, scoring, sharding, token_files, toxicity, vector_codes, web_archives
+from tidemark.llm import chat, decontamination, exact_dedup, jaccard_join, mixing, repeats, scoring, sharding, spelling, token_files, toxicity, vector_codes, web_archives
 from tidemark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +91,11 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.op12_vector_codes(read(spark, sf_dir, "embeddings"))
 
 
+@query("op13_spelling")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.op13_spelling(read(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
