@@ -273,8 +273,11 @@ def ranges(packages: DataFrame) -> DataFrame:
                     except (BadArchive, ValueError, KeyError, zlib.error) as bad:
                         raise BadArchive(f"{address}: {bad}") from bad
 
-    found = packages.select("package").mapInPandas(build, "package string, starts array<long>, lengths array<long>")
-    return found.repartition("package", F.col("starts")[0])
+    # Numbers of their own: rows are few and short here, and AQE would join partitions that stand for much reading.
+    n = int(packages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = packages.select("package").repartition(n, "package")
+    found = found.mapInPandas(build, "package string, starts array<long>, lengths array<long>")
+    return found.repartition(n, "package", F.col("starts")[0])
 
 
 def headers(lines: list[bytes]) -> dict[str, str]:
