@@ -8,11 +8,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import stars, views
+from catalog.checks import SILVER_SUITE_SQL
 from catalog.events import SILVER_SQL_COLUMNS, silver_events
 from catalog.gold import FUNNEL_SQL
 from catalog.registry import AS_OF, DATE, query
 from catalog.views_sql import day, ts
-from tidemark.operators import aggregates
+from tidemark.operators import aggregates, quality
 from tidemark.plans import gold, silver
 from tidemark.session import scratch
 from tidemark.sources import bronze, sinks
@@ -165,6 +166,19 @@ def _(spark, sf):
     )
 
 
+@query("a4_audited_publish", SILVER_SUITE_SQL)
+def _(spark, sf):
+    """Write, audit, publish: the suite's counters ride on the write, its results decide whether the day is switched."""
+    source, target = scratch(spark, "bronze"), scratch(spark, "silver")
+    views.bronze_events(spark, sf).write.parquet(source)
+    report = silver.run(spark, source, target, DATE, AS_OF, suite=quality.silver_suite("2024-01-30 06:00:00"))
+    rows = [tuple(r[c] for c in quality.RESULT) for r in report["checks"]]
+    published = silver_source.read_silver_events(spark, target, DATE).count()
+    if published != report["silver_count"]:
+        raise AssertionError(f"{published} rows published, {report['silver_count']} written")
+    return spark.createDataFrame(rows, "check string, column string, severity string, failing bigint, total bigint, ratio double, passed boolean")
+
+
 @query(
     "i13_gold_job",
     """WITH day_events AS (SELECT * FROM silver_events),

@@ -61,6 +61,15 @@ def test_row_checks_share_one_scan(table):
     assert plan._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
 
 
+def test_unique_keys_share_one_pass(spark):
+    df = spark.createDataFrame([("a", "b:c", 1), ("a:b", "c", 1), ("a", None, 2), ("a", None, 2), ("x", "y", 3), ("x", "y", 3)], "p string, q string, n int")
+    checks = [quality.expect_unique("p", "q"), quality.expect_unique("n"), quality.expect_unique("q", severity="critical")]
+    assert verdicts(df, *checks) == [(2, 4, False), (6, 6, False), (2, 4, False)]
+    plan = quality.run_suite(df, checks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1
+    assert verdicts(df.filter("false"), *checks) == [(0, 0, True)] * 3
+
+
 def test_silver_suite_on_good_and_broken_data(bronze):
     good = silver.silver_events(bronze({}, {"event_id": "e2"}), "2024-01-15", AS_OF)
     suite = quality.silver_suite(AS_OF, 1, 10)

@@ -36,6 +36,45 @@ def test_silver_job_counts(spark, bronze, tmp_path):
     assert (counts["bronze_count"], counts["silver_count"], counts["drop_pct"]) == (4, 2, 50.0)
 
 
+def test_day_is_published_only_after_its_audit(spark, bronze, tmp_path):
+    source, target = str(tmp_path / "b"), str(tmp_path / "s")
+    suite = quality.silver_suite(AS_OF, 1, 10)
+    bronze({}, {"event_id": None}, {"event_id": "e2"}, {"event_id": "e2"}).write.parquet(source)
+    report = silver.run(spark, source, target, DATE, AS_OF, suite=suite)
+    assert (report["bronze_count"], report["silver_count"]) == (4, 2)
+    written = silver_source.read_silver_events(spark, target, DATE)
+    direct = quality.run_suite(written, suite).collect()
+    assert sorted(map(tuple, direct)) == sorted(tuple(r.values()) for r in report["checks"])
+
+    # Wrong rows come in for the same day: the job raises, yesterday's rows stay, nothing else is left behind.
+    bronze({"event_id": "e9", "country_code": "PRT"}).write.mode("overwrite").parquet(source)
+    strict = [*suite, quality.expect_length("country_code", 2, severity="critical")]
+    with pytest.raises(quality.QualityError, match=r"length\(country_code\)") as raised:
+        silver.run(spark, source, target, DATE, AS_OF, suite=strict)
+    assert any(r["check"] == "length" and r["failing"] == 1 for r in raised.value.results)
+    assert {r.event_id for r in silver_source.read_silver_events(spark, target, DATE).collect()} == {"e1", "e2"}
+    assert os.listdir(target) == [f"_processing_date={DATE}"]
+    # Without rows the audit still runs.
+    bronze({"event_id": None}).write.mode("overwrite").parquet(source)
+    empty = silver.run(spark, source, target, "2024-01-14", AS_OF, suite=[quality.expect_row_count(1, 10), quality.expect_not_null("event_id")])
+    assert [(r["check"], r["failing"], r["total"], r["passed"]) for r in empty["checks"]] == [("row_count", 1, 1, False), ("not_null", 0, 0, True)]
+
+
+def test_audit_finds_a_duplicated_event(spark, bronze, tmp_path):
+    target = str(tmp_path / "s")
+    suite = quality.silver_suite(AS_OF, 1, 10)
+    good = silver.silver_events(bronze({}, {"event_id": "e2"}), DATE, AS_OF)
+    for rows, fails in ((good, False), (good.unionByName(good.filter("event_id = 'e2'")), True)):
+        watch = quality.Watch(suite)
+        write = lambda: sinks.write_replace(rows, target, DATE, watch=watch.on, audit=lambda w: quality.audit(w, suite, watch))  # noqa: B023, E731
+        if fails:
+            with pytest.raises(quality.QualityError, match=r"unique\(event_id\)"):
+                write()
+        else:
+            write()
+    assert silver_source.read_silver_events(spark, target, DATE).count() == 2
+
+
 def test_gold_days_and_counts(spark, bronze, tmp_path):
     events, orders, out = (str(tmp_path / n) for n in ("e", "o", "g"))
     sinks.write_replace(silver.silver_events(bronze({"event_type": "product_view"}, {"event_id": "e2", "event_type": "session_start"}), DATE, AS_OF), events, DATE)

@@ -1,7 +1,7 @@
 """Quality checks as tidy rows.
 
 A suite is a list of checks. Row-level checks of one table become counters of a single
-aggregate; uniqueness and references add one grouped pass each. Result columns:
+aggregate, or ride on its write; all unique keys add one grouped pass, references one each. Result columns:
 ``check, column, severity, failing, total, ratio, passed``.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import values as V
@@ -141,8 +141,8 @@ def _verdict(rows: DataFrame) -> DataFrame:
     return rows.withColumn("ratio", ratio).withColumn("passed", F.col("failing") <= allowed).select(*RESULT)
 
 
-def _row_checks(df: DataFrame, checks: Sequence[Check | TableCheck]) -> DataFrame:
-    """All counters of a table in one aggregate, one result row per check."""
+def _row_counters(checks: Sequence[Check | TableCheck]) -> tuple[list[Column], Column]:
+    """The counters of the checks as aggregates, and the result rows made of them."""
     counters, rows = [], []
     for i, c in enumerate(checks):
         head = [F.lit(c.name).alias("check"), F.lit(c.column).alias("column"), F.lit(c.severity).alias("severity")]
@@ -153,18 +153,58 @@ def _row_checks(df: DataFrame, checks: Sequence[Check | TableCheck]) -> DataFram
             counters += [(~c.passes).cast("bigint").alias(f"f{i}")]
             tail = [F.col(f"f{i}").alias("failing"), F.lit(1).cast("bigint").alias("total"), F.lit(1.0).alias("mostly")]
         rows.append(F.struct(*head, *tail))
-    one = df.agg(*counters)
-    return _verdict(one.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
+    return counters, F.array(*rows)
 
 
-def _unique_check(df: DataFrame, check: Unique) -> DataFrame:
-    """Rows whose non-null key occurs more than once. Counted per key with a partial aggregate."""
-    keys = df.dropna(subset=list(check.columns)).groupBy(*check.columns).agg(F.count("*").alias("n"))
-    totals = keys.agg(
-        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("failing"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+def _row_checks(one: DataFrame, rows: Column) -> DataFrame:
+    """One result row per check, from the one row of counters."""
+    return _verdict(one.select(F.explode(rows).alias("r")).select("r.*"))
+
+
+class Watch:
+    """The row-level checks of a suite as counters of an ``Observation``: they ride on a write and cost no pass.
+
+    Observe right before the write: a task of a shuffle that runs twice would count twice, one that writes does not.
+    """
+
+    def __init__(self, suite: Sequence):
+        self.checks = [c for c in suite if isinstance(c, (Check, TableCheck))]
+        self.seen = Observation("suite")
+
+    def on(self, df: DataFrame) -> DataFrame:
+        return df.observe(self.seen, *_row_counters(self.checks)[0]) if self.checks else df
+
+    def counters(self, spark: SparkSession) -> DataFrame:
+        """The one row of counters, once the write is done."""
+        seen = self.seen.get
+        return spark.createDataFrame([tuple(seen.values())], ", ".join(f"{name} bigint" for name in seen))
+
+
+def _identity(columns: Sequence[str]) -> Column:
+    """A key as one text, null if a part is null: parts with their lengths, so that no two keys meet."""
+    parts = [F.col(c).cast("string") for c in columns]
+    return F.concat(*[F.concat(F.char_length(p).cast("string"), F.lit(":"), p) for p in parts])
+
+
+def _unique_checks(df: DataFrame, checks: Sequence[Unique]) -> DataFrame:
+    """Rows whose non-null key occurs more than once, for all checks in one pass.
+
+    Every row gives its keys, numbered by check; they are counted per key with a partial aggregate.
+    """
+    numbered = [F.struct(F.lit(i).alias("i"), _identity(c.columns).alias("key")) for i, c in enumerate(checks)]
+    keys = df.select(F.explode(F.array(*numbered)).alias("k")).select("k.*").dropna().groupBy("i", "key").agg(F.count("*").alias("n"))
+    totals = keys.groupBy().agg(
+        *[F.coalesce(F.sum(F.when((F.col("i") == i) & (F.col("n") > 1), F.col("n"))), F.lit(0)).alias(f"f{i}") for i in range(len(checks))],
+        *[F.coalesce(F.sum(F.when(F.col("i") == i, F.col("n"))), F.lit(0)).alias(f"t{i}") for i in range(len(checks))],
     )
-    return _verdict(_labelled(totals, "unique", ",".join(check.columns), check.severity))
+    rows = [
+        F.struct(
+            F.lit("unique").alias("check"), F.lit(",".join(c.columns)).alias("column"), F.lit(c.severity).alias("severity"),
+            F.col(f"f{i}").alias("failing"), F.col(f"t{i}").alias("total"), F.lit(1.0).alias("mostly"),
+        )
+        for i, c in enumerate(checks)
+    ]
+    return _row_checks(totals, F.array(*rows))
 
 
 def _reference_check(df: DataFrame, check: Reference) -> DataFrame:
@@ -201,26 +241,48 @@ def _labelled(totals: DataFrame, name: str, column: str, severity: str) -> DataF
     )
 
 
-def run_suite(df: DataFrame, suite: Sequence) -> DataFrame:
-    """Evaluate all checks of a table; one result row per check."""
+def run_suite(df: DataFrame, suite: Sequence, watch: Watch | None = None) -> DataFrame:
+    """Evaluate all checks of a table; one result row per check.
+
+    With the ``watch`` of its write the row-level checks are counted already, and only key columns are read.
+    """
     parts: list[DataFrame] = [_column_checks(df, c) for c in suite if isinstance(c, Columns)]
     plain = [c for c in suite if isinstance(c, (Check, TableCheck))]
     if plain:
-        parts.append(_row_checks(df, plain))
-    parts += [_unique_check(df, c) for c in suite if isinstance(c, Unique)]
+        counters, rows = _row_counters(plain)
+        parts.append(_row_checks(watch.counters(df.sparkSession) if watch else df.agg(*counters), rows))
+    unique = [c for c in suite if isinstance(c, Unique)]
+    if unique:
+        parts.append(_unique_checks(df, unique))
     parts += [_reference_check(df, c) for c in suite if isinstance(c, Reference)]
     return reduce(DataFrame.unionByName, parts)
 
 
 class QualityError(RuntimeError):
-    """A critical check failed."""
+    """A critical check failed. ``results`` holds one row per check of the suite, as far as they were brought here."""
+
+    def __init__(self, failed: Sequence[Row], results: Sequence[Row] = ()):
+        super().__init__("critical checks failed: " + ", ".join(f"{r['check']}({r['column']})" for r in failed))
+        self.results = list(results)
 
 
 def enforce(results: DataFrame) -> DataFrame:
     """Raise if a critical check failed. Brings only the failed check names to the driver."""
     failed = results.filter((F.col("severity") == "critical") & ~F.col("passed")).select("check", "column").collect()
     if failed:
-        raise QualityError("critical checks failed: " + ", ".join(f"{r['check']}({r['column']})" for r in failed))
+        raise QualityError(failed)
+    return results
+
+
+def audit(written: DataFrame, suite: Sequence, watch: Watch) -> list[Row]:
+    """The suite's results on rows that a write was watched with; raises if a critical check failed.
+
+    One row per check comes to the driver.
+    """
+    results = run_suite(written, suite, watch).collect()
+    failed = [r for r in results if r["severity"] == "critical" and not r["passed"]]
+    if failed:
+        raise QualityError(failed, results)
     return results
 
 

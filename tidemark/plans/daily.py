@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,13 +37,17 @@ def run_day(
     min_files: int | None = None,
     min_bytes: int | None = None,
     min_orders: int | None = None,
+    suite: Sequence | None = None,
 ) -> DataFrame:
-    """Landing check, Silver, quality gate, Gold. Returns the row counts of the Gold tables."""
+    """Landing check, Silver with its suite, quality gate, Gold. Returns the row counts of the Gold tables.
+
+    Silver is published only if the critical checks of ``suite`` (by default the Silver contract) hold.
+    """
     limits = {k: v for k, v in {"min_files": min_files, "min_bytes": min_bytes}.items() if v is not None}
     landing = bronze.landing_volume(spark, paths.bronze_events, **limits).first()
     if not landing["passed"]:
         raise LandingTooSmall(f"{landing['files']} files, {landing['bytes']} bytes for {date}")
-    silver.run(spark, paths.bronze_events, paths.silver_events, date, as_of)
+    silver.run(spark, paths.bronze_events, paths.silver_events, date, as_of, suite=quality.silver_suite(as_of) if suite is None else suite)
     events = silver_source.read_silver_events(spark, paths.silver_events, date)
     orders = silver_source.read_silver_orders(spark, paths.silver_orders, date)
     gate = quality.quality_gate(events, orders, date, *([min_orders] if min_orders is not None else []))

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import values as V
 from tidemark.functions import money, times, web
-from tidemark.operators import dedup, events
+from tidemark.operators import dedup, events, quality
 from tidemark.sources import bronze, sinks
 
 
@@ -62,12 +64,33 @@ def silver_events_lite(df: DataFrame, date: str, as_of: str | None = None) -> Da
     return events.add_metadata(flagged, date, version=None, as_of=as_of)
 
 
-def run(spark: SparkSession, source: str, target: str, date: str, as_of: str | None = None, files: int | None = None) -> dict:
-    """Daily Silver job: one read, one write. The row counts are observed while writing."""
-    seen, kept = Observation("bronze"), Observation("silver")
+def run(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    date: str,
+    as_of: str | None = None,
+    files: int | None = None,
+    suite: Sequence | None = None,
+) -> dict:
+    """Daily Silver job: one read, one write, and a ``suite`` between writing and publishing.
+
+    The row counts and the suite's row-level counters are observed on the way; unique keys are counted on the written
+    key columns. If a critical check fails the job raises, the day stays as it was, and what was written goes. Otherwise
+    ``checks`` holds the suite's results. (``bronze_count`` is taken before a shuffle: a task that is repeated after
+    a loss can count twice there.)
+    """
+    seen, kept, watch = Observation("bronze"), Observation("silver"), quality.Watch(suite or ())
+    checks: list[dict] = []
     raw = bronze.read_bronze(spark, source).observe(seen, F.count(F.lit(1)).alias("rows"))
-    silver = silver_events(raw, date, as_of).observe(kept, F.count(F.lit(1)).alias("rows"))
-    sinks.write_replace(silver, target, date, files=files)
+
+    def watched(rows: DataFrame) -> DataFrame:
+        return watch.on(rows.observe(kept, F.count(F.lit(1)).alias("rows")))
+
+    def audit(written: DataFrame) -> None:
+        checks.extend(r.asDict() for r in quality.audit(written, suite, watch))
+
+    sinks.write_replace(silver_events(raw, date, as_of), target, date, files, watched, audit if suite else None)
     n_in, n_out = seen.get["rows"], kept.get["rows"]
     dropped = n_in - n_out
     return {
@@ -75,4 +98,5 @@ def run(spark: SparkSession, source: str, target: str, date: str, as_of: str | N
         "silver_count": n_out,
         "dropped_count": dropped,
         "drop_pct": round(100 * dropped / max(n_in, 1), 1),
+        "checks": checks,
     }

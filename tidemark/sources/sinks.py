@@ -1,7 +1,7 @@
 """Table writes. All are safe to repeat.
 
 A day or table is replaced by writing a new folder beside it and switching the two once the write succeeded: a failed
-run leaves the old rows readable. Readers that list files see the old or the new rows, or for the moment between
+run leaves the old rows readable, and so does an audit of the new folder that raises. Readers that list files see the old or the new rows, or for the moment between
 two renames (not atomic on an object store) no folder; what a crash leaves there starts with a dot and is not read.
 """
 
@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 _SPREAD = 64
 
 
-def _switch(spark: SparkSession, folder: str, write: Callable[[str], None]) -> None:
-    """``write`` to a hidden folder beside ``folder``, then put it in its place."""
+def _switch(spark: SparkSession, folder: str, write: Callable[[str], None], audit: Callable[[str], None] | None = None) -> None:
+    """``write`` to a hidden folder beside ``folder``, ``audit`` what was written, then put it in its place."""
     Path = spark._jvm.org.apache.hadoop.fs.Path
     target = Path(folder)
     tag = uuid.uuid4().hex
@@ -25,6 +25,8 @@ def _switch(spark: SparkSession, folder: str, write: Callable[[str], None]) -> N
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     try:
         write(fresh.toString())
+        if audit:
+            audit(fresh.toString())
     except BaseException:
         fs.delete(fresh, True)
         raise
@@ -37,9 +39,19 @@ def _switch(spark: SparkSession, folder: str, write: Callable[[str], None]) -> N
     spark.catalog.refreshByPath(folder)
 
 
-def write_replace(df: DataFrame, path: str, date: str, files: int | None = None) -> None:
+def write_replace(
+    df: DataFrame,
+    path: str,
+    date: str,
+    files: int | None = None,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
+    audit: Callable[[DataFrame], None] | None = None,
+) -> None:
     """Replace exactly the rows of one processing day.
 
+    ``watch`` may observe the rows as they are written. ``audit`` gets the written rows before anybody else can
+    read them; if it raises, the day stays as it was.
+
     The day is the leading folder and is overwritten as a whole, so a smaller rerun leaves no
     stale files. Rows are gathered by event date and type before writing: by default AQE
     sizes the write tasks and splits the large types; ``files`` sets their number instead, and a
@@ -50,8 +62,13 @@ def write_replace(df: DataFrame, path: str, date: str, files: int | None = None)
         laid_out = df.hint("rebalance", *spread)
     else:
         laid_out = df.repartition(files, *spread, F.pmod(F.xxhash64("event_id"), F.lit(_SPREAD)))
+    laid_out = watch(laid_out) if watch else laid_out
     days = laid_out.drop("_processing_date").write.partitionBy(*spread)
-    _switch(df.sparkSession, f"{path}/_processing_date={date}", days.parquet)
+
+    def audited(fresh: str) -> None:
+        audit(df.sparkSession.read.schema(df.schema).parquet(fresh))
+
+    _switch(df.sparkSession, f"{path}/_processing_date={date}", days.parquet, audited if audit else None)
 
 
 def publish_gold(df: DataFrame, path: str, date: str) -> None:
