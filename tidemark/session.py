@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _PINNED = {
     # Every parse and every date cut is in UTC.
@@ -59,3 +59,10 @@ def scratch(spark: SparkSession, label: str) -> str:
     if not shared:
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write to the shared folder and read back: computed once, and safe from lost executors."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

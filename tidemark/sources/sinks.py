@@ -13,6 +13,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.dedup import dedup_latest
+from tidemark.session import written
+
 _SPREAD = 64
 
 
@@ -71,6 +74,79 @@ def write_replace(
     _switch(df.sparkSession, f"{path}/_processing_date={date}", days.parquet, audited if audit else None)
 
 
+def _folder_name(day: str, value) -> str:
+    return f"{day}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+
+def read_days(spark: SparkSession, path: str, day: str) -> DataFrame | None:
+    """A table of day folders, or None if it has none yet."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path, f"{day}=*"))
+    return spark.read.parquet(path).withColumn(day, F.col(day).cast("date")) if found else None
+
+
+def merge_days(rows: DataFrame, path: str, key: str, day: str, audit: Callable[[DataFrame], None] | None = None) -> list:
+    """Fold ``rows`` into a table of day folders by a unique ``key``; returns the days that were rewritten.
+
+    A row takes the place of the stored one with its key, also if that stands in another day. To find it, only the
+    key column of the table is read; only the days that gain or lose rows are read whole and written, in one job.
+    Of rows with one key the first by the other columns counts; rows without a key match nothing and are added, so
+    give none if the merge is to be repeatable.
+
+    ``audit`` gets the rewritten days before anybody can read them. Then the days are switched one by one, those that
+    gain rows first: a crash in between leaves a moved row twice, never lost, and the repeated merge removes it from
+    every day but its own.
+    """
+    spark = rows.sparkSession
+    fresh = written(dedup_latest(rows.filter(F.col(key).isNotNull()), key, []).unionByName(rows.filter(F.col(key).isNull())), "increment")
+    gained = [r[0] for r in fresh.select(day).distinct().collect()]  # days, not rows
+    stored = read_days(spark, path, day)
+    lost: list = []
+    merged = fresh
+    if stored is not None:
+        if missing := set(stored.columns) - set(fresh.columns):
+            raise ValueError(f"the stored table has columns that the rows lack: {sorted(missing)}")
+        places = stored.select(key, day).join(fresh.select(key), key, "left_semi").select(day).distinct()
+        lost = [r[0] for r in places.collect() if r[0] not in set(gained)]
+        named = [d for d in (*gained, *lost) if d is not None]
+        touched = F.col(day).isin(named) if named else F.lit(False)
+        touched = touched | F.col(day).isNull() if None in gained or None in lost else touched
+        merged = stored.filter(touched).join(fresh.select(key), key, "left_anti").unionByName(fresh, allowMissingColumns=True)
+    if not gained and not lost:
+        return []
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    hidden = f"{path}/.merge-{uuid.uuid4().hex}"
+    try:
+        merged.hint("rebalance", day).write.partitionBy(day).parquet(hidden)
+        if audit:
+            audit(spark.read.schema(merged.schema).parquet(hidden))
+        for value in (*gained, *lost):
+            name = _folder_name(day, value)
+            new, target, old = Path(hidden, name), Path(path, name), Path(hidden, f".old-{name}")
+            stands = fs.exists(target)
+            if stands:
+                _move(fs, target, old)
+            # A day whose last rows moved to other days has no new folder.
+            if fs.exists(new):
+                try:
+                    _move(fs, new, target)
+                except BaseException:
+                    if stands:
+                        _move(fs, old, target)
+                    raise
+    finally:
+        fs.delete(Path(hidden), True)
+    spark.catalog.refreshByPath(path)
+    return [*gained, *lost]
+
+
+def _move(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def publish_gold(df: DataFrame, path: str, date: str) -> None:
     """Replace one report day; other days stay. An empty result leaves an empty day, not the rows of an earlier run."""
     _switch(df.sparkSession, f"{path}/report_date={date}", df.drop("report_date").write.parquet)
