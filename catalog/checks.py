@@ -236,6 +236,7 @@ def _(spark, sf):
             *[null_part(c, "customer_history") for c in ("customer_sk", "customer_id", "is_current")],
             value_part("in_set", "customer_segment", f"customer_segment NOT IN {listed(V.CUSTOMER_SEGMENTS)}", "customer_history"),
             value_part("in_set", "loyalty_tier", f"loyalty_tier NOT IN {listed(V.LOYALTY_TIERS)}", "customer_history"),
+            *[("has_values", c, "warning", f"CAST(count({c}) = 0 AS INTEGER)", "1", 1.0, "customer_history") for c in ("loyalty_tier", "phone_hash")],
         ],
         dim_customers=[
             unique_part("customer_sk", "dim_customers_now"),

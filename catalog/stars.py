@@ -11,7 +11,7 @@ from catalog.views_sql import day, fixed, ts
 from tidemark.functions import money, text, times
 from tidemark.operators import dedup, documents, history, joins, merge
 from tidemark.plans import dimensions, facts, staging
-from tidemark.session import scratch
+from tidemark.session import scratch, written
 from tidemark.sources import sinks
 
 FACT_AS_OF = "2024-01-30"
@@ -30,8 +30,20 @@ def customers_now(spark, sf):
     return dimensions.dim_customers(profiles(spark, sf), AS_OF)
 
 
+def account_versions(spark, sf):
+    return staging.stage_account_versions(views.raw_accounts(spark, sf))
+
+
+def profile_versions(spark, sf):
+    return staging.stage_profile_versions(views.profile_log(spark, sf))
+
+
+def customer_logs(spark, sf):
+    return dimensions.with_profile_history(account_versions(spark, sf), profile_versions(spark, sf))
+
+
 def customers_scd2(spark, sf):
-    return dimensions.dim_customers_scd2(staging.stage_account_versions(views.raw_accounts(spark, sf)))
+    return dimensions.dim_customers_scd2(customer_logs(spark, sf))
 
 
 def products_scd2(spark, sf):
@@ -372,9 +384,21 @@ HISTORY_TIMES = f"{ts('valid_from')} AS valid_from, {ts('valid_to')} AS valid_to
 @query("i6_dim_customers_scd2", f"SELECT * REPLACE ({day('acquisition_date')} AS acquisition_date, {HISTORY_TIMES}) FROM customer_history")
 def _(spark, sf):
     """The first version of every account is the existing dimension; all versions arrive after it."""
-    versions = views.raw_accounts(spark, sf)
-    first = dimensions.dim_customers_scd2(staging.stage_account_versions(versions.filter("v = 0")))
-    return dimensions.dim_customers_scd2(staging.stage_account_versions(versions), existing=first)
+    first = staging.stage_account_versions(views.raw_accounts(spark, sf).filter("v = 0"))
+    existing = dimensions.dim_customers_scd2(dimensions.with_profile_history(first, profile_versions(spark, sf)))
+    return dimensions.dim_customers_scd2(customer_logs(spark, sf), existing=existing)
+
+
+@query("i6_refreshed_customers", f"SELECT * REPLACE ({day('acquisition_date')} AS acquisition_date, {HISTORY_TIMES}) FROM customer_history")
+def _(spark, sf):
+    """The dimension before the accounts' second and third versions and before the second of the profiles; then only
+    the customers of the new versions are made again."""
+    accounts, profiles = account_versions(spark, sf), profile_versions(spark, sf)
+    then = F.lit("2024-01-04 12:00:00").cast("timestamp_ntz")
+    old, log = accounts.filter(F.col("crm_updated_at") < then), profiles.filter(F.col("changed_at") < then)
+    existing = written(dimensions.dim_customers_scd2(dimensions.with_profile_history(old, log)), "customers")
+    late = accounts.filter(F.col("crm_updated_at") >= then).select("customer_id").union(profiles.filter(F.col("changed_at") >= then).select("customer_id"))
+    return dimensions.refresh_customers(existing, accounts, profiles, late)
 
 
 @query("i7_dim_customers", f"SELECT * REPLACE ({PROFILE_TIMES}) FROM dim_customers_now")

@@ -199,6 +199,17 @@ def raw_profiles(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def profile_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Extracted profile documents as they changed, one to three versions a customer, some at the moment of an account's version."""
+    c = table(spark, sf, "customer").selectExpr("c_custkey AS k", "explode(sequence(0, cast(c_custkey % 3 AS int))) AS v")
+    return c.selectExpr(
+        "CASE WHEN k % 89 <> 1 THEN concat('c-', k) END AS customer_id",
+        "CASE WHEN k % 71 = 0 THEN 'platinum' ELSE element_at(array('Gold ', 'silver', 'bronze', NULL), cast((k + v) % 4 + 1 AS int)) END AS loyalty_tier",
+        "CASE WHEN k % 11 <> 0 THEN sha2(concat('+33', 600000000 + k + if(v = 2, 1, 0)), 256) END AS phone_hash",
+        "concat(date_add(DATE'2023-12-28', cast(k % 9 + v * 3 AS int)), ' 0', v, ':30:00') AS updated_at",
+    )
+
+
 def raw_products(spark: SparkSession, sf: str) -> DataFrame:
     p = table(spark, sf, "part").selectExpr(
         "*", "p_partkey AS k", "explode(sequence(0, if(p_partkey % 4 = 0, 1, 0))) AS v"
@@ -228,7 +239,7 @@ def order_heads(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with a gross amount and a discount rate, for the order-grain fact."""
     return table(spark, sf, "orders").selectExpr(
         "concat('o-', o_orderkey) AS order_id",
-        "concat('u-', o_custkey) AS user_id",
+        "CASE WHEN o_orderkey % 53 <> 2 THEN concat('u-', o_custkey) END AS user_id",
         f"date_add(cast(o_orderdate AS date), {ORDER_SHIFT_DAYS}) AS order_date",
         "o_totalprice AS gross_revenue_eur",
         "(o_orderkey % 15) / 100D AS discount_rate",

@@ -239,7 +239,7 @@ FROM (SELECT *, p_partkey AS k, unnest(range(0, CASE WHEN p_partkey % 4 = 0 THEN
 """
 
 VIEWS["order_heads"] = f"""
-SELECT 'o-' || o_orderkey AS order_id, 'u-' || o_custkey AS user_id, CAST(o_orderdate AS DATE) + {ORDER_SHIFT_DAYS} AS order_date,
+SELECT 'o-' || o_orderkey AS order_id, CASE WHEN o_orderkey % 53 <> 2 THEN 'u-' || o_custkey END AS user_id, CAST(o_orderdate AS DATE) + {ORDER_SHIFT_DAYS} AS order_date,
   o_totalprice AS gross_revenue_eur, CAST(o_orderkey % 15 AS DOUBLE) / 100 AS discount_rate,
   ['card', 'paypal', 'bank_transfer', 'apple_pay'][o_orderkey % 4 + 1] AS payment_method
 FROM orders
@@ -300,13 +300,27 @@ SELECT md5(user_id) AS customer_sk, * EXCLUDE (profile_id, _storage_mode),
 FROM stg_profiles
 """
 
+VIEWS["profile_log"] = """
+SELECT CASE WHEN k % 89 <> 1 THEN 'c-' || k END AS customer_id,
+  CASE WHEN k % 71 = 0 THEN 'platinum' ELSE ['gold', 'silver', 'bronze', NULL][(k + v) % 4 + 1] END AS loyalty_tier,
+  CASE WHEN k % 11 <> 0 THEN sha256('+33' || (600000000 + k + CASE WHEN v = 2 THEN 1 ELSE 0 END)) END AS phone_hash,
+  CAST((DATE '2023-12-28' + CAST(k % 9 + v * 3 AS INTEGER)) || ' 0' || v || ':30:00' AS TIMESTAMP) AS changed_at
+FROM (SELECT c_custkey AS k, CAST(unnest(range(0, c_custkey % 3 + 1)) AS INTEGER) AS v FROM customer)
+"""
+
 VIEWS["customer_versions"] = """
-SELECT customer_id, email_hashed, first_name, last_name, country_code, city, customer_segment,
-  CAST(NULL AS VARCHAR) AS loyalty_tier, CAST(NULL AS VARCHAR) AS phone_hash, acquisition_channel, acquisition_date,
-  md5(email_hashed || '||' || first_name || '||' || last_name || '||' || country_code || '||' || city || '||' || customer_segment
-      || '||' || '' || '||' || '') AS row_hash, crm_updated_at AS valid_from,
-  is_deleted OR lower(coalesce(customer_segment__c, '')) = 'internal' AS has_left
-FROM staged_accounts
+SELECT customer_id, a.email_hashed, a.first_name, a.last_name, a.country_code, a.city, a.customer_segment, p.loyalty_tier, p.phone_hash,
+  a.acquisition_channel, a.acquisition_date,
+  md5(a.email_hashed || '||' || a.first_name || '||' || a.last_name || '||' || a.country_code || '||' || a.city || '||' || a.customer_segment
+      || '||' || coalesce(p.loyalty_tier, '') || '||' || coalesce(p.phone_hash, '')) AS row_hash, moment AS valid_from, a.has_left
+FROM (SELECT customer_id, moment, src, last_value(account IGNORE NULLS) OVER before AS a, last_value(profile IGNORE NULLS) OVER before AS p
+  FROM (SELECT customer_id, crm_updated_at AS moment, 0 AS src,
+      {'email_hashed': email_hashed, 'first_name': first_name, 'last_name': last_name, 'country_code': country_code, 'city': city,
+       'customer_segment': customer_segment, 'acquisition_channel': acquisition_channel, 'acquisition_date': acquisition_date,
+       'has_left': is_deleted OR lower(coalesce(customer_segment__c, '')) = 'internal'} AS account, NULL AS profile FROM staged_accounts
+    UNION ALL SELECT customer_id, changed_at, 1, NULL, {'loyalty_tier': loyalty_tier, 'phone_hash': phone_hash} FROM profile_log WHERE customer_id IS NOT NULL)
+  WINDOW before AS (PARTITION BY customer_id ORDER BY moment, src ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+WHERE a IS NOT NULL QUALIFY row_number() OVER (PARTITION BY customer_id, moment ORDER BY src DESC) = 1
 """
 
 VIEWS["customer_history"] = """

@@ -6,7 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import history
+from tests.test_skew import settings
+from tidemark.operators import history, scans
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -78,11 +79,53 @@ def test_rank_matches_brute_force(spark, kind):
     assert got == want
 
 
-def test_hot_key_does_not_meet_in_one_task(spark):
-    """A key with all rows: no window group holds more than a small share of them."""
-    df = spark.range(0, 40_000, 1, 8).select(
-        F.lit("hot").alias("k"), (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("ts")
+@pytest.mark.parametrize("partitions", [1, 3, 64])
+def test_scans_match_brute_force_at_any_number_of_partitions(spark, partitions):
+    rng = random.Random(partitions)
+    rows = []
+    for i in range(400):
+        key = rng.choice(["hot", None, "", f"k{rng.randrange(40)}"])
+        rows.append((key, rng.choice([None, T0, T0 + dt.timedelta(hours=rng.randrange(30))]), rng.choice([None, None, None, "a", "b"]), i))
+    df = spark.createDataFrame(rows, "k string, t timestamp, v string, i int")
+    order = ["t", "i"]
+    with settings(spark, spark__sql__shuffle__partitions=str(partitions), spark__sql__adaptive__coalescePartitions__enabled="false"):
+        got = {
+            "carried": scans.carried(df, "k", order, {"x": "v", "y": F.col("i")}),
+            "next": scans.neighbour(df, "k", order, {"x": "v", "y": "i"}, forward=True),
+            "previous": scans.neighbour(df, "k", order, {"x": "v", "y": "i"}, forward=False),
+            "rank": scans.rank(df, "k", order, "x").withColumn("y", F.lit(None)),
+        }
+        got = {n: {r.i: (r.x, r.y) for r in d.select("i", "x", "y").collect()} for n, d in got.items()}
+    want = {n: {} for n in got}
+    for key in {r[0] for r in rows}:
+        group = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1] is not None, r[1] or T0, r[3]))
+        held = None
+        for n, (_, _, v, i) in enumerate(group):
+            held = v if v is not None else held
+            want["carried"][i] = (held, i)
+            want["rank"][i] = (n + 1, None)
+            want["next"][i] = (group[n + 1][2], group[n + 1][3]) if n + 1 < len(group) else (None, None)
+            want["previous"][i] = (group[n - 1][2], group[n - 1][3]) if n else (None, None)
+    assert got == want
+
+
+@pytest.mark.parametrize("moment", ["CAST(NULL AS timestamp)", "TIMESTAMP'2024-01-01 00:00:00'"])
+def test_a_third_of_the_rows_in_one_moment_of_a_key_is_spread(spark, moment):
+    """No window group holds more than a small share of them, with equal rows too, and results stay whole."""
+    n = 60_000
+    df = spark.range(0, n, 1, 8).selectExpr(
+        "if(id % 3 = 0, 'hot', cast(id % 1000 AS string)) AS k", f"if(id % 3 = 0, {moment}, timestamp_seconds(id)) AS t", "if(id % 3 = 0, 0, id) AS i"
     )
-    slots = df.groupBy("k", history._start("hour", "ts").alias("s")).count().agg(F.max("count")).first()[0]
-    assert slots == 60
-    assert history.with_next(df, "k", "ts", "nxt").filter("nxt IS NULL").count() == 1
+    with settings(spark, spark__sql__shuffle__partitions="32", spark__sql__adaptive__coalescePartitions__enabled="false"):
+        groups = scans.ordered(df, "k", ["t"]).groupBy("_part", "_key").count()
+        assert groups.agg(F.max("count")).first()[0] < n / 8 and groups.agg(F.sum("count")).first()[0] == n
+        ranked = history.with_rank(df, "k", "t", "i", "rk").filter("k = 'hot'")
+        assert ranked.agg(F.count_distinct("rk"), F.min("rk"), F.max("rk")).first()[:] == (n // 3, 1, n // 3)
+        nexts = history.with_next(df.withColumn("t", F.coalesce("t", F.lit(T0))), "k", "t", "nxt").filter("k = 'hot'")
+        assert nexts.filter("nxt IS NULL").count() == 1 and nexts.count() == n // 3
+        assert scans.ends(scans.ordered(df, "k", ["t"]), n=F.count("*")).count() <= 2 * 32
+
+
+def test_no_rows(spark):
+    df = spark.createDataFrame([], "k string, t timestamp, v string")
+    assert history.with_next(df, "k", "t", "n").count() == history.with_rank(df, "k", "t", "v", "r").count() == scans.carried(df, "k", ["t"], {"x": "v"}).count() == 0

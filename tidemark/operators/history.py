@@ -1,78 +1,26 @@
-"""Order within a key: next value, previous value, rank.
-
-A plain ``lead`` or ``row_number`` window puts all rows of one key into one task. Here
-the first window runs per key and slot of time. What is left to settle crosses a slot
-boundary and concerns few rows per slot, so the second group of a key is bounded by its
-number of slots, and a key with a third of all rows is spread over its slots.
-"""
+"""Order within a key: next value, previous value, rank, version intervals. The scans spread hot keys, see ``scans``."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
-# Rows without a time sort first, as nulls do in an ascending window.
-_BEFORE_ALL = "0001-01-01"
-
-
-def _start(unit: str, ts: str) -> Column:
-    return F.coalesce(F.date_trunc(unit, ts), F.lit(_BEFORE_ALL).cast("timestamp"))
-
-
-def _neighbour(df: DataFrame, key: str, ts: str, value: str, out: str, forward: bool) -> DataFrame:
-    """Add ``value`` of the next or previous row of the key by ``ts``, a date or time column.
 
-    Two windows in a row and no join, so the input is computed once.
-    """
-    step, back = (F.lead, F.lag) if forward else (F.lag, F.lead)
-    in_slot = Window.partitionBy(key, "_slot").orderBy(ts)
-    marked = df.withColumn("_slot", _start("hour", ts)).withColumns(
-        {
-            "_near": step(value).over(in_slot),
-            "_nth": F.row_number().over(in_slot),
-            "_leaves": step(F.lit(1)).over(in_slot).isNull(),
-            "_enters": back(F.lit(1)).over(in_slot).isNull(),
-        }
-    )
-    # First and last rows of the slots of a key meet in one group; inner rows stay apart by slot.
-    grouped = marked.withColumn("_inner", F.when(~F.col("_leaves") & ~F.col("_enters"), F.col("_slot")))
-    across = Window.partitionBy(key, "_inner").orderBy("_slot", "_nth")
-    found = F.when(F.col("_leaves"), step(value).over(across)).otherwise(F.col("_near"))
-    return grouped.withColumn(out, found).drop("_slot", "_near", "_nth", "_leaves", "_enters", "_inner")
+from tidemark.operators import scans
 
 
 def with_next(df: DataFrame, key: str, ts: str, out: str) -> DataFrame:
-    """Add the ``ts`` of the next row of the same key, null on the last row."""
-    return _neighbour(df, key, ts, ts, out, forward=True)
+    """Add the ``ts`` of the next row of the same key, null on the last row. Rows without a time come first."""
+    return scans.neighbour(df, key, [ts], {out: ts}, forward=True)
 
 
 def with_previous(df: DataFrame, key: str, ts: str, value: str, out: str) -> DataFrame:
     """Add ``value`` of the previous row of the same key, null on the first row."""
-    return _neighbour(df, key, ts, value, out, forward=False)
+    return scans.neighbour(df, key, [ts], {out: value}, forward=False)
 
 
 def with_rank(df: DataFrame, key: str, ts: str, row_id: str, out: str) -> DataFrame:
-    """Add the row number within the key by ``ts``; rows of equal ``ts`` are ordered by the MD5 of ``row_id``.
-
-    The hash order is what lets one day of one key be split: a slot of dates is a day and the first byte
-    of the hash, of times a second. The rank is the rank in the slot plus the rows of earlier slots, whose
-    counts join on the partitioning that the slot window already has.
-    """
-    # Null keys are one key, as in a window; the prefix keeps them apart from the empty string.
-    hashed = df.withColumns({"_hash": F.md5(F.col(row_id).cast("string")), "_key": F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit(""))})
-    if dict(df.dtypes)[ts] == "date":
-        slots, order = hashed.withColumns({"_slot": _start("hour", ts), "_byte": F.substring("_hash", 1, 2)}), ["_hash"]
-    else:
-        # Within a second time comes first, so the hash byte cannot split it.
-        slots, order = hashed.withColumns({"_slot": _start("second", ts), "_byte": F.lit("")}), [ts, "_hash"]
-    group = ["_key", "_slot", "_byte"]
-    counts = slots.groupBy(*group).agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("_key").orderBy("_slot", "_byte").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = counts.select(*group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_earlier"))
-    near = slots.withColumn("_nth", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-    rank = F.col("_nth") + F.coalesce("_earlier", F.lit(0))
-    return near.join(earlier, group, "left").withColumn(out, rank).drop("_hash", "_key", "_slot", "_byte", "_nth", "_earlier")
+    """Add the row number within the key by ``ts``; rows of equal ``ts`` are ordered by the MD5 of ``row_id``."""
+    return scans.rank(df, key, [ts, F.md5(F.col(row_id).cast("string")).alias("_md5")], out)
 
 
 def scd2_intervals(df: DataFrame, key: str, ts: str) -> DataFrame:

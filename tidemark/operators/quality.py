@@ -108,6 +108,12 @@ def expect_row_count(low: int = V.SILVER_MIN_ROWS, high: int = V.SILVER_MAX_ROWS
     return TableCheck("row_count", "*", n, n.between(low, high), severity)
 
 
+def expect_values(column: str, severity: str = "warning") -> TableCheck:
+    """The column is not null on every row: checks that look at values would pass on nothing."""
+    n = F.count(column)
+    return TableCheck("has_values", column, n, n > 0, severity)
+
+
 def expect_fresh(column: str, hours: int = V.FRESH_HOURS, as_of: str | None = None, severity: str = "warning") -> TableCheck:
     """The newest stamp is at most ``hours`` old; a table without stamps is stale. Stamps may be text or without a zone;
     text that is no time does not count."""
@@ -340,6 +346,7 @@ def dim_customers_scd2_suite() -> list:
         *[expect_not_null(c) for c in ("customer_sk", "customer_id", "is_current")],
         expect_in_set("customer_segment", V.CUSTOMER_SEGMENTS),
         expect_in_set("loyalty_tier", V.LOYALTY_TIERS),
+        *[expect_values(c) for c in ("loyalty_tier", "phone_hash")],
     ]
 
 

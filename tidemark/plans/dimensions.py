@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import values as V
 from tidemark.functions import money, text, times
-from tidemark.operators import history
+from tidemark.operators import history, scans
 from tidemark.operators.dedup import first_by
 from tidemark.plans.staging import drop_null_keys
 
@@ -81,6 +81,35 @@ def customer_versions(staged: DataFrame, effective: str) -> DataFrame:
     )
 
 
+def with_profile_history(staged: DataFrame, profiles: DataFrame, effective: str = "crm_updated_at", changed: str = "changed_at") -> DataFrame:
+    """Account versions and profile versions as one history: a row for each time at which either changed, with the last
+    version of both known then.
+
+    A profile that is known before the account waits for it; a null in a version is its value. Of versions of
+    one source with equal customer and time one counts, the last by its columns. The scan spreads a hot customer.
+    """
+    def single(df: DataFrame, source: int, name: str, at: str) -> DataFrame:
+        columns = [c for c in df.columns if c not in ("customer_id", at)]
+        last = first_by(df.filter(F.col("customer_id").isNotNull()), ["customer_id", at], [F.col(c).desc_nulls_last() for c in columns])
+        return last.select("customer_id", F.col(at).alias(effective), F.lit(source).alias("_source"), F.struct(*columns).alias(name))
+
+    taken = [c for c in profiles.columns if c not in ("customer_id", changed)]
+    accounts = single(staged.drop(*taken), 0, "_account", effective)
+    both = accounts.unionByName(single(profiles, 1, "_profile", changed), allowMissingColumns=True)
+    known = scans.carried(both, "customer_id", [effective, "_source"], {"_account": "_account", "_profile": "_profile"})
+    # Where both change at once, the second row knows both.
+    last = first_by(known.filter(F.col("_account").isNotNull()), ["customer_id", effective], [F.col("_source").desc()])
+    return last.select("customer_id", effective, "_account.*", *[F.col(f"_profile.`{c}`").alias(c) for c in taken])
+
+
+def refresh_customers(existing: DataFrame, accounts: DataFrame, profiles: DataFrame, touched: DataFrame) -> DataFrame:
+    """The dimension after new versions in either log: only the customers in ``touched`` are made again, from the
+    whole logs, so that late versions of one source also reach the later intervals; all others are passed on."""
+    keys = touched.select("customer_id").filter(F.col("customer_id").isNotNull()).distinct()
+    mine = [df.join(keys, "customer_id", "left_semi") for df in (accounts, profiles)]
+    return existing.join(keys, "customer_id", "left_anti").unionByName(dim_customers_scd2(with_profile_history(*mine)))
+
+
 def dim_customers_scd2(staged: DataFrame, existing: DataFrame | None = None, effective: str = "crm_updated_at") -> DataFrame:
     """Type-2 customer dimension: old and new versions merged, unchanged ones dropped, intervals recomputed.
 

@@ -92,6 +92,12 @@ def stage_account_versions(raw: DataFrame) -> DataFrame:
     return stage_accounts(marked, "has_left")
 
 
+def stage_profile_versions(log: DataFrame) -> DataFrame:
+    """All versions of the profiles in a log of extracted documents: what the customer dimension takes from them."""
+    typed = cast_columns(drop_null_keys(log, "customer_id"), {"updated_at": "timestamp_ntz"})
+    return typed.select("customer_id", F.lower(F.trim("loyalty_tier")).alias("loyalty_tier"), "phone_hash", F.col("updated_at").alias("changed_at"))
+
+
 def stg_customers(raw: DataFrame) -> DataFrame:
     """The latest version of each account, unless that version is deleted or internal."""
     latest = dedup_latest(drop_null_keys(raw, "account_id"), "account_id", "system_modstamp")
