@@ -196,28 +196,28 @@ def _tables_sql(**tables: list[tuple]) -> str:
 STATUSES = f"order_status NOT IN {listed(V.ORDER_STATUSES)}"
 
 
-@query(
-    "j12_model_suites",
-    _tables_sql(
-        stg_orders=[
-            unique_part("order_id", "stg_orders"),
-            *[null_part(c, "stg_orders") for c in ("order_id", "customer_id", "revenue_eur", "order_date")],
-            value_part("between", "revenue_eur", "revenue_eur NOT BETWEEN 0 AND 100000", "stg_orders"),
-            value_part("in_set", "order_status", STATUSES, "stg_orders"),
-        ],
-        stg_customers=[
-            unique_part("customer_id", "stg_customers"),
-            *[null_part(c, "stg_customers") for c in ("customer_id", "email_hashed", "country_code")],
-            value_part("length", "country_code", "length(country_code) <> 2", "stg_customers"),
-        ],
-        stg_profiles=[
-            unique_part("user_id", "stg_profiles"),
-            *[null_part(c, "stg_profiles") for c in ("user_id", "country_code", "customer_segment", "predicted_churn_score", "ltv_estimate_eur")],
-            value_part("in_set", "country_code", f"country_code NOT IN {listed(V.PROFILE_COUNTRIES)}", "stg_profiles"),
-            value_part("in_set", "customer_segment", f"customer_segment NOT IN {listed(V.PROFILE_SEGMENTS)}", "stg_profiles"),
-        ],
-    ),
+MODEL_SUITES_SQL = _tables_sql(
+    stg_orders=[
+        unique_part("order_id", "stg_orders"),
+        *[null_part(c, "stg_orders") for c in ("order_id", "customer_id", "revenue_eur", "order_date")],
+        value_part("between", "revenue_eur", "revenue_eur NOT BETWEEN 0 AND 100000", "stg_orders"),
+        value_part("in_set", "order_status", STATUSES, "stg_orders"),
+    ],
+    stg_customers=[
+        unique_part("customer_id", "stg_customers"),
+        *[null_part(c, "stg_customers") for c in ("customer_id", "email_hashed", "country_code")],
+        value_part("length", "country_code", "length(country_code) <> 2", "stg_customers"),
+    ],
+    stg_profiles=[
+        unique_part("user_id", "stg_profiles"),
+        *[null_part(c, "stg_profiles") for c in ("user_id", "country_code", "customer_segment", "predicted_churn_score", "ltv_estimate_eur")],
+        value_part("in_set", "country_code", f"country_code NOT IN {listed(V.PROFILE_COUNTRIES)}", "stg_profiles"),
+        value_part("in_set", "customer_segment", f"customer_segment NOT IN {listed(V.PROFILE_SEGMENTS)}", "stg_profiles"),
+    ],
 )
+
+
+@query("j12_model_suites", MODEL_SUITES_SQL)
 def _(spark, sf):
     from tidemark.plans import staging
 
@@ -228,28 +228,28 @@ def _(spark, sf):
     )
 
 
-@query(
-    "j12_dimension_suites",
-    _tables_sql(
-        dim_customers_scd2=[
-            unique_part("customer_sk", "customer_history"),
-            *[null_part(c, "customer_history") for c in ("customer_sk", "customer_id", "is_current")],
-            value_part("in_set", "customer_segment", f"customer_segment NOT IN {listed(V.CUSTOMER_SEGMENTS)}", "customer_history"),
-            value_part("in_set", "loyalty_tier", f"loyalty_tier NOT IN {listed(V.LOYALTY_TIERS)}", "customer_history"),
-            *[("has_values", c, "warning", f"CAST(count({c}) = 0 AS INTEGER)", "1", 1.0, "customer_history") for c in ("loyalty_tier", "phone_hash")],
-        ],
-        dim_customers=[
-            unique_part("customer_sk", "dim_customers_now"),
-            unique_part("user_id", "dim_customers_now"),
-            *[null_part(c, "dim_customers_now") for c in ("customer_sk", "user_id", "churn_risk", "country_code")],
-            value_part("in_set", "churn_risk", f"churn_risk NOT IN {listed(V.CHURN_BANDS)}", "dim_customers_now"),
-        ],
-        dim_products=[
-            unique_part("product_sk", "product_history"),
-            *[null_part(c, "product_history") for c in ("product_sk", "product_id", "category_l1", "is_current")],
-        ],
-    ),
+DIMENSION_SUITES_SQL = _tables_sql(
+    dim_customers_scd2=[
+        unique_part("customer_sk", "customer_history"),
+        *[null_part(c, "customer_history") for c in ("customer_sk", "customer_id", "is_current")],
+        value_part("in_set", "customer_segment", f"customer_segment NOT IN {listed(V.CUSTOMER_SEGMENTS)}", "customer_history"),
+        value_part("in_set", "loyalty_tier", f"loyalty_tier NOT IN {listed(V.LOYALTY_TIERS)}", "customer_history"),
+        *[("has_values", c, "warning", f"CAST(count({c}) = 0 AS INTEGER)", "1", 1.0, "customer_history") for c in ("loyalty_tier", "phone_hash")],
+    ],
+    dim_customers=[
+        unique_part("customer_sk", "dim_customers_now"),
+        unique_part("user_id", "dim_customers_now"),
+        *[null_part(c, "dim_customers_now") for c in ("customer_sk", "user_id", "churn_risk", "country_code")],
+        value_part("in_set", "churn_risk", f"churn_risk NOT IN {listed(V.CHURN_BANDS)}", "dim_customers_now"),
+    ],
+    dim_products=[
+        unique_part("product_sk", "product_history"),
+        *[null_part(c, "product_history") for c in ("product_sk", "product_id", "category_l1", "is_current")],
+    ],
 )
+
+
+@query("j12_dimension_suites", DIMENSION_SUITES_SQL)
 def _(spark, sf):
     return _stacked(
         ("dim_customers_scd2", stars.customers_scd2(spark, sf), quality.dim_customers_scd2_suite()),
@@ -258,27 +258,27 @@ def _(spark, sf):
     )
 
 
-@query(
-    "j12_fact_suites",
-    _tables_sql(
-        fact_order_lines=[
-            unique_part("order_line_id", "fact_lines"),
-            *[null_part(c, "fact_lines") for c in ("order_line_id", "customer_sk", "product_sk", "time_sk", "gross_revenue_eur")],
-            value_part("between", "gross_revenue_eur", "gross_revenue_eur < 0", "fact_lines"),
-            ("is_true", "net_revenue_eur <= gross_revenue_eur", "warning", "count(*) FILTER (net_revenue_eur > gross_revenue_eur)",
-             "count(*)", 1.0, "fact_lines"),
-            value_part("in_set", "order_status", STATUSES, "fact_lines"),
-            value_part("in_set", "referrer_channel", f"referrer_channel NOT IN {listed([*V.CHANNELS, 'unknown'])}", "fact_lines"),
-        ],
-        fact_orders=[
-            unique_part("order_sk", "fact_heads"),
-            *[null_part(c, "fact_heads") for c in ("order_sk", "customer_sk", "time_sk", "net_revenue_eur")],
-            reference_part("customer_sk", "fact_heads", "dim_customers_now", "customer_sk"),
-            reference_part("time_sk", "fact_heads", "calendar", "time_sk"),
-            value_part("in_set", "payment_method", f"payment_method NOT IN {listed(V.PAYMENT_METHODS)}", "fact_heads"),
-        ],
-    ),
+FACT_SUITES_SQL = _tables_sql(
+    fact_order_lines=[
+        unique_part("order_line_id", "fact_lines"),
+        *[null_part(c, "fact_lines") for c in ("order_line_id", "customer_sk", "product_sk", "time_sk", "gross_revenue_eur")],
+        value_part("between", "gross_revenue_eur", "gross_revenue_eur < 0", "fact_lines"),
+        ("is_true", "net_revenue_eur <= gross_revenue_eur", "warning", "count(*) FILTER (net_revenue_eur > gross_revenue_eur)",
+         "count(*)", 1.0, "fact_lines"),
+        value_part("in_set", "order_status", STATUSES, "fact_lines"),
+        value_part("in_set", "referrer_channel", f"referrer_channel NOT IN {listed([*V.CHANNELS, 'unknown'])}", "fact_lines"),
+    ],
+    fact_orders=[
+        unique_part("order_sk", "fact_heads"),
+        *[null_part(c, "fact_heads") for c in ("order_sk", "customer_sk", "time_sk", "net_revenue_eur")],
+        reference_part("customer_sk", "fact_heads", "dim_customers_now", "customer_sk"),
+        reference_part("time_sk", "fact_heads", "calendar", "time_sk"),
+        value_part("in_set", "payment_method", f"payment_method NOT IN {listed(V.PAYMENT_METHODS)}", "fact_heads"),
+    ],
 )
+
+
+@query("j12_fact_suites", FACT_SUITES_SQL)
 def _(spark, sf):
     heads = quality.fact_orders_suite(_stored(stars.customers_now(spark, sf)), dimensions.dim_time(spark))
     return _stacked(

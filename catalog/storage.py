@@ -8,13 +8,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import stars, views
-from catalog.checks import SILVER_SUITE_SQL
+from catalog.checks import DIMENSION_SUITES_SQL, FACT_SUITES_SQL, MODEL_SUITES_SQL, SILVER_SUITE_SQL
 from catalog.events import SILVER_SQL_COLUMNS, silver_events
 from catalog.gold import FUNNEL_SQL
 from catalog.registry import AS_OF, DATE, query
 from catalog.views_sql import day, ts
 from tidemark.operators import aggregates, quality
-from tidemark.plans import gold, silver
+from tidemark.plans import gold, models, silver
 from tidemark.session import scratch
 from tidemark.sources import bronze, sinks
 from tidemark.sources import silver as silver_source
@@ -179,6 +179,30 @@ def _(spark, sf):
     return spark.createDataFrame(rows, "check string, column string, severity string, failing bigint, total bigint, ratio double, passed boolean")
 
 
+def raw_tables(spark, sf) -> models.Raw:
+    """The raw tables as they land, in folders."""
+    makers = {
+        "orders": views.raw_orders, "lines": views.raw_lines, "accounts": views.raw_accounts, "profiles": views.raw_profiles,
+        "profile_log": views.profile_log, "products": views.raw_products, "order_heads": views.order_heads,
+    }
+    folders = {name: scratch(spark, f"raw-{name}") for name in makers}
+    for name, make in makers.items():
+        make(spark, sf).write.parquet(folders[name])
+    return models.Raw(**folders)
+
+
+@query(
+    "i14_model_run",
+    f"""SELECT * FROM (({MODEL_SUITES_SQL}) UNION ALL ({DIMENSION_SUITES_SQL}) UNION ALL ({FACT_SUITES_SQL}))""",
+)
+def _(spark, sf):
+    """The second half of a day, from landed raw tables to published marts: what its tests say."""
+    events, out = scratch(spark, "silver"), scratch(spark, "models")
+    sinks.write_replace(silver_events(spark, sf), events, DATE)
+    report = models.run(spark, raw_tables(spark, sf), events, out, DATE, AS_OF)
+    return report.filter("table_name <> 'dim_time'")
+
+
 @query(
     "i13_gold_job",
     """WITH day_events AS (SELECT * FROM silver_events),

@@ -286,10 +286,14 @@ def audit(written: DataFrame, suite: Sequence, watch: Watch) -> list[Row]:
     One row per check comes to the driver.
     """
     results = run_suite(written, suite, watch).collect()
+    raise_failed(results)
+    return results
+
+
+def raise_failed(results: Sequence[Row]) -> None:
     failed = [r for r in results if r["severity"] == "critical" and not r["passed"]]
     if failed:
         raise QualityError(failed, results)
-    return results
 
 
 def silver_suite(as_of: str | None = None, min_rows: int = V.SILVER_MIN_ROWS, max_rows: int = V.SILVER_MAX_ROWS) -> list:

@@ -6,10 +6,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators import quality
-from tidemark.plans import gold, silver
-from tidemark.sources import bronze
+from tidemark.plans import gold, models, silver
+from tidemark.sources import bronze, sinks
 from tidemark.sources import silver as silver_source
 
 
@@ -19,6 +20,9 @@ class Paths:
     silver_events: str
     silver_orders: str
     gold: str
+    #: Where staging and marts go, and the raw tables that they are made of; without them a day ends after Gold.
+    models: str | None = None
+    raw: models.Raw | None = None
 
 
 class LandingTooSmall(RuntimeError):
@@ -39,7 +43,8 @@ def run_day(
     min_orders: int | None = None,
     suite: Sequence | None = None,
 ) -> DataFrame:
-    """Landing check, Silver with its suite, quality gate, Gold. Returns the row counts of the Gold tables.
+    """Landing check, Silver with its suite, quality gate, Gold, then staging, marts and model tests. Returns the row
+    counts of the Gold tables; the results of the model tests are written to ``_checks`` beside the models.
 
     Silver is published only if the critical checks of ``suite`` (by default the Silver contract) hold.
     """
@@ -54,4 +59,8 @@ def run_day(
     failing = gate.take(3)  # the gate has three checks
     if failing:
         raise GateFailed(", ".join(f"{r['check_name']}={r['failing_rows']}" for r in failing))
-    return gold.run(spark, paths.silver_events, paths.silver_orders, paths.gold, date, as_of)
+    counts = gold.run(spark, paths.silver_events, paths.silver_orders, paths.gold, date, as_of)
+    if paths.models and paths.raw:
+        report = models.run(spark, paths.raw, paths.silver_events, paths.models, date, as_of)
+        sinks.publish_gold(report.withColumn("report_date", F.lit(date)), f"{paths.models}/_checks", date)
+    return counts

@@ -158,6 +158,17 @@ def read_day(spark: SparkSession, path: str, date: str) -> DataFrame:
     return day.withColumn("report_date", F.col("report_date").cast("string"))
 
 
+def publish_table(
+    df: DataFrame, path: str, watch: Callable[[DataFrame], DataFrame] | None = None, audit: Callable[[DataFrame], None] | None = None
+) -> None:
+    """Replace a whole table; ``watch`` and ``audit`` as in ``write_replace``."""
+    def audited(fresh: str) -> None:
+        audit(df.sparkSession.read.schema(df.schema).parquet(fresh))
+
+    rows = watch(df) if watch else df
+    _switch(df.sparkSession, path, rows.write.parquet, audited if audit else None)
+
+
 def publish_staging(df: DataFrame, root: str, name: str, jdbc: dict | None = None) -> None:
     """Full overwrite of ``STG_<NAME>``: a folder, or a warehouse table with ``jdbc`` options."""
     table = f"STG_{name.upper()}"
