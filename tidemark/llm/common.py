@@ -39,6 +39,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """``written``, and the shuffle files of the writing go at its end instead of staying until the driver collects garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP)
+    conf.set(_CLEANUP, "true")
+    try:
+        return written(df, label)
+    finally:
+        conf.set(_CLEANUP, before)
+
+
 def wrapped(df: DataFrame) -> DataFrame:
     """All columns in one struct ``row``, so that working columns cannot clash with any of them."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
@@ -66,7 +80,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     Nodes without links are not returned; null ids are no nodes.
     """
     links = links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
-    edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    edges = settled(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     before = None
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -78,7 +92,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         small_min = large.groupBy("a").agg(F.min("b").alias("m"))
         small = _joined(large, small_min, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        edges = written(small.unionByName(small_min.select("a", F.col("m").alias("b"))).distinct(), "links")
+        edges = settled(small.unionByName(small_min.select("a", F.col("m").alias("b"))).distinct(), "links")
         after = edges.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first()
         if after == before:
             break

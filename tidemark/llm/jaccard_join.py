@@ -14,8 +14,8 @@ A document's set is its distinct word shingles (of ``words`` words); equal sets
    and no task holds more than two chunks. Links leave a task as a spanning forest, not as pairs.
 
 Nodes are 64-bit digests of the sets. Defined results: null, empty and wordless texts have the empty set and stand
-alone; a text with fewer words than a shingle is one shingle; repeated rows share a node; a null id takes the component of
-its set, and null if it stands alone; an empty table gives no rows; other columns are not read.
+alone; a text with fewer words than a shingle is one shingle; repeated rows share a node; a row with a null id links like any
+other and is named by the smallest id it reaches, by null if there is none; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, written
+from tidemark.llm.common import components, settled
 from tidemark.llm.ngrams import WordHash, grams, low_words
 from tidemark.llm.token_files import chunks
 
@@ -36,6 +36,8 @@ from tidemark.llm.token_files import chunks
 CHUNK = 2_000_000
 #: Cells of a group's matrix.
 CELLS = 4_000_000
+#: Bits of the filter that lets texts of clusters through, and nodes that a task remembers to have sent.
+BITS, SENT = 1 << 26, 1_000_000
 
 
 def shingles(known: WordHash, text: str | None, words: int) -> np.ndarray:
@@ -202,27 +204,50 @@ def group_links(nodes: np.ndarray, found: list[np.ndarray], percent: int) -> lis
     return out
 
 
+def bitmap(nodes: DataFrame) -> np.ndarray:
+    """A bit for each of ``BITS`` hashes of the nodes: 8 MB at any size of the input. Fuller, it lets more texts through, and none less."""
+    place = F.pmod("node", F.lit(BITS)) + 1  # positions count from 1
+    blocks = nodes.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
+    out = np.zeros(BITS // 8, np.uint8)
+    for r in blocks.collect():  # at most BITS / 32,768 rows of 4 KB
+        begin = (r["b"] - 1) * 4096
+        out[begin : begin + 4096] |= np.frombuffer(bytes(r["bits"]), np.uint8)[: len(out) - begin]
+    return out
+
+
 def links(docs: DataFrame, found: DataFrame, clusters: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b): the verified links of all clusters. ``clusters`` maps nodes to their cluster."""
-    holders = found.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("holder"), F.max("n_shingles").alias("n"))
-    members = clusters.join(holders, clusters["id"] == holders["node"])
+    """(a, b): the verified links of all clusters. ``clusters`` maps nodes to their cluster.
+
+    The sets are made again from the texts, those of other nodes are left out before the shuffle, and of copies one goes on.
+    """
+    sizes = found.where("node is not null").groupBy("node").agg(F.max("n_shingles").alias("n"))
+    members = clusters.withColumnRenamed("id", "node").join(sizes, "node")
     run = W.partitionBy("component").orderBy("node")
     members = members.withColumn("chunk", F.floor((F.sum("n").over(run) - 1) / CHUNK).cast("int"))
     members = members.withColumn("last", F.max("chunk").over(W.partitionBy("component")))
     # Chunks meet in pairs; a cluster of one chunk is one task of its own.
     pair = F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other")
-    members = members.select("holder", "component", "chunk", "last", pair).where("last = 0 or chunk <> other")
-    members = written(members.select("holder", "component", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")), "members")
-    texts = docs.select("doc_id", "text").where("doc_id is not null").join(members.select("holder").distinct(), F.col("doc_id") == F.col("holder"), "left_semi")
+    members = members.select("node", "component", "chunk", "last", pair).where("last = 0 or chunk <> other")
+    members = settled(members.select("node", "component", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")), "members")
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(members))
 
     def tokens(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordHash()
+        known, sent = WordHash(), set()
         for frame in rows:
-            held = [shingles(known, t, words) for t in frame["text"]]
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "node": [node_of(s) if len(s) else 0 for s in held], "tokens": [s.tobytes() for s in held]})
-
-    held = texts.mapInPandas(tokens, "doc_id long, node long, tokens binary").dropDuplicates(["doc_id", "node"])
-    placed = held.join(members, held["doc_id"] == members["holder"]).select("component", "i", "j", "node", "tokens")
+            out = []
+            for text in frame["text"]:
+                held = shingles(known, text, words)
+                if not len(held) or (node := node_of(held)) in sent:
+                    continue
+                place = node % BITS
+                if wanted.value[place >> 3] >> (place & 7) & 1:
+                    out.append((node, held.tobytes()))
+                    if len(sent) < SENT:
+                        sent.add(node)
+            yield pd.DataFrame(out, columns=["node", "tokens"]).astype({"node": "int64"})
+
+    held = docs.select("text").mapInPandas(tokens, "node long, tokens binary").dropDuplicates(["node"])
+    placed = held.join(members, "node").select("component", "i", "j", "node", "tokens")
 
     def verify(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop_duplicates("node")
@@ -234,7 +259,7 @@ def links(docs: DataFrame, found: DataFrame, clusters: DataFrame, words: int, pe
 
 def join(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: components of links at ``percent`` Jaccard or more."""
-    found = written(sets(docs, words), "sets")
+    found = settled(sets(docs, words), "sets")
     clusters = components(candidates(docs, words, percent))
     linked = components(links(docs, found, clusters, words, percent))
     by_node = found.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
