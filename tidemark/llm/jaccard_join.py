@@ -21,6 +21,7 @@ other and is named by the smallest id it reaches, by null if there is none; an e
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -40,6 +41,12 @@ CELLS = 4_000_000
 BITS, SENT = 1 << 26, 1_000_000
 
 
+@lru_cache(maxsize=1)
+def worker_hashes() -> WordHash:
+    """One per Python worker: groups follow each other and share what is remembered."""
+    return WordHash()
+
+
 def shingles(known: WordHash, text: str | None, words: int) -> np.ndarray:
     """The set of a text: sorted distinct shingle hashes."""
     found = low_words(text)
@@ -218,7 +225,8 @@ def bitmap(nodes: DataFrame) -> np.ndarray:
 def links(docs: DataFrame, found: DataFrame, clusters: DataFrame, words: int, percent: int) -> DataFrame:
     """(a, b): the verified links of all clusters. ``clusters`` maps nodes to their cluster.
 
-    The sets are made again from the texts, those of other nodes are left out before the shuffle, and of copies one goes on.
+    Texts of other nodes are left out before the shuffle, and of copies one goes on. Texts are sent, not sets: they are
+    less than half as long.
     """
     sizes = found.where("node is not null").groupBy("node").agg(F.max("n_shingles").alias("n"))
     members = clusters.withColumnRenamed("id", "node").join(sizes, "node")
@@ -231,27 +239,28 @@ def links(docs: DataFrame, found: DataFrame, clusters: DataFrame, words: int, pe
     members = settled(members.select("node", "component", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")), "members")
     wanted = docs.sparkSession.sparkContext.broadcast(bitmap(members))
 
-    def tokens(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, sent = WordHash(), set()
+    def held(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, sent = worker_hashes(), set()
         for frame in rows:
             out = []
             for text in frame["text"]:
-                held = shingles(known, text, words)
-                if not len(held) or (node := node_of(held)) in sent:
+                tokens = shingles(known, text, words)
+                if not len(tokens) or (node := node_of(tokens)) in sent:
                     continue
                 place = node % BITS
                 if wanted.value[place >> 3] >> (place & 7) & 1:
-                    out.append((node, held.tobytes()))
+                    out.append((node, text))
                     if len(sent) < SENT:
                         sent.add(node)
-            yield pd.DataFrame(out, columns=["node", "tokens"]).astype({"node": "int64"})
+            yield pd.DataFrame(out, columns=["node", "text"]).astype({"node": "int64"})
 
-    held = docs.select("text").mapInPandas(tokens, "node long, tokens binary").dropDuplicates(["node"])
-    placed = held.join(members, "node").select("component", "i", "j", "node", "tokens")
+    texts = docs.select("text").mapInPandas(held, "node long, text string").dropDuplicates(["node"])
+    placed = texts.join(members, "node").select("component", "i", "j", "node", "text")
 
     def verify(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop_duplicates("node")
-        got = group_links(frame["node"].to_numpy(np.int64), [np.frombuffer(t, np.uint64) for t in frame["tokens"]], percent)
+        known = worker_hashes()
+        got = group_links(frame["node"].to_numpy(np.int64), [shingles(known, t, words) for t in frame["text"]], percent)
         return pd.DataFrame(got, columns=["a", "b"], dtype="int64")
 
     return placed.groupBy("component", "i", "j").applyInPandas(verify, "a long, b long")
