@@ -258,6 +258,27 @@ def _(spark, sf):
     )
 
 
+@query(
+    "j12_calendar_suite",
+    _tables_sql(
+        dim_time=[
+            unique_part("time_sk", "calendar"),
+            unique_part("calendar_date", "calendar"),
+            *[null_part(c, "calendar") for c in ("time_sk", "calendar_date")],
+            value_part("in_set", "commercial_period", f"commercial_period NOT IN {listed([V.COMMERCIAL_DEFAULT, *V.COMMERCIAL_PERIODS])}", "calendar"),
+            ("relationship", "order_date", "warning", "count(*) FILTER (order_date NOT IN (SELECT calendar_date FROM calendar))", "count(*)", 1.0, "silver_orders"),
+        ]
+    ),
+)
+def _(spark, sf):
+    """The calendar itself, and that every order's date is one of its days."""
+    calendar = dimensions.dim_time(spark)
+    known = quality.expect_relationship("order_date", calendar, "calendar_date")
+    return _stacked(("dim_time", calendar, quality.dim_time_suite())).unionByName(
+        quality.run_suite(views.silver_orders(spark, sf), [known]).withColumn("table_name", F.lit("dim_time"))
+    )
+
+
 FACT_SUITES_SQL = _tables_sql(
     fact_order_lines=[
         unique_part("order_line_id", "fact_lines"),
