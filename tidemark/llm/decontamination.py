@@ -14,11 +14,12 @@ replaced) and each step before the alignment is a bound that such an alignment c
 
 Items are held in slabs of about ``SLAB_WORDS`` words, each broadcast to a pass over the documents, so no task holds a
 large benchmark; long passages are cut into pieces that overlap by a span. A single item's alignment table is its words
-by ``PIECE`` and its span.
+by ``PIECE`` and its span, of which some rows are kept and the others made again on the way back.
 
 Words are compared in lower case without punctuation at their ends. Defined results: null and empty texts and items, and
-texts without words, match nothing; an item shorter than ``N`` words counts only as a whole copy; repeated items match
-each for itself, repeated rows give repeated rows; empty tables give no rows; other columns are not read.
+texts without words, match nothing; an item shorter than ``N`` words counts only as a whole copy; repeated items and repeated rows match
+each for itself in ``contaminated``, while the query has one row per pair of ids, null ids being one; empty tables give
+no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,11 +29,12 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import written
-from tidemark.llm.ngrams import WordHash
+from tidemark.llm.ngrams import WordHash, forget_older, low_words
 from tidemark.llm.token_files import chunks
 
 #: Items of fewer words count only as a whole copy.
@@ -42,6 +44,8 @@ SLOTS = 1 << 24
 HITS, SLAB_WORDS = 4, 1 << 20
 #: Passage words aligned at once, besides the overlap.
 PIECE = 4096
+#: Words of passages whose bounds are computed at once.
+HELD = 1 << 20
 #: Local alignment: a match, a mismatch, a word left out on either side.
 MATCH, MISMATCH, SKIP = 2, -1, -1
 #: A pair counts from this share of a perfect copy's score on.
@@ -54,20 +58,39 @@ def plain_words(text: str | None) -> list[bytes]:
     return [s for w in words if (s := w.strip(EDGES))]
 
 
+class PlainHash(WordHash):
+    """Hash of a lowered word without the punctuation at its ends, found by the word as it stands; 0 if nothing is left."""
+
+    def __init__(self, limit: int = 800_000):
+        super().__init__(limit)
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.limit:
+            forget_older(self)
+        plain = word.strip(EDGES)
+        value = self[word] = xxhash.xxh64_intdigest(plain) or 1 if plain else 0
+        return value
+
+    def plain(self, text: str | None) -> np.ndarray:
+        """The hashes of ``plain_words``."""
+        hashes = self.of(low_words(text))
+        return hashes[hashes != 0]
+
+
 def benchmark_words(slabs: DataFrame) -> DataFrame:
     """(slab, hash): the distinct words of every slab of items."""
 
     def build(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordHash()
+        known = PlainHash()
         for frame in rows:
             for slab, part in frame.groupby("slab"):
-                yield pd.DataFrame({"slab": slab, "hash": np.unique(known.of([w for t in part["text"] for w in plain_words(t)])).view(np.int64)})
+                yield pd.DataFrame({"slab": slab, "hash": np.unique(np.concatenate([known.plain(t) for t in part["text"]])).view(np.int64)})
 
     return slabs.select("slab", "text").mapInPandas(build, "slab int, hash long").distinct()
 
 
-def slot(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(40)).astype(np.int64)
+def slot(hashes: np.ndarray, slots: int = SLOTS) -> np.ndarray:
+    return (hashes >> np.uint64(65 - slots.bit_length())).astype(np.int64)
 
 
 def bitmap(hashes: DataFrame) -> bytes:
@@ -82,12 +105,12 @@ def document_counts(docs: DataFrame, words: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(bitmap(words))
 
     def build(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, bits = WordHash(), np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
+        known, bits = PlainHash(), np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
         for frame in rows:
             for some in chunks(frame):
                 found = [np.empty(0, np.uint64)]
                 for text in some["text"]:
-                    hashes = known.of(plain_words(text))
+                    hashes = known.plain(text)
                     found.append(np.unique(hashes[bits[slot(hashes)]]))
                 hashes, counts = np.unique(np.concatenate(found), return_counts=True)
                 yield pd.DataFrame({"hash": hashes.view(np.int64), "docs": counts})
@@ -98,15 +121,15 @@ def document_counts(docs: DataFrame, words: DataFrame) -> DataFrame:
 class Slab:
     """Items with their seeds: ``hashes`` (sorted, one entry per word and item) and ``owner``, and by item its words and bounds."""
 
-    def __init__(self, items: list[tuple[int, str]], docs: dict[int, int], least: float):
-        known = WordHash()
-        self.ids, self.words, self.bags, seeds = [], [], [], []
+    def __init__(self, items: list[tuple[int | None, str]], docs: dict[int, int], least: float):
+        known = PlainHash()
+        self.ids, self.words, bags, seeds = [], [], [], []
         self.need, self.span, self.bound, self.least = [], [], [], []
         for item_id, text in items:
             words = plain_words(text)
-            if not words or item_id is None:
+            if not words:
                 continue
-            hashes, share = known.of(words), least if len(words) >= N else 1.0
+            hashes, share = known.plain(text), least if len(words) >= N else 1.0
             matches = max(1, int(np.ceil(share * len(words) - 1e-9)))
             need = min(HITS, matches)
             # By words, not places: with a word all its places are seeds.
@@ -114,7 +137,7 @@ class Slab:
             seeds.append(np.unique(hashes[order[: len(words) - matches + need]]))
             self.ids.append(item_id)
             self.words.append(words)
-            self.bags.append(np.unique(hashes))
+            bags.append(own(np.unique(hashes), len(bags)))
             self.need.append(need)
             self.span.append(int(np.ceil((3 - 2 * share) * len(words) + 1e-9)))
             self.bound.append(MATCH * share * len(words) - 1e-9)
@@ -124,19 +147,19 @@ class Slab:
         order = np.argsort(hashes, kind="stable")
         self.hashes, self.owner = hashes[order], owner[order]
         self.need, self.span = np.array(self.need, np.int64), np.array(self.span, np.int64)
+        self.bags = np.sort(np.concatenate([np.empty(0, np.uint64), *bags]))
 
     def bits(self) -> np.ndarray:
-        out = np.zeros(SLOTS, bool)
-        out[slot(self.hashes)] = True
+        """The slots of the seeds, 16 or more to a seed: few enough to stay in a core's cache while a slab allows it."""
+        out = np.zeros(1 << max(16, (16 * len(self.hashes)).bit_length()), bool)
+        out[slot(self.hashes, len(out))] = True
         return out
 
-    def passages(self, hashes: np.ndarray, bits: np.ndarray) -> list[tuple[int, int, int]]:
+    def passages(self, hashes: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(item, start, end): the stretches of a text where an alignment can be, apart from each other by item."""
-        at = np.flatnonzero(bits[slot(hashes)])
+        at = np.flatnonzero(bits[slot(hashes, len(bits))])
         low, high = np.searchsorted(self.hashes, hashes[at]), np.searchsorted(self.hashes, hashes[at], "right")
         many = high - low
-        if not many.any():
-            return []
         place = np.repeat(at, many)
         item = self.owner[np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(low, many)]
         order = np.argsort(item, kind="stable")
@@ -145,65 +168,125 @@ class Slab:
         fits = last < len(item)
         first, last = np.flatnonzero(fits), last[fits]
         good = (item[first] == item[last]) & (place[last] - place[first] < self.span[item[first]])
-        first, last = first[good], last[good]
-        out: list[tuple[int, int, int]] = []
-        for i, a, b in zip(item[first].tolist(), place[first].tolist(), place[last].tolist()):
-            start, end = max(0, b - int(self.span[i]) + 1), min(len(hashes), a + int(self.span[i]))
-            if out and out[-1][0] == i and start <= out[-1][2]:
-                out[-1] = (i, out[-1][1], end)
-            else:
-                out.append((i, start, end))
-        return out
-
-    def possible(self, item: int, hashes: np.ndarray) -> bool:
-        """Whether the bound of the score allows an alignment."""
-        bag = self.bags[item]
-        has = bag[np.minimum(np.searchsorted(bag, hashes), len(bag) - 1)] == hashes
-        sums = np.concatenate([[0], np.cumsum(np.where(has, MATCH, MISMATCH))])
-        return bool((sums - np.minimum.accumulate(sums)).max() >= self.bound[item])
-
-    def found(self, words: list[bytes], hashes: np.ndarray, bits: np.ndarray) -> Iterator[tuple]:
+        item, begin, stop = item[first[good]], place[first[good]], place[last[good]]
+        start, end = np.maximum(0, stop - self.span[item] + 1), np.minimum(len(hashes), begin + self.span[item])
+        # By item both grow with the place, so a stretch is from its first start to its last end.
+        new = np.ones(len(item), bool)
+        new[1:] = (item[1:] != item[:-1]) | (start[1:] > end[:-1])
+        heads = np.flatnonzero(new)
+        return item[heads], start[heads], end[np.append(heads[1:], len(item))[: len(heads)] - 1]
+
+    def possible(self, item: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """For each stretch, whether the bound of the score allows an alignment."""
+        size = end - start + 1
+        begin = np.cumsum(size) - size
+        # A stretch is a 0 and the gains of its words; sums of later ones lie below all of earlier ones, so that one
+        # running minimum serves all.
+        at = np.arange(size.sum()) - np.repeat(begin - start + 1, size)
+        words = own(hashes[at], np.repeat(item, size))
+        has = self.bags[np.minimum(np.searchsorted(self.bags, words), len(self.bags) - 1)] == words
+        gains = np.where(has, MATCH, MISMATCH)
+        gains[begin] = -(MATCH - MISMATCH) * size.max(initial=0)
+        sums = np.cumsum(gains)
+        return np.maximum.reduceat(sums - np.minimum.accumulate(sums), begin) >= np.array(self.bound)[item]
+
+    def found(self, text: str | None, hashes: np.ndarray, bits: np.ndarray) -> Iterator[tuple]:
         """(item_id, score, matches, item and document positions) of every piece of a passage that scores enough."""
-        for item, start, end in self.passages(hashes, bits):
-            for at in range(start, max(start + 1, end - int(self.span[item])), PIECE):
-                stop = min(end, at + PIECE + int(self.span[item]))
-                if self.possible(item, hashes[at:stop]):
-                    score, matches, i0, i1, j0, j1 = align(self.words[item], words[at:stop])
-                    if score >= self.least[item]:
-                        yield self.ids[item], score, matches, i0, i1, at + j0, at + j1
-
-
-def align(item: list, passage: list) -> tuple[float, int, int, int, int, int]:
-    """Local alignment: score over a perfect copy's, matches, and [start, end) in item and passage.
-
-    Row by row over the item; a run of skipped passage words is a running maximum, so a row is a few numpy steps.
+        item, start, end = self.passages(hashes, bits)
+        if not len(item):
+            return
+        span = self.span[item]
+        pieces = np.maximum(1, -(-(end - start - span) // PIECE))
+        nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        item, span = np.repeat(item, pieces), np.repeat(span, pieces)
+        start, end = np.repeat(start, pieces) + nth * PIECE, np.repeat(end, pieces)
+        end = np.minimum(end, start + PIECE + span)
+        words = None
+        for part in parts_of(end - start + 1, HELD):
+            good = part.start + np.flatnonzero(self.possible(item[part], start[part], end[part], hashes))
+            for i, a, b in zip(item[good].tolist(), start[good].tolist(), end[good].tolist()):
+                words = plain_words(text) if words is None else words
+                got = align(self.words[i], words[a:b], self.least[i])
+                if got is not None:
+                    score, matches, i0, i1, j0, j1 = got
+                    yield self.ids[i], score, matches, i0, i1, a + j0, a + j1
+
+
+def own(hashes: np.ndarray, item: int | np.ndarray) -> np.ndarray:
+    """Hashes of words as an item's own. A chance collision only raises a bound."""
+    return hashes ^ np.atleast_1d(np.asarray(item, np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def parts_of(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Consecutive stretches of about ``most`` in sum; a larger size stands alone."""
+    group = (np.cumsum(sizes) - sizes) // most
+    heads = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])).tolist()
+    for a, b in zip(heads, [*heads[1:], len(sizes)]):
+        yield slice(a, b)
+
+
+def align(item: list, passage: list, least: float = 0.0) -> tuple[float, int, int, int, int, int] | None:
+    """Local alignment: score over a perfect copy's, matches, and [start, end) in item and passage; below ``least``: none.
+
+    Row by row over the item; a run of skipped passage words is a running maximum, so a row is a few numpy steps. Of the
+    rows every ``gap``-th is kept; the way back makes those between two of them again.
     """
     ids: dict = {}
     a = np.array([ids.setdefault(w, len(ids)) for w in item])
     b = np.array([ids.setdefault(w, len(ids)) for w in passage])
-    table = np.zeros((len(a) + 1, len(b) + 1), np.int32)
     ramp = np.arange(len(b) + 1, dtype=np.int32) * -SKIP
+    gap = int(np.sqrt(len(a))) + 1
+
+    def following(row: np.ndarray, word: int) -> np.ndarray:
+        step = np.maximum(row + SKIP, 0)
+        gain = (b == word) * np.int32(MATCH - MISMATCH)
+        gain += row[:-1]
+        gain += MISMATCH
+        np.maximum(step[1:], gain, out=step[1:])
+        step += ramp
+        np.maximum.accumulate(step, out=step)
+        step -= ramp
+        return step
+
+    row = np.zeros(len(b) + 1, np.int32)
+    kept, score, end_i, end_j = [row], 0, 0, 0
     for i, word in enumerate(a, 1):
-        step = np.maximum(table[i - 1] + SKIP, 0)
-        step[1:] = np.maximum(step[1:], table[i - 1, :-1] + np.where(b == word, MATCH, MISMATCH))
-        table[i] = np.maximum.accumulate(step + ramp) - ramp
-    i, j = np.unravel_index(int(table.argmax()), table.shape)
-    score, end_i, end_j, matches = int(table[i, j]), int(i), int(j), 0
-    while table[i, j] > 0:
+        row = following(row, word)
+        if i % gap == 0:
+            kept.append(row)
+        top = int(row.argmax())
+        if row[top] > score:
+            score, end_i, end_j = int(row[top]), i, top
+    if score < least * MATCH * len(a) - 1e-9:
+        return None
+    low, rows = end_i + 1, []
+
+    def cell(i: int, j: int) -> int:
+        nonlocal low, rows
+        if i < low:
+            high, low = low, i // gap * gap
+            rows = [kept[low // gap]]
+            for word in a[low:high]:
+                rows.append(following(rows[-1], word))
+        return rows[i - low][j]
+
+    i, j, matches = end_i, end_j, 0
+    while (here := cell(i, j)) > 0:
         same = a[i - 1] == b[j - 1]
-        if table[i, j] == table[i - 1, j - 1] + (MATCH if same else MISMATCH):
+        above = cell(i - 1, j - 1), cell(i - 1, j)
+        if here == above[0] + (MATCH if same else MISMATCH):
             matches, i, j = matches + bool(same), i - 1, j - 1
-        elif table[i, j] == table[i - 1, j] + SKIP:
+        elif here == above[1] + SKIP:
             i -= 1
         else:
             j -= 1
-    return score / (MATCH * len(a)), matches, int(i), end_i, int(j), end_j
+    return score / (MATCH * len(a)), matches, i, end_i, j, end_j
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
     """(doc_id, item_id, score, matches, item_start, item_end, doc_start, doc_end): the best alignment of every
     passage and item that scores at least ``least``; positions count plain words."""
-    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
+    items = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
     size = items.agg(F.sum(F.size(F.split("text", r"\s+")).cast("long"))).first()[0] or 0
     many = 1 + size // SLAB_WORDS
     slabs = written(items.withColumn("slab", F.pmod(F.xxhash64("item_id", "text"), F.lit(many)).cast("int")), "slabs")
@@ -221,15 +304,14 @@ def aligned(docs: DataFrame, slabs: DataFrame, counts: DataFrame, slab: int, lea
     shared = docs.sparkSession.sparkContext.broadcast(held)
 
     def build(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, held = WordHash(), shared.value
+        known, held = PlainHash(), shared.value
         bits = held.bits()
         for frame in rows:
             for some in chunks(frame):
                 out = []
                 for doc, text in zip(some["doc_id"], some["text"]):
-                    words = plain_words(text)
-                    out += [(doc, *row) for row in held.found(words, known.of(words), bits)]
-                yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")]).astype({"doc_id": "Int64"})
+                    out += [(doc, *row) for row in held.found(text, known.plain(text), bits)]
+                yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")]).astype({"doc_id": "Int64", "item_id": "Int64"})
 
     schema = "doc_id long, item_id long, score double, matches int, item_start int, item_end int, doc_start int, doc_end int"
     return written(docs.select("doc_id", "text").mapInPandas(build, schema), "alignments")

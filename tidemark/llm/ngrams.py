@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from itertools import islice
+
 import numpy as np
 import xxhash
 
 _MULTIPLY = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
 
+def forget_older(held: dict) -> None:
+    """Drop the half of a dictionary that came first; frequent words of it soon come again."""
+    for key in list(islice(held, len(held) // 2)):
+        del held[key]
+
+
 class WordHash(dict):
     """Hash of each word (bytes), remembered for up to ``limit`` words."""
 
@@ -17,7 +25,7 @@ class WordHash(dict):
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:
-            self.clear()
+            forget_older(self)
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
 
