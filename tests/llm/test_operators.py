@@ -176,6 +176,51 @@ def test_tokens_equal_the_tokenizer(docs, odd, none):
     assert token_files.op4_tokens(odd, path).count() == odd.count() and token_files.op4_tokens(none, path).count() == 0
 
 
+def test_tokens_of_one_document_by_block_offsets(spark, docs, tmp_path, monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    monkeypatch.setattr(token_files, "BLOCK", 64)
+    out = str(tmp_path / "tokens")
+    table = spark.createDataFrame([(7, LONG), (7, "One two"), (8, None), (9, words(90, 3))], "doc_id long, text string").coalesce(1)
+    token_files.write_tokens(table, path, out)
+    tokenizer = token_files.Pieces(path).tokenizer
+    for doc, texts in ((7, [LONG, "One two"]), (8, [""]), (9, [words(90, 3)]), (10, [])):
+        got = [ids.tolist() for ids in token_files.read_document(spark, out, doc)]
+        assert sorted(got) == sorted([*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts)
+
+
+def test_pieces_that_are_forgotten_are_encoded_again():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    few, many = token_files.Pieces(path, limit=50), token_files.Pieces(path)
+    for seed in range(6):
+        texts = [words(60, seed), words(80, seed + 10), LONG]
+        assert [a.tolist() for a in few.encode(texts)] == [a.tolist() for a in many.encode(texts)]
+
+
+def test_long_alignment_equals_a_full_table():
+    rng = random.Random(5)
+    for _ in range(60):
+        item = [rng.choice("abcd") for _ in range(rng.randrange(1, 40))]
+        passage = [rng.choice("abcde") for _ in range(rng.randrange(1, 60))]
+        table = np.zeros((len(item) + 1, len(passage) + 1), int)
+        for i, a in enumerate(item, 1):
+            for j, b in enumerate(passage, 1):
+                table[i, j] = max(0, table[i - 1, j - 1] + (2 if a == b else -1), table[i - 1, j] - 1, table[i, j - 1] - 1)
+        score, matches, i0, i1, j0, j1 = decontamination.align(item, passage)
+        assert score * 2 * len(item) == pytest.approx(table.max()) and table.max() == table[i1, j1]
+        same = decontamination.align(item[i0:i1], passage[j0:j1]) if i1 > i0 else None
+        assert same is None or (same[0] * (i1 - i0) == pytest.approx(score * len(item)) and matches <= i1 - i0)
+        assert decontamination.align(item, passage, score + 0.01) is None
+
+
+def test_null_items_and_repeated_rows_decontaminate(spark):
+    item = words(30, 50)
+    docs = spark.createDataFrame([(None, "x y " + item), (None, item), (4, item + " z"), (5, "clean text"), (6, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, item), (None, None), (2, "")], "item_id long, text string")
+    got = decontamination.op9_decontaminate(docs, bench).collect()
+    assert {(r["doc_id"], r["item_id"], r["score"]) for r in got} == {(None, None, 1.0), (4, None, 1.0)} and len(got) == 2
+    assert decontamination.contaminated(docs, bench).count() == 3
+
+
 def brute_repeats(texts: list[bytes]) -> list[tuple[int, int, str]]:
     seen, out = set(), []
     for b in texts:

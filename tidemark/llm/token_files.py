@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.llm.ngrams import forget_older
 from tidemark.session import scratch
 
 BLOCK = 1 << 13
@@ -73,7 +74,7 @@ def unpack(data: bytes | memoryview, width: int, first: int, count: int) -> np.n
 class Pieces(dict):
     """Ids of white-space separated pieces, as little-endian 32-bit bytes, remembered for up to ``limit`` pieces."""
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core already
         from tokenizers import Tokenizer
 
@@ -88,10 +89,12 @@ class Pieces(dict):
         return self.tokenizer.get_vocab_size()
 
     def learn(self, pieces: set[bytes]) -> None:
-        new = [p for p in pieces if p not in self]
+        new = list(pieces.difference(self))
         if len(self) + len(new) > self.limit:
-            self.clear()
-            new = list(pieces)
+            # Older pieces go, but for those of these texts.
+            held = {p: self[p] for p in pieces.difference(new)}
+            forget_older(self)
+            self.update(held)
         if self.mark_id is not None:
             plain = [p for p in new if MARK not in p]
             new = [p for p in new if MARK in p]
@@ -177,6 +180,22 @@ def write_tokens(docs: DataFrame, tokenizer: str, out: str, end_id: int = 1) ->
     rows.withColumn("part", F.spark_partition_id()).mapInPandas(segments(tokenizer, end_id), FILE).write.parquet(out)
 
 
+def read_document(spark: SparkSession, path: str, doc_id: int) -> list[np.ndarray]:
+    """The ids of each document with this id, unpacked from the blocks that hold it. Segments without it are passed over by
+    Spark; of the others, only the bytes from the first to the last such block leave the payload."""
+    files = spark.read.schema(FILE).parquet(path).where(F.array_contains("doc_ids", F.lit(doc_id).cast("long")))
+    at = F.posexplode(F.transform("doc_ids", lambda d: d.eqNullSafe(F.lit(doc_id)))).alias("nth", "same")
+    found = files.select("part", "segment", "width", "n_ids", "doc_starts", "block_offsets", "payload", at).where("same")
+    first = F.col("doc_starts")[F.col("nth")]
+    after = F.coalesce(F.get("doc_starts", F.col("nth") + 1), F.col("n_ids"))
+    low, high = F.floor(first / BLOCK).cast("int"), F.floor((after - 1) / BLOCK).cast("int") + 1
+    begin = F.get("block_offsets", low)
+    end = F.coalesce(F.get("block_offsets", high), F.length("payload").cast("long"))
+    cut = F.substring("payload", (begin + 1).cast("int"), (end - begin).cast("int"))
+    rows = found.select("part", "segment", "nth", "width", (first - low * BLOCK).alias("skip"), (after - first).alias("n"), cut.alias("bytes"))
+    return [unpack(bytes(r["bytes"]), r["width"], r["skip"], r["n"]) for r in rows.orderBy("part", "segment", "nth").collect()]
+
+
 def read_documents(spark: SparkSession, path: str, each, schema: str) -> DataFrame:
     """Unpack every document of the files and apply ``each(ids) -> tuple``; with doc_id, start, n_tokens and the
     columns of ``schema``."""
