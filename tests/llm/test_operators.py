@@ -212,6 +212,18 @@ def test_long_alignment_equals_a_full_table():
         assert decontamination.align(item, passage, score + 0.01) is None
 
 
+def test_hashes_tell_plain_words_apart(monkeypatch):
+    texts = [None, "", " \n", "...", "One, (two) o.k. ...\tThree", "three -- ONE", LONG, "é\x85É x\u00a0y", "a" * 700 + " b", "one", words(300, 9)]
+    for size in (1 << 18, 64):
+        monkeypatch.setattr(decontamination, "HASHED", size)
+        known: dict = {}
+        for text, hashes in zip(texts, decontamination.PlainHash().of(texts)):
+            plain = decontamination.plain_words(text)
+            assert len(plain) == len(hashes)
+            assert all(known.setdefault(w, h) == h for w, h in zip(plain, hashes.tolist()))
+        assert len(set(known.values())) == len(known)
+
+
 def test_null_items_and_repeated_rows_decontaminate(spark):
     item = words(30, 50)
     docs = spark.createDataFrame([(None, "x y " + item), (None, item), (4, item + " z"), (5, "clean text"), (6, None)], "doc_id long, text string")

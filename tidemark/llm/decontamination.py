@@ -24,17 +24,16 @@ no rows; other columns are not read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import written
-from tidemark.llm.ngrams import WordHash, forget_older, low_words
 from tidemark.llm.token_files import chunks
 
 #: Items of fewer words count only as a whole copy.
@@ -50,6 +49,10 @@ HELD = 1 << 20
 MATCH, MISMATCH, SKIP = 2, -1, -1
 #: A pair counts from this share of a perfect copy's score on.
 LEAST = 0.5
+#: Bytes of text hashed at once.
+HASHED = 1 << 18
+ODD, MIXED = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
+SPACE = re.compile(rb"[ \t-\r]")
 EDGES = b".,;:!?\"'()[]{}<>*_-/\\|&%#$@+=~`^"
 
 
@@ -58,23 +61,80 @@ def plain_words(text: str | None) -> list[bytes]:
     return [s for w in words if (s := w.strip(EDGES))]
 
 
-class PlainHash(WordHash):
-    """Hash of a lowered word without the punctuation at its ends, found by the word as it stands; 0 if nothing is left."""
+def classes(edges: bytes) -> np.ndarray:
+    """By byte: 0 for white space, 1 for an edge, 2 for all others."""
+    out = np.full(256, 2, np.uint8)
+    out[list(edges)] = 1
+    out[list(b" \t\n\v\f\r")] = 0
+    return out
 
-    def __init__(self, limit: int = 800_000):
-        super().__init__(limit)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            forget_older(self)
-        plain = word.strip(EDGES)
-        value = self[word] = xxhash.xxh64_intdigest(plain) or 1 if plain else 0
-        return value
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of an odd number modulo 2^64, and of its inverse."""
+    with np.errstate(over="ignore"):
+        return tuple(np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, x % (1 << 64), np.uint64)])) for x in (ODD, pow(ODD, -1, 1 << 64)))
+
+
+class PlainHash:
+    """Hashes of the ``plain_words`` of texts, without cutting them out: sums of bytes times powers, by word.
+
+    Only bounds and seeds rest on them, and a chance collision only loosens these.
+    """
+
+    def __init__(self):
+        self.kinds = classes(EDGES)
+        self.up, self.down = powers(HASHED)
 
     def plain(self, text: str | None) -> np.ndarray:
-        """The hashes of ``plain_words``."""
-        hashes = self.of(low_words(text))
-        return hashes[hashes != 0]
+        return self.of([text])[0]
+
+    def of(self, texts: list[str | None]) -> list[np.ndarray]:
+        """By text. Texts are joined to about ``HASHED`` bytes, and a longer one is cut at its white space."""
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        held: list[tuple[int, bytes]] = []
+        size = 0
+        for n, text in enumerate(texts):
+            data = (text or "").encode("utf-8", "surrogatepass").lower()
+            for piece in pieces_of(data, HASHED) if len(data) > HASHED else [data]:
+                if size + len(piece) + 1 > HASHED and held:
+                    self.flush(held, out)
+                    held, size = [], 0
+                held.append((n, piece))
+                size += len(piece) + 1
+        self.flush(held, out)
+        return [found[0] if len(found) == 1 else np.concatenate([np.empty(0, np.uint64), *found]) for found in out]
+
+    def flush(self, held: list[tuple[int, bytes]], out: list[list[np.ndarray]]) -> None:
+        data = np.frombuffer(b" ".join([piece for _, piece in held]), np.uint8)
+        if len(data) >= len(self.up):
+            self.up, self.down = powers(len(data))
+        kind = self.kinds[data]
+        inner = np.flatnonzero(kind == 2)
+        # A word ends where white space lies between two inner bytes.
+        spaces = np.cumsum(kind == 0, dtype=np.int32)[inner]
+        new = np.flatnonzero(spaces[1:] != spaces[:-1]) + 1 if len(inner) else np.empty(0, np.int64)
+        begin = inner[np.append(0, new)] if len(inner) else inner
+        end = inner[np.append(new, len(inner)) - 1] + 1 if len(inner) else inner
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[: len(data)], out=sums[1:])
+        hashes = (sums[end] - sums[begin]) * self.down[begin]
+        hashes = (hashes ^ (hashes >> np.uint64(32))) * MIXED
+        hashes ^= hashes >> np.uint64(29)
+        hashes *= MIXED
+        hashes ^= hashes >> np.uint64(32)
+        sizes = np.cumsum([len(piece) + 1 for _, piece in held])
+        for (n, _), some in zip(held, np.split(hashes, np.searchsorted(begin, sizes[:-1]))):
+            out[n].append(some)
+
+
+def pieces_of(data: bytes, size: int) -> Iterator[bytes]:
+    """A long text in pieces that end at white space; a longer word stays whole."""
+    at = 0
+    while at < len(data):
+        stop = SPACE.search(data, at + size)
+        end = stop.start() if stop else len(data)
+        yield data[at:end]
+        at = end
 
 
 def benchmark_words(slabs: DataFrame) -> DataFrame:
@@ -84,7 +144,7 @@ def benchmark_words(slabs: DataFrame) -> DataFrame:
         known = PlainHash()
         for frame in rows:
             for slab, part in frame.groupby("slab"):
-                yield pd.DataFrame({"slab": slab, "hash": np.unique(np.concatenate([known.plain(t) for t in part["text"]])).view(np.int64)})
+                yield pd.DataFrame({"slab": slab, "hash": np.unique(np.concatenate(known.of(list(part["text"])))).view(np.int64)})
 
     return slabs.select("slab", "text").mapInPandas(build, "slab int, hash long").distinct()
 
@@ -109,8 +169,7 @@ def document_counts(docs: DataFrame, words: DataFrame) -> DataFrame:
         for frame in rows:
             for some in chunks(frame):
                 found = [np.empty(0, np.uint64)]
-                for text in some["text"]:
-                    hashes = known.plain(text)
+                for hashes in known.of(list(some["text"])):
                     found.append(np.unique(hashes[bits[slot(hashes)]]))
                 hashes, counts = np.unique(np.concatenate(found), return_counts=True)
                 yield pd.DataFrame({"hash": hashes.view(np.int64), "docs": counts})
@@ -214,7 +273,7 @@ class Slab:
 
 def own(hashes: np.ndarray, item: int | np.ndarray) -> np.ndarray:
     """Hashes of words as an item's own. A chance collision only raises a bound."""
-    return hashes ^ np.atleast_1d(np.asarray(item, np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    return hashes ^ np.atleast_1d(np.asarray(item, np.uint64)) * np.uint64(ODD)
 
 
 def parts_of(sizes: np.ndarray, most: int) -> Iterator[slice]:
@@ -309,8 +368,9 @@ def aligned(docs: DataFrame, slabs: DataFrame, counts: DataFrame, slab: int, lea
         for frame in rows:
             for some in chunks(frame):
                 out = []
-                for doc, text in zip(some["doc_id"], some["text"]):
-                    out += [(doc, *row) for row in held.found(text, known.plain(text), bits)]
+                texts = list(some["text"])
+                for doc, text, hashes in zip(some["doc_id"], texts, known.of(texts)):
+                    out += [(doc, *row) for row in held.found(text, hashes, bits)]
                 yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")]).astype({"doc_id": "Int64", "item_id": "Int64"})
 
     schema = "doc_id long, item_id long, score double, matches int, item_start int, item_end int, doc_start int, doc_end int"
