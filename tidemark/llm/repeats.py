@@ -6,7 +6,7 @@ Every byte that lies in a string of ``LENGTH`` bytes which also starts earlier i
    it at the same place, so they meet among the occurrences of one gram, each with the bytes around it that such a
    string could cover (its context).
 2. Copies. Of equal contexts, all but the earliest are covered whole. This settles exact and near copies of any
-   number by a sort, without comparing them.
+   number by an aggregation and a join, without comparing them; no gram or context is gathered.
 3. Suffix arrays. The distinct contexts of a gram are put in a suffix array with common-prefix lengths. A stack
    scan lists the tree of its intervals; an interval whose occurrences have different bytes on their left is a maximal
    repeat, and is put out with all its occurrences. All but the earliest are covered.
@@ -24,7 +24,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import written
@@ -33,8 +32,10 @@ LENGTH, K = 100, 24
 SIDE = LENGTH - K
 #: Distinct contexts of a gram that a task takes into one suffix array.
 HOT = 20_000
-#: Bytes of contexts in one suffix array.
-BATCH = 1 << 21
+#: Bytes of contexts in one suffix array, unless one gram has more.
+BATCH = 1 << 19
+#: Strings whose minimizers are searched at a time.
+PIECE = 1 << 16
 #: Ends a context in the joined text: a byte that UTF-8 does not have, so a common prefix ends there at the latest.
 STOP = b"\xff"
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -50,21 +51,50 @@ def words_at(data: np.ndarray) -> np.ndarray:
     return np.ndarray((len(data) - 7,), ">u8", data, 0, (1,)).astype(np.uint64)
 
 
+def _powers(base: int) -> np.ndarray:
+    return np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(PIECE + 3 * LENGTH, np.uint64(base))]))
+
+
+_UP, _DOWN = _powers(int(_ODD[0])), _powers(pow(int(_ODD[0]), -1, 1 << 64))
+
+
+def least_places(values: np.ndarray, width: int) -> np.ndarray:
+    """Place of the first least value of every window of ``width``, by windows of doubled widths."""
+    best, at, size = values, np.arange(len(values), dtype=np.int32), 1
+    while size < width:
+        step = min(size, width - size)  # the last step overlaps
+        right = best[step:] < best[:-step]
+        at = np.where(right, at[step:], at[:-step])
+        best = np.minimum(best[step:], best[:-step])
+        size += step
+    return at
+
+
 def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of the gram, hash of the context, and position, for all minimizers of a text of LENGTH bytes or more."""
-    eight = words_at(data)
-    n = len(data) - K + 1
-    gram = mix(eight[:n] * _ODD[0] + eight[8 : 8 + n] * _ODD[1] + eight[16 : 16 + n] * _ODD[2])
-    width = SIDE + 1
-    least = np.lib.stride_tricks.sliding_window_view(gram, width).argmin(1) + np.arange(n - width + 1)
-    at = least[np.concatenate([[True], least[1:] != least[:-1]])]
-    start, end = np.maximum(at - SIDE, 0), np.minimum(at + LENGTH, len(data))
-    powers = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(len(data), _ODD[0])]))
-    sums = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:-1], dtype=np.uint64)])
-    # Shift all to one power by multiplying up: equal strings then have equal sums wherever they stand.
-    context = mix((sums[end] - sums[start]) * powers[len(data) - start]) ^ mix((at - start).astype(np.uint64) * _ODD[1])
-    return gram[at], context, at
+    """Hash of the gram, hash of the context, and position, for all minimizers of a text of LENGTH bytes or more.
 
+    The text is read in pieces that overlap by a context, so memory does not grow with it.
+    """
+    found = []
+    last = len(data) - LENGTH + 1  # strings of LENGTH bytes, each with one minimizer
+    for begin in range(0, last, PIECE):
+        stop = min(begin + PIECE, last)
+        base, top = max(begin - SIDE, 0), min(stop + 2 * LENGTH - 1, len(data))
+        piece = data[base:top]
+        eight = words_at(piece[begin - base : stop - base + LENGTH - 1])
+        n = stop - begin + SIDE
+        gram = mix(eight[:n] * _ODD[0] + eight[8 : 8 + n] * _ODD[1] + eight[16 : 16 + n] * _ODD[2])
+        least = least_places(gram, SIDE + 1)
+        gram_at = least[np.concatenate([[True], least[1:] != least[:-1]])]
+        at = gram_at + (begin - base)
+        start, end = np.maximum(at - SIDE, 0), np.minimum(at + LENGTH, len(piece))
+        sums = np.concatenate([[np.uint64(0)], np.cumsum((piece + np.uint64(1)) * _UP[: len(piece)], dtype=np.uint64)])
+        # Shifted down to power 0: equal strings have equal sums wherever they stand, in texts of any length.
+        context = mix((sums[end] - sums[start]) * _DOWN[start]) ^ mix((at - start).astype(np.uint64) * _ODD[1])
+        found.append((gram[gram_at], context, at + base))
+    gram, context, at = (np.concatenate(part) for part in zip(*found))
+    new = np.concatenate([[True], at[1:] != at[:-1]])  # the minimizer at a seam is found from both sides
+    return gram[new], context[new], at[new]
 
 
 def anchor_rows(docs: DataFrame) -> DataFrame:
@@ -82,34 +112,45 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
     return docs.select("doc", "text").mapInPandas(build, "gram long, context long, doc long, at int")
 
 
-def suffix_array(text: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray]]:
-    """Order of all suffixes by their first 256 bytes, more than a context has, and the ranks by their first 8 .. 256."""
-    padded = np.concatenate([text, np.zeros(264, np.uint8)])
-    key = words_at(padded)[: len(text) + 256]
-    ranks, size = {}, 8
-    while True:
-        _, rank = np.unique(key, return_inverse=True)
-        ranks[size] = rank.astype(np.int64)
-        if size == 256:
-            return np.argsort(rank[: len(text)], kind="stable"), ranks
-        later = np.zeros_like(rank)
-        later[:-size] = rank[size:]
-        key, size = rank.astype(np.int64) << 32 | later, size * 2
+#: Sizes of the prefixes by which suffixes are ranked, each three times the one before. Three of the last are more
+#: than a context has.
+SIZES = (8, 24, 72)
+
+
+def _ranked(key: np.ndarray) -> np.ndarray:
+    return np.unique(key, return_inverse=True)[1].astype(np.int32)
+
+
+def _three(ranks: np.ndarray, at: np.ndarray, step: int) -> np.ndarray:
+    """A number that orders by the ranks at ``at``, ``at + step`` and ``at + 2 * step``; past the end is least."""
+    padded = np.concatenate([ranks + np.int32(1), np.zeros(2 * step, np.int32)])
+    first, second, third = (padded[at + i * step].astype(np.int64) for i in range(3))
+    if len(ranks) < (1 << 21) - 1:
+        return first << 42 | second << 21 | third
+    return _ranked(first << 32 | second).astype(np.int64) << 32 | third
+
+
+def suffix_array(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """The suffixes at ``at`` in the order of their first 216 bytes, more than a context has, and the ranks of all
+    suffixes by their first 8, 24 and 72."""
+    every = np.arange(len(text), dtype=np.int32)
+    ranks = {8: _ranked(words_at(np.concatenate([text, np.zeros(7, np.uint8)])))}
+    for size, longer in zip(SIZES, SIZES[1:]):
+        ranks[longer] = _ranked(_three(ranks[size], every, size))
+    return at[np.argsort(_three(ranks[SIZES[-1]], at, SIZES[-1]), kind="stable")], ranks
 
 
 def common_prefixes(order: np.ndarray, ranks: dict[int, np.ndarray], room: np.ndarray, text: np.ndarray) -> np.ndarray:
     """Common prefix of each suffix with the one before it in the order, within both contexts."""
     a, b = order[:-1].copy(), order[1:].copy()
-    shared = np.zeros(len(a), np.int64)
-    for size in (128, 64, 32, 16, 8):
-        same = ranks[size][a] == ranks[size][b]
-        step = size * same
-        a, b, shared = a + step, b + step, shared + step
-    padded = np.concatenate([text, np.zeros(264, np.uint8)])
-    going = np.ones(len(a), bool)
-    for _ in range(7):
-        going &= padded[a] == padded[b]
-        a, b, shared = a + going, b + going, shared + going
+    shared = np.zeros(len(a), np.int32)
+    for size in (*reversed(SIZES), 1):
+        of = np.concatenate([ranks[size] if size > 1 else text.astype(np.int32), np.full(3 * SIZES[-1], -1, np.int32)])
+        going = np.ones(len(a), bool)
+        for _ in range(7 if size == 1 else 2):
+            going &= of[a] == of[b]
+            step = np.int32(size) * going
+            a, b, shared = a + step, b + step, shared + step
     return np.minimum(shared, np.minimum(room[order[:-1]], room[order[1:]]))
 
 
@@ -118,10 +159,11 @@ def maximal_repeats(text: np.ndarray, room: np.ndarray, first: np.ndarray, lengt
 
     ``room``: bytes from each position to the end of its context; ``first``: whether it is the first of its context.
     """
-    order, ranks = suffix_array(text)
-    order = order[room[order] >= length]
-    if len(order) < 2:
+    # Shorter suffixes hold no such string: they are ranked, as parts of longer ones, but not ordered.
+    at = np.flatnonzero(room >= length).astype(np.int32)
+    if len(at) < 2:
         return
+    order, ranks = suffix_array(text, at)
     shared = common_prefixes(order, ranks, room, text)
     left = np.where(first, -np.arange(len(text)) - 1, np.concatenate([[0], text[:-1].astype(np.int64)]))[order]
     # Whether the left bytes of neighbours differ, summed up: an interval is diverse if any do.
@@ -193,30 +235,37 @@ def context_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return docs.join(by_doc, "doc").select("doc", "text", "picks").mapInPandas(build, "gram long, many boolean, doc long, start long, bytes binary")
 
 
+def covered_batches(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Spans over contexts that come sorted by gram: whole grams in each suffix array."""
+    held: list[pd.DataFrame] = []
+    size = 0
+    for frame in rows:
+        if not len(frame):
+            continue
+        # Cut where a gram ends and the bytes pass another batch; a gram can go on in the next frame.
+        grams = frame["gram"].to_numpy()
+        reach = size + np.cumsum(frame["bytes"].str.len().to_numpy())
+        ends = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+        if held and held[-1]["gram"].iloc[-1] == grams[0]:
+            ends = ends[1:]
+        begin, done = 0, 0
+        for end in ends.tolist():
+            before = int(reach[end - 1]) if end else size
+            if before - done >= BATCH:
+                part = pd.concat([*held, frame.iloc[begin:end]])
+                held, begin, done = [], end, before
+                yield covered(part)
+        held.append(frame.iloc[begin:])
+        size = int(reach[-1]) - done
+    if held and len(every := pd.concat(held)):
+        yield covered(every)
+
+
 def tree_spans(contexts: DataFrame) -> DataFrame:
     """Spans from suffix arrays over whole groups of contexts, many small groups to an array."""
 
-    def build(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-        size = 0
-        for frame in rows:
-            while len(frame):
-                last = frame["gram"].iloc[-1]
-                # Only the last gram of what has come can go on; cut before it once there is enough.
-                held.append(frame)
-                size += int(frame["bytes"].str.len().sum())
-                frame = frame.iloc[:0]
-                if size >= BATCH:
-                    every = pd.concat(held)
-                    done = every[every["gram"] != last]
-                    held, size = [every[every["gram"] == last]], 0
-                    if len(done):
-                        yield covered(done)
-        if held and len(every := pd.concat(held)):
-            yield covered(every)
-
     sorted_rows = contexts.select("gram", "doc", "start", "bytes").repartition("gram").sortWithinPartitions("gram")
-    return sorted_rows.mapInPandas(build, SPANS)
+    return sorted_rows.mapInPandas(covered_batches, SPANS)
 
 
 def hot_spans(contexts: DataFrame) -> DataFrame:
@@ -239,14 +288,15 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 def spans(docs: DataFrame) -> DataFrame:
     """(doc, start, end) of covered bytes, not merged, over numbered documents."""
-    rows = anchor_rows(docs)
-    same = W.partitionBy("gram", "context").orderBy("doc", "at")
-    gram = W.partitionBy("gram")
-    ranked = rows.withColumn("nth", F.row_number().over(same))
-    ranked = ranked.withColumn("kinds", F.sum((F.col("nth") == 1).cast("int")).over(gram))
-    met = written(ranked.where("nth > 1 or kinds > 1").select("gram", "doc", "at", "nth", "kinds"), "anchors")
-    copies = met.where("nth > 1").select("doc", F.greatest(F.col("at") - SIDE, F.lit(0)).cast("long").alias("start"), (F.col("at") + LENGTH).cast("long").alias("end"))
-    wanted = met.where("nth = 1 and kinds > 1").select("gram", (F.col("kinds") > HOT).alias("many"), "doc", "at")
+    rows = written(anchor_rows(docs), "anchors")
+    firsts = rows.groupBy("gram", "context").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n"))
+    firsts = written(firsts, "firsts")
+    copied = firsts.where("n > 1").select("gram", "context", "first")
+    place = F.struct("doc", "at")
+    copies = rows.join(copied, ["gram", "context"]).where(place > F.col("first"))
+    copies = copies.select("doc", F.greatest(F.col("at") - SIDE, F.lit(0)).cast("long").alias("start"), (F.col("at") + LENGTH).cast("long").alias("end"))
+    kinds = firsts.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    wanted = firsts.join(kinds, "gram").select("gram", (F.col("kinds") > HOT).alias("many"), "first.doc", "first.at")
     contexts = written(context_rows(docs, wanted), "contexts")
     return copies.unionByName(tree_spans(contexts.where("not many"))).unionByName(hot_spans(contexts.where("many")))
 
