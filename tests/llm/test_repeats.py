@@ -30,6 +30,19 @@ def test_null_and_repeated_ids_and_rows(spark, monkeypatch, hot):
     assert by_operator(df) == by_brute_force(rows)
 
 
+@pytest.mark.parametrize("share", [1, 5, 100_000])
+def test_heavy_grams_in_parts(spark, monkeypatch, share):
+    """One line in every text, most texts equal: split or not, the result is the same."""
+    monkeypatch.setattr(repeats, "SAMPLE", 1)
+    monkeypatch.setattr(repeats, "SHARE", share)
+    monkeypatch.setattr(repeats, "PARTS", 3)
+    line = words(50, 41)
+    rows = [(i, f"{words(9, i % 4)} {line} {words(30, i % 3)}") for i in range(30)] + [(40, line + line), (None, line)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert bool(repeats.heavy_grams(repeats.numbered(df))) == (share > 5)
+    assert by_operator(df) == by_brute_force(rows)
+
+
 def test_texts_longer_than_a_piece(spark):
     rng = random.Random(5)
     passage = words(60, 900)

@@ -6,7 +6,8 @@ Every byte that lies in a string of ``LENGTH`` bytes which also starts earlier i
    it at the same place, so they meet among the occurrences of one gram, each with the bytes around it that such a
    string could cover (its context).
 2. Copies. Of equal contexts, all but the earliest are covered whole. This settles exact and near copies of any
-   number by an aggregation and a join, without comparing them; no gram or context is gathered.
+   number by a sort, without comparing them. Repeats within a document are settled where they are found; a heavy
+   gram is sorted in parts by document, and only the first of each part is compared with the other parts.
 3. Suffix arrays. The distinct contexts of a gram are put in a suffix array with common-prefix lengths. A stack
    scan lists the tree of its intervals; an interval whose occurrences have different bytes on their left is a maximal
    repeat, and is put out with all its occurrences. All but the earliest are covered.
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import written
@@ -34,6 +36,8 @@ SIDE = LENGTH - K
 HOT = 20_000
 #: Bytes of contexts in one suffix array, unless one gram has more.
 BATCH = 1 << 19
+#: A gram with more than one in ``SHARE`` anchors of one in ``SAMPLE`` documents is ranked in ``PARTS`` parts.
+SHARE, SAMPLE, PARTS = 1_000, 64, 256
 #: Strings whose minimizers are searched at a time.
 PIECE = 1 << 16
 #: Ends a context in the joined text: a byte that UTF-8 does not have, so a common prefix ends there at the latest.
@@ -98,6 +102,8 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def anchor_rows(docs: DataFrame) -> DataFrame:
+    """All anchors; ``again``: the document has the same context earlier."""
+
     def build(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in rows:
             out = []
@@ -107,9 +113,11 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
                     gram, context, at = anchors(data)
                     out.append(pd.DataFrame({"gram": gram.view(np.int64), "context": context.view(np.int64), "doc": doc, "at": at.astype(np.int32)}))
             if out:
-                yield pd.concat(out)
+                every = pd.concat(out, ignore_index=True)
+                every["again"] = every.duplicated(["doc", "gram", "context"])
+                yield every
 
-    return docs.select("doc", "text").mapInPandas(build, "gram long, context long, doc long, at int")
+    return docs.select("doc", "text").mapInPandas(build, "gram long, context long, doc long, at int, again boolean")
 
 
 #: Sizes of the prefixes by which suffixes are ranked, each three times the one before. Three of the last are more
@@ -286,17 +294,38 @@ def numbered(docs: DataFrame) -> DataFrame:
     return written(ordered.withColumn("doc", F.monotonically_increasing_id()), "numbered")
 
 
+def heavy_grams(docs: DataFrame) -> list[int]:
+    """Grams that hold more than one in ``SHARE`` anchors of a hash sample of documents, so fewer than ``SHARE``.
+
+    They only choose which groups are split; a heavy gram that the sample lacks costs time, not results.
+    """
+    sample = anchor_rows(docs.where(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE)) == 0)).where("not again")
+    counts = written(sample.groupBy("gram").count(), "grams")
+    most = (counts.agg(F.sum("count")).first()[0] or 0) / SHARE
+    return [r[0] for r in counts.where(F.col("count") > F.lit(max(most, 1.0))).select("gram").collect()]
+
+
 def spans(docs: DataFrame) -> DataFrame:
     """(doc, start, end) of covered bytes, not merged, over numbered documents."""
-    rows = written(anchor_rows(docs), "anchors")
-    firsts = rows.groupBy("gram", "context").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n"))
-    firsts = written(firsts, "firsts")
-    copied = firsts.where("n > 1").select("gram", "context", "first")
-    place = F.struct("doc", "at")
-    copies = rows.join(copied, ["gram", "context"]).where(place > F.col("first"))
-    copies = copies.select("doc", F.greatest(F.col("at") - SIDE, F.lit(0)).cast("long").alias("start"), (F.col("at") + LENGTH).cast("long").alias("end"))
+    heavy = heavy_grams(docs)
+    doc_part = 1 + F.pmod(F.xxhash64("doc"), F.lit(PARTS)).cast("int")
+    salt = F.when(F.col("again"), -1 - F.pmod(F.hash("doc", "at"), F.lit(1 << 30)))
+    salt = F.coalesce(salt, F.when(F.col("gram").isin(heavy), doc_part), F.lit(0))
+    rows = anchor_rows(docs).select("gram", "context", "doc", "at", salt.alias("salt")).repartition("gram", "salt")
+    group = W.partitionBy("gram", "salt")
+    ranked = rows.withColumn("nth", F.row_number().over(W.partitionBy("gram", "salt", "context").orderBy("doc", "at")))
+    ranked = ranked.withColumn("kinds", F.sum((F.col("nth") == 1).cast("int")).over(group))
+    met = written(ranked.where("nth > 1 or kinds > 1 or salt <> 0"), "anchors")
+    # Of heavy grams only the first of each part has come through the ranking: these are compared between parts.
+    parts = met.where("nth = 1 and salt > 0").select("gram", "context", "doc", "at")
+    firsts = parts.groupBy("gram", "context").agg(F.min(F.struct("doc", "at")).alias("first"))
     kinds = firsts.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    wanted = firsts.join(kinds, "gram").select("gram", (F.col("kinds") > HOT).alias("many"), "first.doc", "first.at")
+    later = parts.join(firsts, ["gram", "context"]).where(F.struct("doc", "at") > F.col("first")).select("doc", "at")
+    copies = met.where("nth > 1 or salt < 0").select("doc", "at").unionByName(later)
+    copies = copies.select("doc", F.greatest(F.col("at") - SIDE, F.lit(0)).cast("long").alias("start"), (F.col("at") + LENGTH).cast("long").alias("end"))
+    wanted = met.where("nth = 1 and kinds > 1 and salt = 0").select("gram", "kinds", "doc", "at")
+    wanted = wanted.unionByName(firsts.join(kinds, "gram").select("gram", "kinds", "first.doc", "first.at"))
+    wanted = wanted.select("gram", (F.col("kinds") > HOT).alias("many"), "doc", "at")
     contexts = written(context_rows(docs, wanted), "contexts")
     return copies.unionByName(tree_spans(contexts.where("not many"))).unionByName(hot_spans(contexts.where("many")))
 
