@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm.common import read
@@ -49,3 +50,16 @@ def test_stages_keep_and_drop_rows_with_null_and_repeated_ids(spark, tmp_path):
     left = corpus_pipeline.drop_leaks(spark, docs, str(tmp_path)).collect()
     assert len(left) == 8 and not any(r["text"] == leak for r in left)
     assert corpus_pipeline.one_of_similar(spark, docs.limit(0), "").count() == corpus_pipeline.drop_leaks(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_columns_named_like_a_stage_s_own_come_back(spark):
+    clashing = ["shard", "target", "size", "source_size", "copies", "shards", "score", "_score", "_row", "_hash", "row", "position", "_column3", "a.b"]
+    read_first = spark.range(40).selectExpr("id AS doc_id", "concat('some words of text ', id) AS text", "concat('s', id % 3) AS source")
+    docs = read_first.select("*", *[(F.col("doc_id") * 100 + i).alias(c) for i, c in enumerate(clashing)])
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    for stage in (corpus_pipeline.one_of_similar, corpus_pipeline.mix_sources):
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns and out.count() > 0
+        assert all(r[c] == 100 * r["doc_id"] + i for r in out.collect() for i, c in enumerate(clashing))
+    scored = corpus_pipeline.toxicity.score(corpus_pipeline.numbered(docs), corpus_pipeline.toxicity.fit(docs, labels))
+    assert {tuple(r) for r in corpus_pipeline.named(scored, docs).collect()} == {tuple(r) for r in docs.collect()}

@@ -110,10 +110,11 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
             for doc, text in zip(frame["doc"], frame["text"]):
                 data = np.frombuffer((text or "").encode(), np.uint8)
                 if len(data) >= LENGTH:
-                    gram, context, at = anchors(data)
-                    out.append(pd.DataFrame({"gram": gram.view(np.int64), "context": context.view(np.int64), "doc": doc, "at": at.astype(np.int32)}))
+                    found = anchors(data)
+                    out.append((*found, np.full(len(found[2]), doc, np.int64)))
             if out:
-                every = pd.concat(out, ignore_index=True)
+                gram, context, at, doc = (np.concatenate(part) for part in zip(*out))
+                every = pd.DataFrame({"gram": gram.view(np.int64), "context": context.view(np.int64), "doc": doc, "at": at.astype(np.int32)})
                 every["again"] = every.duplicated(["doc", "gram", "context"])
                 yield every
 
@@ -148,18 +149,24 @@ def suffix_array(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, dict[int
     return at[np.argsort(_three(ranks[SIZES[-1]], at, SIZES[-1]), kind="stable")], ranks
 
 
-def common_prefixes(order: np.ndarray, ranks: dict[int, np.ndarray], room: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """Common prefix of each suffix with the one before it in the order, within both contexts."""
-    a, b = order[:-1].copy(), order[1:].copy()
-    shared = np.zeros(len(a), np.int32)
+def common_prefixes(order: np.ndarray, ranks: dict[int, np.ndarray], room: np.ndarray, text: np.ndarray, length: int) -> np.ndarray:
+    """Common prefix of each suffix with the one before it in the order, within both contexts; 0 below ``length``."""
+    shared = np.zeros(len(order) - 1, np.int32)
+    near = np.arange(len(shared))
+    for size in SIZES:  # less than ``length`` is of no use: keep to neighbours that agree in all sizes up to it
+        if size <= length:
+            near = near[ranks[size][order[near]] == ranks[size][order[near + 1]]]
+    a, b = order[near], order[near + 1]
+    found = np.zeros(len(near), np.int32)
     for size in (*reversed(SIZES), 1):
         of = np.concatenate([ranks[size] if size > 1 else text.astype(np.int32), np.full(3 * SIZES[-1], -1, np.int32)])
         going = np.ones(len(a), bool)
         for _ in range(7 if size == 1 else 2):
             going &= of[a] == of[b]
             step = np.int32(size) * going
-            a, b, shared = a + step, b + step, shared + step
-    return np.minimum(shared, np.minimum(room[order[:-1]], room[order[1:]]))
+            a, b, found = a + step, b + step, found + step
+    shared[near] = np.minimum(found, np.minimum(room[order[near]], room[order[near + 1]]))
+    return np.where(shared >= length, shared, 0)
 
 
 def maximal_repeats(text: np.ndarray, room: np.ndarray, first: np.ndarray, length: int = LENGTH) -> Iterator[tuple[int, np.ndarray]]:
@@ -172,11 +179,16 @@ def maximal_repeats(text: np.ndarray, room: np.ndarray, first: np.ndarray, lengt
     if len(at) < 2:
         return
     order, ranks = suffix_array(text, at)
-    shared = common_prefixes(order, ranks, room, text)
+    shared = common_prefixes(order, ranks, room, text, length)
     left = np.where(first, -np.arange(len(text)) - 1, np.concatenate([[0], text[:-1].astype(np.int64)]))[order]
     # Whether the left bytes of neighbours differ, summed up: an interval is diverse if any do.
     turns = np.concatenate([[0], np.cumsum(left[1:] != left[:-1])])
-    values = np.where(shared >= length, shared, 0).tolist() + [0]
+    # A run of linked neighbours with one left byte throughout holds no diverse interval.
+    edges = np.diff(np.concatenate([[0], (shared > 0).astype(np.int8), [0]]))
+    begins, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    alike = turns[begins] == turns[ends]
+    inside = np.cumsum(np.bincount(begins[alike], minlength=len(order)) - np.bincount(ends[alike], minlength=len(order)))
+    values = np.where(inside[:-1] > 0, 0, shared).tolist() + [0]
     stack: list[tuple[int, int]] = []  # (common prefix, left end) of the open intervals
     for i in np.flatnonzero(np.array(values) | np.concatenate([[0], values[:-1]])):
         value, begin = values[i], int(i)
@@ -230,6 +242,7 @@ def context_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The bytes of the wanted anchors' contexts."""
 
     def build(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["gram", "many", "doc", "start", "bytes"]
         for frame in rows:
             out = []
             for doc, text, picks in zip(frame["doc"], frame["text"], frame["picks"]):
@@ -237,7 +250,10 @@ def context_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 for pick in picks:
                     start = max(0, pick["at"] - SIDE)
                     out.append((pick["gram"], pick["many"], doc, start, data[start : pick["at"] + LENGTH]))
-            yield pd.DataFrame(out, columns=["gram", "many", "doc", "start", "bytes"])
+                    if len(out) * (LENGTH + SIDE) >= BATCH:
+                        yield pd.DataFrame(out, columns=names)
+                        out = []
+            yield pd.DataFrame(out, columns=names)
 
     by_doc = wanted.groupBy("doc").agg(F.collect_list(F.struct("gram", "many", "at")).alias("picks"))
     return docs.join(by_doc, "doc").select("doc", "text", "picks").mapInPandas(build, "gram long, many boolean, doc long, start long, bytes binary")
