@@ -20,12 +20,25 @@ ORACLE_SQL = None
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the grammar scores at 0.5 or more go."""
     model = toxicity.fit(docs, read(texts_prepared(spark), sf_dir, "labels"))
-    return toxicity.score(docs.withColumnRenamed("score", "_score"), model).where("score < 0.5").drop("score").withColumnRenamed("_score", "score")
+    return named(toxicity.score(numbered(docs), model).where("score < 0.5"), docs)
+
+
+#: The columns that stages read. All others get numbers for names inside a stage, so none can clash with its own.
+READ = ("doc_id", "text", "source")
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    return docs.select(*[F.col(f"`{c}`").alias(c if c in READ else f"_column{i}") for i, c in enumerate(docs.columns)])
+
+
+def named(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from rows that ``numbered`` its columns."""
+    return rows.select(*[F.col(c if c in READ else f"_column{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with a unique ``_row``, written: ids can be null or repeated."""
-    return written(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    """``docs``, its columns numbered, with a unique ``_row``, written: ids can be null or repeated."""
+    return written(numbered(docs).withColumn("_row", F.monotonically_increasing_id()), "keyed")
 
 
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +50,7 @@ def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     found = jaccard_join.join(rows.select(F.col("_row").alias("doc_id"), "text"), words=5, percent=80)
     found = found.select(F.col("doc_id").alias("_row"), "component_id").join(rows.select("_row", "doc_id"), "_row")
     first = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("first"))
-    return rows.join(written(first.select("first._row"), "similar"), "_row", "left_semi").select(docs.columns)
+    return rows.join(written(first.select("first._row"), "similar"), "_row", "left_semi").transform(named, docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,12 +58,13 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = keyed(docs)
     hits = decontamination.contaminated(rows.select(F.col("_row").alias("doc_id"), "text"), read(spark, sf_dir, "benchmark"))
     hits = written(hits.select(F.col("doc_id").alias("_row")).distinct(), "leaks")
-    return rows.join(hits, "_row", "left_anti").select(docs.columns)
+    return rows.join(hits, "_row", "left_anti").transform(named, docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources in proportion to their weights; a document can be taken up to three times."""
-    return mixing.draw(mixing.plan(docs), docs.columns).select(docs.columns)
+    rows = numbered(docs)
+    return named(mixing.draw(mixing.plan(rows), rows.columns), docs)
 
 
 def place_in_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
