@@ -1,6 +1,6 @@
 """Importing this module fills the registry."""
 
-from catalog import changes, checks, events, gold, stars, storage  # noqa: F401
+from catalog import changes, checks, crm, events, gold, stars, storage  # noqa: F401
 from catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
