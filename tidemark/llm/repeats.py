@@ -245,18 +245,20 @@ def context_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         names = ["gram", "many", "doc", "start", "bytes"]
         for frame in rows:
             out = []
-            for doc, text, picks in zip(frame["doc"], frame["text"], frame["picks"]):
+            for doc, text, grams, many, places in zip(*(frame[c] for c in ("doc", "text", "grams", "many", "places"))):
                 data = text.encode()
-                for pick in picks:
-                    start = max(0, pick["at"] - SIDE)
-                    out.append((pick["gram"], pick["many"], doc, start, data[start : pick["at"] + LENGTH]))
+                for gram, hot, at in zip(grams, many, places):
+                    start = max(0, int(at) - SIDE)
+                    out.append((gram, hot, doc, start, data[start : int(at) + LENGTH]))
                     if len(out) * (LENGTH + SIDE) >= BATCH:
                         yield pd.DataFrame(out, columns=names)
                         out = []
             yield pd.DataFrame(out, columns=names)
 
     by_doc = wanted.groupBy("doc").agg(F.collect_list(F.struct("gram", "many", "at")).alias("picks"))
-    return docs.join(by_doc, "doc").select("doc", "text", "picks").mapInPandas(build, "gram long, many boolean, doc long, start long, bytes binary")
+    # Arrays of numbers stay compact in pandas; an array of structs would be an object for each.
+    picked = docs.join(by_doc, "doc").select("doc", "text", F.col("picks.gram").alias("grams"), F.col("picks.many").alias("many"), F.col("picks.at").alias("places"))
+    return picked.mapInPandas(build, "gram long, many boolean, doc long, start long, bytes binary")
 
 
 def covered_batches(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -354,14 +356,12 @@ def dedup(docs: DataFrame) -> DataFrame:
     def cut(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in rows:
             out = []
-            for doc, text, found in zip(frame["doc_id"], frame["text"], frame["spans"]):
+            for doc, text, starts, ends in zip(*(frame[c] for c in ("doc_id", "text", "starts", "ends"))):
                 data = (text or "").encode()
                 removed = number = 0
                 kept, at = [], 0
-                if found is not None and len(found):
-                    start = np.array([s["start"] for s in found])
-                    end = np.minimum([s["end"] for s in found], len(data))
-                    whole = merged(np.zeros(len(found), np.int64), start, end)
+                if starts is not None and len(starts):
+                    whole = merged(np.zeros(len(starts), np.int64), np.asarray(starts), np.minimum(ends, len(data)))
                     for s, e in zip(whole["start"], whole["end"]):
                         kept.append(data[at:s])
                         at, removed, number = e, removed + int(e - s), number + 1
@@ -369,7 +369,7 @@ def dedup(docs: DataFrame) -> DataFrame:
                 out.append((doc, len(data), removed, number, b"".join(kept)))
             yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]).astype({"doc_id": "Int64"})
 
-    return docs.join(by_doc, "doc", "left").select("doc_id", "text", "spans").mapInPandas(
+    return docs.join(by_doc, "doc", "left").select("doc_id", "text", F.col("spans.start").alias("starts"), F.col("spans.end").alias("ends")).mapInPandas(
         cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     )
 
