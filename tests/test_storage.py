@@ -305,3 +305,19 @@ def test_stream_upsert_keeps_the_newest_and_survives_a_repeat(spark, tmp_path):
     assert {r._id: r.v for r in got.collect()} == want
     profiles.compact(spark, log, base.schema, "_id", "updated_at", base_out, base)
     assert {r._id: r.v for r in spark.read.parquet(base_out).collect()} == want
+
+
+def test_files_cap_a_folder_not_the_tasks(spark, tmp_path):
+    """Many dates and types with ``files=1``: one file each, and yet more than one task writes."""
+    path = str(tmp_path / "silver")
+    rows = spark.range(200).selectExpr("concat('e', id) AS event_id", "date_add(DATE'2024-01-01', cast(id % 20 AS int)) AS event_date", "concat('t', id % 2) AS event_type")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.write_replace(rows, path, DATE, files=1)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    written = [r[0] for r in spark.read.parquet(path).select("_metadata.file_path").distinct().collect()]
+    folders = {f.rsplit("/", 1)[0] for f in written}
+    assert len(written) == len(folders) == 20
+    assert len({f.rsplit("/", 1)[1].split("-")[1] for f in written}) > 1

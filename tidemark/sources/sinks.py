@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 from tidemark.operators.dedup import dedup_latest
 from tidemark.session import written
 
-_SPREAD = 64
-
 
 def _switch(spark: SparkSession, folder: str, write: Callable[[str], None], audit: Callable[[str], None] | None = None) -> None:
     """``write`` to a hidden folder beside ``folder``, ``audit`` what was written, then put it in its place."""
@@ -57,14 +55,15 @@ def write_replace(
 
     The day is the leading folder and is overwritten as a whole, so a smaller rerun leaves no
     stale files. Rows are gathered by event date and type before writing: by default AQE
-    sizes the write tasks and splits the large types; ``files`` sets their number instead, and a
-    hash of the event spreads a large type over them.
+    sizes the write tasks and splits the large types; ``files`` is the largest number of files of a date and type
+    instead: a hash of the event cuts a type into as many pieces, and each piece is written by one task. The number
+    of tasks goes with the session's shuffle partitions, so that what one task reads does not grow with the table.
     """
     spread = ["event_date", "event_type"]
     if files is None:
         laid_out = df.hint("rebalance", *spread)
     else:
-        laid_out = df.repartition(files, *spread, F.pmod(F.xxhash64("event_id"), F.lit(_SPREAD)))
+        laid_out = df.repartition(*spread, F.pmod(F.xxhash64("event_id"), F.lit(files)))
     laid_out = watch(laid_out) if watch else laid_out
     days = laid_out.drop("_processing_date").write.partitionBy(*spread)
 
