@@ -5,7 +5,8 @@ import datetime as dt
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from tidemark.operators import aggregates, dedup, joins, merge
+from tidemark.operators import aggregates, dedup, joins, merge, quality
+from tidemark.plans import dimensions, facts
 from tidemark.schemas import SYNC_STATE
 
 D = lambda n: dt.datetime(2024, 1, n)
@@ -117,3 +118,39 @@ def test_session_bounce_and_one_channel(spark):
     whole = {r.session_id: r for r in aggregates.session_rollup(events, one_channel=True).collect()}
     assert len(whole) == 2 and whole["s1"].referrer_channel == "organic_search" and whole["s1"].duration_s == 86400
     assert whole["s2"].is_bounce and not whole["s1"].is_bounce
+
+
+def _line_fact(spark):
+    """A line with a product and an order, one without either, and one without an order id."""
+    lines = spark.createDataFrame(
+        [("o1", "l1", "p1", 2, 5.0, 1.0), ("o1", "l2", "p9", 1, 3.0, 0.0), (None, "l3", "p1", 1, 3.0, 0.0), ("o9", "l4", "p1", 1, 3.0, 0.0)],
+        "order_id string, line_item_id string, product_id string, quantity int, unit_price_eur double, discount_eur double",
+    )
+    orders = spark.createDataFrame(
+        [("o1", "c1", None, "2024-01-02", "paid", "FR"), (None, "c1", None, "2024-01-02", "paid", "FR")],
+        "order_id string, customer_id string, session_id string, d string, order_status string, shipping_country_code string",
+    ).selectExpr(
+        "*", "cast(d AS date) AS order_date", "1D AS shipping_cost_eur", "1D AS tax_eur", "'card' AS payment_method", "true AS is_first_order", "d AS created_at"
+    )
+    customers = spark.createDataFrame([("c1", "sk1", True)], "customer_id string, customer_sk string, is_current boolean")
+    products = spark.createDataFrame(
+        [("p1", "psk", "One", "a", "b", "x", True)],
+        "product_id string, product_sk string, product_name string, category_l1 string, category_l2 string, brand string, is_current boolean",
+    )
+    events = spark.createDataFrame([], "event_id string, session_id string, event_type string, event_ts timestamp, referrer_channel string, device_type string, properties string")
+    return facts.fact_order_lines(lines, orders, customers, products, dimensions.dim_time(spark), events)
+
+
+def test_lines_meet_their_products_before_their_orders(spark):
+    """Order columns are wide and belong to many lines: no shuffle of lines may come after the join with orders."""
+    fact = _line_fact(spark)
+    got = sorted((r.line_item_id, r.product_sk, r.product_name, r.order_status, r.net_revenue_eur) for r in fact.collect())
+    assert got == [("l1", "psk", "One", "paid", 9.0), ("l2", "-1", None, "paid", 3.0)]
+    joins_from_top = [line for line in fact._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in line]
+    assert "order_id" in joins_from_top[0]
+
+
+def test_the_fact_suite_reads_only_its_columns(spark):
+    fact = _line_fact(spark)
+    whole, slim = (quality.run_suite(df, quality.fact_lines_suite()) for df in (fact, fact.select(*quality.FACT_LINES_READ)))
+    assert sorted(map(str, whole.collect())) == sorted(map(str, slim.collect()))
