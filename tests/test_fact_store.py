@@ -119,3 +119,25 @@ def test_two_increments_equal_a_full_build(spark, tmp_path):
         facts.merge_order_lines(path, lines, orders, *dims, as_of=str(days[9]), days=3, suite=suite)
     assert facts.merge_order_lines(path, lines, orders, *dims, as_of=str(days[9]), days=3, suite=[quality.expect_unique("order_line_id", severity="critical")])
     assert sorted(map(str, sinks.read_days(spark, path, "order_date").select(want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_unique_rows_are_not_ordered(spark, tmp_path, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("whole rows were shuffled by key")
+
+    path = str(tmp_path / "t")
+    monkeypatch.setattr(sinks, "dedup_latest", refuse)
+    merge(spark, path, [("a", D[0], 1), ("b", D[1], 1), (None, D[1], 2)])
+    merge(spark, path, [("a", D[1], 3), ("c", D[0], 1)])
+    assert stored(spark, path) == sorted([(None, D[1], 2), ("a", D[1], 3), ("b", D[1], 1), ("c", D[0], 1)], key=str)
+
+
+def test_a_large_day_is_merged_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "_PIECE", 4, raising=False)
+    monkeypatch.setattr(sinks, "dedup_latest", None)  # no key repeats
+    path = str(tmp_path / "t")
+    rows = [(f"k{i}", D[0], i) for i in range(40)] + [(None, D[0], 1), (None, D[0], 1)]
+    merge(spark, path, rows)
+    merge(spark, path, [("k3", D[0], 300), ("k4", D[1], 400), (None, D[0], 1)])
+    expected = [(f"k{i}", D[0], i) for i in range(40) if i not in (3, 4)] + [("k3", D[0], 300), ("k4", D[1], 400)] + [(None, D[0], 1)] * 3
+    assert stored(spark, path) == sorted(expected, key=str)
