@@ -383,3 +383,17 @@ def test_scoring_is_causal():
     other[120:] = 7
     a, b = model.score([ids, other])
     assert len(a) == 199 and np.allclose(a[:119], b[:119])
+
+
+def test_topics_are_found_on_all_training_texts(spark, monkeypatch):
+    """Three rare texts of words of their own get a topic, and repeated runs agree."""
+    monkeypatch.setattr(scoring, "TOPIC_ROWS", 10, raising=False)
+    kinds = [f"{a}{i}" for a in "xyz" for i in range(30)]
+    rows = [(n, " ".join(kinds[(30 * (n % 3) + i * (n % 7 + 1)) % 90] for i in range(12))) for n in range(600)]
+    rare = "entirely other words than those above, in three texts of six hundred"
+    rows += [(1000 + n, rare) for n in range(40) if zlib.crc32(str(1000 + n).encode()) % 10][:3]
+    blocks = scoring.blocked(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    centres = scoring.topics(blocks)
+    own = scoring.profile(scoring.WordHash().of(scoring.low_words(rare)))
+    assert min(np.abs(centres - own).max(1)) < 1e-6
+    assert (scoring.topics(blocks) == centres).all()
