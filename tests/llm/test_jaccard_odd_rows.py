@@ -54,3 +54,18 @@ def test_null_id_in_the_middle_of_a_chain(spark):
     assert {r[2] for r in want} == {1}  # the ends are linked through the row without an id only
     got = jaccard_join.join(spark.createDataFrame(rows, SCHEMA), 3, 90)
     assert Counter(map(tuple, got.collect())) == want
+
+
+def test_chunks_meet_only_where_sizes_allow_a_link(spark):
+    rows = [(n, 7, size, n // 2) for n, size in enumerate((10, 10, 10, 12, 15, 15, 40, 40))] + [(50, 8, 5, 0)]
+    members = spark.createDataFrame(rows, "node long, component long, n long, chunk int")
+    met = {tuple(r) for r in jaccard_join.chunk_pairs(members, 80).collect()}
+    assert met == {(7, 0, 1), (7, 1, 2), (7, 3, 3), (8, 0, 0)}
+
+
+@pytest.mark.parametrize("chunk", [1, 300, 2_000])
+def test_small_chunks_lose_no_link(spark, monkeypatch, chunk):
+    monkeypatch.setattr(jaccard_join, "CHUNK", chunk)
+    rows = [(n, t, None, None, None, None, None) for n, t in enumerate(chain(80) + [words(k, 3) for k in (20, 60, 70, 80, 95, 110, 400)])]
+    got = jaccard_join.join(spark.createDataFrame(rows, SCHEMA), 5, 80)
+    assert Counter(map(tuple, got.collect())) == brute(rows, 5, 80)

@@ -10,8 +10,8 @@ A document's set is its distinct word shingles (of ``words`` words); equal sets
    Inside a cluster, similar sets form groups with the union of their tokens; the matrix tokens x groups gives, for a query
    set, how many of its tokens each union holds. Only groups whose count could reach the threshold are opened (those that hold none of its rarest
    tokens cannot), where the exact overlaps are one matrix product.
-3. A cluster above ``CHUNK`` tokens is cut into chunks and every pair of chunks is a task, so nothing is left out
-   and no task holds more than two chunks. Links leave a task as a spanning forest, not as pairs.
+3. A cluster above ``CHUNK`` tokens is cut into chunks by size of set, and every pair of chunks whose sizes let any two sets
+   link is a task, so nothing is left out and no task holds more than two chunks. Links leave a task as a spanning forest, not as pairs.
 
 Nodes are 64-bit digests of the sets. Defined results: null, empty and wordless texts have the empty set and stand
 alone; a text with fewer words than a shingle is one shingle; repeated rows share a node; a row with a null id links like any
@@ -25,6 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -222,25 +223,36 @@ def bitmap(nodes: DataFrame) -> np.ndarray:
     return out
 
 
+def chunk_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """(component, i, j): the chunks that meet. Chunks hold ranges of sizes: where the largest set of one is too small for the
+    smallest of a later one, no two link. A chunk that meets no other one meets itself."""
+    ranges = members.groupBy("component", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    later = ranges.select("component", F.col("chunk").alias("j"), F.col("low").alias("least"))
+    met = ranges.withColumnRenamed("chunk", "i").join(later, "component").where(f"i = j or (i < j and 100 * high >= {percent} * least)")
+    pairs = met.select("component", "i", "j")
+    other = pairs.where("i < j")
+    busy = other.select("component", "i").unionByName(other.select("component", F.col("j").alias("i"))).distinct()
+    return other.unionByName(pairs.where("i = j").join(busy, ["component", "i"], "left_anti"))
+
+
 def links(docs: DataFrame, found: DataFrame, clusters: DataFrame, words: int, percent: int) -> DataFrame:
     """(a, b): the verified links of all clusters. ``clusters`` maps nodes to their cluster.
 
     Texts of other nodes are left out before the shuffle, and of copies one goes on. Texts are sent, not sets: they are
-    less than half as long.
+    less than half as long. They are sent packed, since a text goes to every pair of its chunk.
     """
     sizes = found.where("node is not null").groupBy("node").agg(F.max("n_shingles").alias("n"))
     members = clusters.withColumnRenamed("id", "node").join(sizes, "node")
-    run = W.partitionBy("component").orderBy("node")
+    run = W.partitionBy("component").orderBy("n", "node")
     members = members.withColumn("chunk", F.floor((F.sum("n").over(run) - 1) / CHUNK).cast("int"))
-    members = members.withColumn("last", F.max("chunk").over(W.partitionBy("component")))
-    # Chunks meet in pairs; a cluster of one chunk is one task of its own.
-    pair = F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other")
-    members = members.select("node", "component", "chunk", "last", pair).where("last = 0 or chunk <> other")
-    members = settled(members.select("node", "component", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")), "members")
+    members = settled(members.select("node", "component", "n", "chunk"), "members")
+    pairs = chunk_pairs(members, percent)
+    sides = pairs.withColumn("chunk", F.col("i")).unionByName(pairs.where("i < j").withColumn("chunk", F.col("j")))
+    placed = members.join(sides, ["component", "chunk"]).select("node", "component", "i", "j")
     wanted = docs.sparkSession.sparkContext.broadcast(bitmap(members))
 
     def held(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, sent = worker_hashes(), set()
+        known, sent, codec = worker_hashes(), set(), pa.Codec("zstd")
         for frame in rows:
             out = []
             for text in frame["text"]:
@@ -249,18 +261,19 @@ def links(docs: DataFrame, found: DataFrame, clusters: DataFrame, words: int, pe
                     continue
                 place = node % BITS
                 if wanted.value[place >> 3] >> (place & 7) & 1:
-                    out.append((node, text))
+                    out.append((node, len(data := text.encode("utf-8", "surrogatepass")), codec.compress(data, asbytes=True)))
                     if len(sent) < SENT:
                         sent.add(node)
-            yield pd.DataFrame(out, columns=["node", "text"]).astype({"node": "int64"})
+            yield pd.DataFrame(out, columns=["node", "size", "packed"]).astype({"node": "int64", "size": "int64"})
 
-    texts = docs.select("text").mapInPandas(held, "node long, text string").dropDuplicates(["node"])
-    placed = texts.join(members, "node").select("component", "i", "j", "node", "text")
+    texts = docs.select("text").mapInPandas(held, "node long, size long, packed binary").dropDuplicates(["node"])
+    placed = texts.join(placed, "node").select("component", "i", "j", "node", "size", "packed")
 
     def verify(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop_duplicates("node")
-        known = worker_hashes()
-        got = group_links(frame["node"].to_numpy(np.int64), [shingles(known, t, words) for t in frame["text"]], percent)
+        known, codec = worker_hashes(), pa.Codec("zstd")
+        texts = (codec.decompress(data, size, asbytes=True).decode("utf-8", "surrogatepass") for data, size in zip(frame["packed"], frame["size"]))
+        got = group_links(frame["node"].to_numpy(np.int64), [shingles(known, t, words) for t in texts], percent)
         return pd.DataFrame(got, columns=["a", "b"], dtype="int64")
 
     return placed.groupBy("component", "i", "j").applyInPandas(verify, "a long, b long")
