@@ -397,3 +397,25 @@ def test_topics_are_found_on_all_training_texts(spark, monkeypatch):
     own = scoring.profile(scoring.WordHash().of(scoring.low_words(rare)))
     assert min(np.abs(centres - own).max(1)) < 1e-6
     assert (scoring.topics(blocks) == centres).all()
+
+
+@pytest.mark.parametrize("joined", [1, 7, 100])
+def test_pieces_learned_together_are_those_encoded_alone(monkeypatch, joined):
+    monkeypatch.setattr(token_files, "JOINED", joined)
+    pieces = token_files.Pieces(public_tokenizers.path("word_bpe_49k.json"))
+    some = {w.encode() for n in range(40) for w in words(12, n).split()} | {f"a{n}é{n}'s".encode() for n in range(250)} | {token_files.MARK + b"x"}
+    pieces.learn(some)
+    alone = {p: pieces.tokenizer.encode(p.decode(), add_special_tokens=False).ids for p in some}
+    assert {p: np.frombuffer(pieces[p], "<u4").tolist() for p in some} == alone
+
+
+@pytest.mark.parametrize("width", [7, 8, 16, 17, 24])
+def test_packed_bits_are_the_ids_in_a_row(width):
+    for n in (0, 1, 8, 1003):
+        ids = np.random.default_rng(n).integers(0, 1 << width, n).astype(np.uint32)
+        bits = "".join(f"{i:0{width}b}" for i in ids.tolist()) + "0" * (-n % 8 * width)
+        data = token_files.pack(ids, width)
+        assert data == bytes(int(bits[i : i + 8], 2) for i in range(0, len(bits), 8))
+        for first in range(0, n, 97):
+            got = token_files.unpack(data, width, first, n - first)
+            assert got.dtype == np.uint32 and (got == ids[first:]).all()

@@ -32,6 +32,8 @@ from tidemark.session import scratch
 BLOCK = 1 << 13
 SEGMENT = 1 << 20
 MARK = b"\x01"
+#: Pieces that one call encodes: the tokenizer takes longer for a piece in a longer text.
+JOINED = 100
 FILE = (
     "part int, segment int, width int, n_ids long, doc_ids array<long>, doc_starts array<long>, block_offsets array<long>, payload binary"
 )
@@ -44,6 +46,10 @@ def width_of(vocabulary: int) -> int:
 
 def pack(ids: np.ndarray, width: int) -> bytes:
     """Ids as ``width`` bits each, most significant first. Eight ids make ``width`` bytes; the last group is padded."""
+    if width % 8 == 0:  # whole bytes
+        whole = np.zeros(-(-len(ids) // 8) * 8, ">u4")
+        whole[: len(ids)] = ids
+        return whole.view(np.uint8).reshape(-1, 4)[:, 4 - width // 8 :].tobytes()
     lanes = np.zeros((-(-len(ids) // 8), 8), np.uint64)
     lanes.reshape(-1)[: len(ids)] = ids
     out = np.zeros((len(lanes), width), np.uint8)
@@ -60,6 +66,10 @@ def unpack(data: bytes | memoryview, width: int, first: int, count: int) -> np.n
     group, skip = divmod(first, 8)
     groups = -(-(skip + count) // 8)
     raw = np.frombuffer(data, np.uint8, groups * width, group * width).reshape(-1, width)
+    if width % 8 == 0:
+        whole = np.zeros((groups * 8, 4), np.uint8)
+        whole[:, 4 - width // 8 :] = raw.reshape(-1, width // 8)
+        return whole.view(">u4").reshape(-1).astype(np.uint32)[skip : skip + count]
     out = np.zeros((groups, 8), np.uint32)
     mask = np.uint64((1 << width) - 1)
     for lane in range(8):
@@ -98,8 +108,8 @@ class Pieces(dict):
         if self.mark_id is not None:
             plain = [p for p in new if MARK not in p]
             new = [p for p in new if MARK in p]
-            for at in range(0, len(plain), 1000):
-                self.learn_joined(plain[at : at + 1000])
+            for at in range(0, len(plain), JOINED):
+                self.learn_joined(plain[at : at + JOINED])
         for at in range(0, len(new), 1000):
             some = new[at : at + 1000]
             for piece, got in zip(some, self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)):
