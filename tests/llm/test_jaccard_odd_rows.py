@@ -69,3 +69,23 @@ def test_small_chunks_lose_no_link(spark, monkeypatch, chunk):
     rows = [(n, t, None, None, None, None, None) for n, t in enumerate(chain(80) + [words(k, 3) for k in (20, 60, 70, 80, 95, 110, 400)])]
     got = jaccard_join.join(spark.createDataFrame(rows, SCHEMA), 5, 80)
     assert Counter(map(tuple, got.collect())) == brute(rows, 5, 80)
+
+
+def test_texts_that_share_few_shingles_make_no_candidates(spark):
+    """Each shares five words with the next and a line with all: once, one cluster of all of them."""
+    texts = [f"{words(60, 500 + k)} {words(5, 900 + k)} {words(60, 700 + k)} {words(5, 901 + k)} {words(9, 1)}" for k in range(40)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate([*texts, texts[0] + " more"])], "doc_id long, text string").coalesce(1)
+    found = jaccard_join.settled(jaccard_join.sets(docs, 5), "sets")
+    order, found = jaccard_join.common(found), found.where("token is null").drop("token", "held")
+    assert len(order.tokens) >= 5
+    assert jaccard_join.candidates(docs, found, order, 5, 80).count() == 1
+
+
+@pytest.mark.parametrize("paired, counted", [(2, 1), (3, 1 << 21), (64, 50)])
+def test_pairs_stars_and_common_tokens_do_not_change_the_links(spark, monkeypatch, paired, counted):
+    monkeypatch.setattr(jaccard_join, "PAIRED", paired)
+    monkeypatch.setattr(jaccard_join, "COUNTED", counted)
+    line = words(6, 8)
+    rows = [(n, t, None, None, None, None, None) for n, t in enumerate(chain(80) * 2 + [f"{words(k, 3)} {line}" for k in (4, 5, 6, 7, 20, 23)])]
+    got = jaccard_join.join(spark.createDataFrame(rows, SCHEMA), 5, 80)
+    assert Counter(map(tuple, got.collect())) == brute(rows, 5, 80)

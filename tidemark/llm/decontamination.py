@@ -30,6 +30,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,11 +79,12 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 class PlainHash:
     """Hashes of the ``plain_words`` of texts, without cutting them out: sums of bytes times powers, by word.
 
-    Only bounds and seeds rest on them, and a chance collision only loosens these.
+    Only bounds and seeds rest on them, and a chance collision only loosens these. ``edges`` is what words are stripped of;
+    words of more than ``short`` bytes are cut out and hashed by xxHash, as such sums meet for some long words of few letters.
     """
 
-    def __init__(self):
-        self.kinds = classes(EDGES)
+    def __init__(self, edges: bytes = EDGES, short: int | None = None):
+        self.kinds, self.short = classes(edges), short
         self.up, self.down = powers(HASHED)
 
     def plain(self, text: str | None) -> np.ndarray:
@@ -122,6 +124,9 @@ class PlainHash:
         hashes ^= hashes >> np.uint64(29)
         hashes *= MIXED
         hashes ^= hashes >> np.uint64(32)
+        if self.short:
+            for i in np.flatnonzero(end - begin > self.short):
+                hashes[i] = xxhash.xxh64_intdigest(data[begin[i] : end[i]].tobytes())
         sizes = np.cumsum([len(piece) + 1 for _, piece in held])
         for (n, _), some in zip(held, np.split(hashes, np.searchsorted(begin, sizes[:-1]))):
             out[n].append(some)

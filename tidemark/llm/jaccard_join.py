@@ -2,10 +2,12 @@
 
 A document's set is its distinct word shingles (of ``words`` words); equal sets are one node. Then:
 
-1. Candidates. Two sets above the threshold differ in few tokens: at most ``D`` for their sizes. Cut the hash range into
-   more than ``D`` segments; they agree on one at least, entirely. A node therefore writes a signature per segment, once
-   for its own size band and once for the band below (similar sizes are at most one band apart), and nodes that share
-   a signature are candidates. A frequent phrase does not make candidates, since a segment holds about nine tokens.
+1. Candidates. Tokens have one order: common ones last, the most common at the very end. Two similar sets share their
+   first shared token, and before it each has at most the tokens that the other can lack; so it is among the first of both, one
+   more than a similar set can lack. These are a node's signatures. Nodes that share one are candidates, but for pairs of a small group
+   that cannot be similar: by their sizes and the token's places in both, then by how many tokens each has in 256 ranges of hashes.
+   Lines that many texts repeat make candidates only of texts with hardly anything else. Common are tokens that several sets of a
+   task hold; any choice gives the same links.
 2. Groups. Candidates are linked in stars (each to the least node of the signature) and their components are clusters.
    Inside a cluster, similar sets form groups with the union of their tokens; the matrix tokens x groups gives, for a query
    set, how many of its tokens each union holds. Only groups whose count could reach the threshold are opened (those that hold none of its rarest
@@ -20,7 +22,7 @@ other and is named by the smallest id it reaches, by null if there is none; an e
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -31,11 +33,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import components, settled
-from tidemark.llm.ngrams import WordHash, grams, low_words
+from tidemark.llm.decontamination import PlainHash
+from tidemark.llm.ngrams import grams
 from tidemark.llm.token_files import chunks
 
 #: Tokens of a chunk of a cluster.
 CHUNK = 2_000_000
+#: Tokens of a task counted at once, and common tokens that tasks know.
+COUNTED, COMMON = 1 << 21, 1 << 17
+#: Rows with one signature that are compared in pairs.
+PAIRED = 64
 #: Cells of a group's matrix.
 CELLS = 4_000_000
 #: Bits of the filter that lets texts of clusters through, and nodes that a task remembers to have sent.
@@ -43,21 +50,31 @@ BITS, SENT = 1 << 26, 1_000_000
 
 
 @lru_cache(maxsize=1)
-def worker_hashes() -> WordHash:
-    """One per Python worker: groups follow each other and share what is remembered."""
-    return WordHash()
-
-
-def shingles(known: WordHash, text: str | None, words: int) -> np.ndarray:
-    """The set of a text: sorted distinct shingle hashes."""
-    found = low_words(text)
-    return np.unique(grams(known.of(found), min(words, len(found)))) if found else np.empty(0, np.uint64)
+def worker_hashes() -> PlainHash:
+    """One per Python worker: groups follow each other and share its tables."""
+    return PlainHash(edges=b"", short=32)
+
+
+def shingles(known: PlainHash, texts: Iterable[str | None], words: int) -> list[np.ndarray]:
+    """The sets of texts: sorted distinct shingle hashes. Those of all texts are made in one row, and those that reach over an end left out."""
+    hashes = known.of(list(texts))
+    row = grams(np.concatenate([np.empty(0, np.uint64), *hashes]), words)
+    out, at = [], 0
+    for own in hashes:
+        found = row[at : at + len(own) - words + 1].copy() if len(own) >= words else grams(own, len(own)) if len(own) else own
+        found.sort()
+        new = found[1:] != found[:-1]
+        out.append(found if new.all() else found[np.append(True, new)])
+        at += len(own)
+    return out
 
 
-def node_of(tokens: np.ndarray) -> int:
-    """Digest of a set, as a signed long."""
-    first = mix(tokens).sum(dtype=np.uint64) + np.uint64(len(tokens))
-    return int(mix(np.array([first])).view(np.int64)[0])
+def nodes_of(found: list[np.ndarray]) -> np.ndarray:
+    """Digests of sets that are not empty, as signed longs."""
+    sizes = np.array([len(s) for s in found], np.int64)
+    if not len(sizes):
+        return np.empty(0, np.int64)
+    return mix(np.add.reduceat(mix(np.concatenate(found)), np.cumsum(sizes) - sizes) + sizes.astype(np.uint64)).view(np.int64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -66,82 +83,139 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-class Bands:
-    """Size bands and segment counts for a threshold given in percent."""
-
-    def __init__(self, percent: int):
-        self.percent = percent
-        self.starts = [1]
+def sets(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, n_shingles, node, cells) of every row, ``cells`` being how many tokens fall into each of 256 ranges of hashes, up to 255;
+    the empty set has no node. Besides them, rows (token, held) without the others: tokens that several sets hold among ``COUNTED`` of a task."""
 
-    def reach(self, k: int) -> int:
-        """First size of band ``k``: beyond what a set two bands below could be similar to."""
-        while len(self.starts) <= k:
-            self.starts.append(self.starts[-1] * 100 // self.percent + 1)
-        return self.starts[k]
+    def shared(some: list[np.ndarray]) -> pd.DataFrame:
+        tokens, held = np.unique(np.concatenate(some), return_counts=True)
+        rows = pd.DataFrame({"token": tokens[held > 1].view(np.int64), "held": held[held > 1]})
+        return rows.reindex(columns=columns).astype(kinds).assign(cells=None)
 
-    def band(self, size: int) -> int:
-        k = 0
-        while self.reach(k + 1) <= size:
-            k += 1
-        return k
+    def build(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, seen, some, held = worker_hashes(), set(), [], 0
+        for frame in rows:
+            for part in chunks(frame, 1 << 20):
+                found = shingles(known, part["text"], words)
+                sizes = np.array([len(s) for s in found])
+                full = [s for s in found if len(s)]
+                nodes = pd.array([None] * len(found), "Int64")
+                nodes[sizes > 0] = nodes_of(full)
+                at = np.repeat(np.arange(len(found)) * 256, sizes) + (np.concatenate(found) >> np.uint64(56)).astype(np.int64)
+                cells = np.minimum(np.bincount(at, minlength=256 * len(found)), 255).astype(np.uint8).reshape(-1, 256)
+                out = pd.DataFrame({"doc_id": part["doc_id"].array, "n_shingles": sizes, "node": nodes}).reindex(columns=columns).astype(kinds)
+                yield out.assign(cells=[c.tobytes() if n else None for c, n in zip(cells, sizes)])
+                for node, tokens in zip(nodes.dropna().tolist(), full):
+                    if node not in seen:
+                        seen.add(node)
+                        some.append(tokens)
+                        held += len(tokens)
+                if held >= COUNTED:
+                    yield shared(some)
+                    seen, some, held = set(), [], 0
+        if some:
+            yield shared(some)
+
+    columns = ["doc_id", "n_shingles", "node", "token", "held"]
+    kinds = dict.fromkeys(columns, "Int64")
+    return docs.select("doc_id", "text").mapInPandas(build, "doc_id long, n_shingles long, node long, token long, held long, cells binary")
+
+
+class Order:
+    """An order of all tokens that is the same everywhere: those that are not common by their hash, then the common ones, the rarest first."""
+
+    def __init__(self, tokens: np.ndarray, held: np.ndarray):
+        by = np.argsort(tokens)
+        self.tokens, self.held = tokens[by], held[by]
+        self.some = np.zeros(1 << 22, bool)
+        self.some[self.place(self.tokens)] = True
+
+    def place(self, tokens: np.ndarray) -> np.ndarray:
+        return (tokens & np.uint64(len(self.some) - 1)).astype(np.int64)
+
+    def counts(self, tokens: np.ndarray) -> np.ndarray:
+        """By token: in how many sets it was found as a common one, else 0."""
+        out = np.zeros(len(tokens), np.int64)
+        maybe = np.flatnonzero(self.some[self.place(tokens)])
+        at = np.searchsorted(self.tokens, tokens[maybe])
+        at[at == len(self.tokens)] = 0
+        same = self.tokens[at] == tokens[maybe]
+        out[maybe[same]] = self.held[at[same]]
+        return out
+
+    def first(self, found: list[np.ndarray], percent: int) -> list[np.ndarray]:
+        """Of each sorted set, its first tokens, one more than a similar set can lack."""
+        counts = np.split(self.counts(np.concatenate([np.empty(0, np.uint64), *found])), np.cumsum([len(s) for s in found])[:-1])
+        out = []
+        for tokens, held in zip(found, counts):
+            many = len(tokens) + percent * len(tokens) // -100 + 1
+            plain = np.flatnonzero(held[: 2 * many] == 0)[:many]  # mostly that is enough
+            if len(plain) < many:
+                plain = np.argsort(held, kind="stable")[:many]
+            out.append(tokens[plain])
+        return out
 
-    def apart(self, k: int) -> int:
-        """The most tokens in which two similar sets of the bands ``k`` and ``k + 1`` differ."""
-        return 2 * (self.reach(k + 2) - 1) * (100 - self.percent) // (100 + self.percent)
 
-    def signatures(self, tokens: np.ndarray) -> np.ndarray:
-        """Signatures of a sorted set, under its own band's segments and those of the band below."""
-        own = self.band(len(tokens))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(tokens), dtype=np.uint64)])
-        out = []
-        for k in (own, own - 1):
-            if k < 0 or not self.apart(k):
-                continue  # only equal sets are that similar
-            # Segments beyond ``D + 1``: only a set with more than these empty lets an empty segment count as agreement.
-            spare = self.apart(k) // 4 + 2
-            m = self.apart(k) + 1 + spare
-            edges = np.searchsorted(tokens, (np.arange(m + 1, dtype=np.float64) * (2.0**64 / m))[1:-1].astype(np.uint64))
-            edges = np.concatenate([[0], edges, [len(tokens)]])
-            signs = mix(sums[edges[1:]] - sums[edges[:-1]] + mix(np.arange(m, dtype=np.uint64) + np.uint64(k << 32)))
-            empty = edges[1:] == edges[:-1]
-            out.append(signs if empty.sum() > spare else signs[~empty])
-        return np.concatenate(out) if out else np.empty(0, np.uint64)
+def common(found: DataFrame) -> Order:
+    """At most ``COMMON`` tokens, those that most sets were found to hold. Which ones they are decides about the work, not about the result."""
+    held = found.where("token is not null").groupBy("token").agg(F.sum("held").alias("held"))
+    most = held.orderBy(F.desc("held"), "token").limit(COMMON).toPandas()
+    return Order(most["token"].to_numpy(np.int64).view(np.uint64), most["held"].to_numpy(np.int64))
 
 
-def sets(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, node); the empty set has no node."""
+def signatures(docs: DataFrame, order: Order, words: int, percent: int) -> DataFrame:
+    """(node, sign, n, place): what candidates share, the size of the set and how many of its tokens come before."""
+    shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def build(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordHash()
+        known = worker_hashes()
         for frame in rows:
-            found = [shingles(known, t, words) for t in frame["text"]]
-            nodes = pd.array([node_of(s) if len(s) else pd.NA for s in found], "Int64")
-            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "n_shingles": [len(s) for s in found], "node": nodes})
+            for some in chunks(frame, 1 << 20):
+                full = [s for s in shingles(known, some["text"], words) if len(s)]
+                found = dict(zip(nodes_of(full).tolist(), full))
+                signs = shared.value.first(list(found.values()), percent)
+                many = [len(s) for s in signs]
+                yield pd.DataFrame({
+                    "node": np.repeat(np.array(list(found), np.int64), many),
+                    "sign": np.concatenate([np.empty(0, np.uint64), *signs]).view(np.int64),
+                    "n": np.repeat(np.array([len(s) for s in found.values()], np.int32), many),
+                    "place": np.concatenate([np.empty(0, np.int32), *[np.arange(m, dtype=np.int32) for m in many]]),
+                })
 
-    return docs.select("doc_id", "text").mapInPandas(build, "doc_id long, n_shingles long, node long")
+    return docs.select("text").mapInPandas(build, "node long, sign long, n int, place int")
 
 
-def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(node, sign): what candidates share."""
+def candidates(docs: DataFrame, found: DataFrame, order: Order, words: int, percent: int) -> DataFrame:
+    """(a, b): links whose components hold all similar sets together.
+
+    Where up to ``PAIRED`` rows share a signature, each pair that could be similar; where more do, a star (each to the least node).
+    """
+    group = W.partitionBy("sign")
+    met = signatures(docs, order, words, percent)
+    met = met.withColumns({"least": F.min("node").over(group), "most": F.max("node").over(group), "many": F.count("*").over(group)})
+    met = settled(met.where("least <> most").drop("most"), "met")
+    stars = met.where(f"many > {PAIRED} and node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    few = met.where(f"many <= {PAIRED}").groupBy("sign").agg(F.collect_set(F.struct("node", "n", "place")).alias("all"))
+    pairs = few.select(F.explode("all").alias("x"), "all").select("x", F.explode("all").alias("y")).where("x.node < y.node")
+    # Of the first token that they share on, neither has fewer tokens than they must share.
+    pairs = pairs.where(f"{100 + percent} * least(x.n - x.place, y.n - y.place) >= {percent} * cast(x.n + y.n as long)")
+    pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), (F.col("x.n") + F.col("y.n")).cast("long").alias("total")).distinct()
+    return stars.unionByName(alike(pairs, found, percent)).distinct()
+
+
+def alike(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose cells differ by no more tokens than similar sets of their ``total`` size can."""
+    cells = found.where("node is not null").select("node", "cells").dropDuplicates(["node"])
+    sides = pairs.join(cells.select(F.col("node").alias("a"), F.col("cells").alias("one")), "a")
+    sides = sides.join(cells.select(F.col("node").alias("b"), F.col("cells").alias("other")), "b")
 
     def build(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, bands = WordHash(), Bands(percent)
         for frame in rows:
-            for some in chunks(frame):
-                found = {node_of(s): s for t in some["text"] if len(s := shingles(known, t, words))}
-                signs = [bands.signatures(s) for s in found.values()]
-                nodes = np.repeat(np.array(list(found), np.int64), [len(s) for s in signs])
-                yield pd.DataFrame({"node": nodes, "sign": np.concatenate([np.empty(0, np.uint64), *signs]).view(np.int64)})
-
-    return docs.select("text").mapInPandas(build, "node long, sign long")
+            one, other = (np.frombuffer(b"".join(frame[c]), np.uint8).reshape(-1, 256).astype(np.int64) for c in ("one", "other"))
+            apart = np.abs(one - other).sum(1)
+            yield frame.loc[(100 + percent) * apart <= (100 - percent) * frame["total"].to_numpy(), ["a", "b"]]
 
-
-def candidates(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Stars (a, b): every node with the least node that shares a signature with it."""
-    signs = signatures(docs, words, percent)
-    group = W.partitionBy("sign")
-    shared = signs.withColumn("least", F.min("node").over(group)).where("node <> least")
-    return shared.select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+    return sides.select("a", "b", "total", "one", "other").mapInPandas(build, "a long, b long")
 
 
 def group_links(nodes: np.ndarray, found: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -255,12 +329,14 @@ def links(docs: DataFrame, found: DataFrame, clusters: DataFrame, words: int, pe
         known, sent, codec = worker_hashes(), set(), pa.Codec("zstd")
         for frame in rows:
             out = []
-            for text in frame["text"]:
-                tokens = shingles(known, text, words)
-                if not len(tokens) or (node := node_of(tokens)) in sent:
-                    continue
-                place = node % BITS
-                if wanted.value[place >> 3] >> (place & 7) & 1:
+            for some in chunks(frame, 1 << 20):
+                full = [(t, s) for t, s in zip(some["text"], shingles(known, some["text"], words)) if len(s)]
+                nodes = nodes_of([s for _, s in full])
+                place = nodes % BITS
+                for i in np.flatnonzero(wanted.value[place >> 3] >> (place & 7) & 1):
+                    text, node = full[i][0], int(nodes[i])
+                    if node in sent:
+                        continue
                     out.append((node, len(data := text.encode("utf-8", "surrogatepass")), codec.compress(data, asbytes=True)))
                     if len(sent) < SENT:
                         sent.add(node)
@@ -273,7 +349,7 @@ def links(docs: DataFrame, found: DataFrame, clusters: DataFrame, words: int, pe
         frame = frame.drop_duplicates("node")
         known, codec = worker_hashes(), pa.Codec("zstd")
         texts = (codec.decompress(data, size, asbytes=True).decode("utf-8", "surrogatepass") for data, size in zip(frame["packed"], frame["size"]))
-        got = group_links(frame["node"].to_numpy(np.int64), [shingles(known, t, words) for t in texts], percent)
+        got = group_links(frame["node"].to_numpy(np.int64), [s for t in texts for s in shingles(known, [t], words)], percent)
         return pd.DataFrame(got, columns=["a", "b"], dtype="int64")
 
     return placed.groupBy("component", "i", "j").applyInPandas(verify, "a long, b long")
@@ -282,7 +358,8 @@ def links(docs: DataFrame, found: DataFrame, clusters: DataFrame, words: int, pe
 def join(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: components of links at ``percent`` Jaccard or more."""
     found = settled(sets(docs, words), "sets")
-    clusters = components(candidates(docs, words, percent))
+    order, found = common(found), found.where("token is null").drop("token", "held")
+    clusters = components(candidates(docs, found, order, words, percent))
     linked = components(links(docs, found, clusters, words, percent))
     by_node = found.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     by_node = by_node.join(linked, by_node["node"] == linked["id"], "left").withColumn("root", F.coalesce("component", "node"))
