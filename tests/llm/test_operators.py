@@ -399,6 +399,16 @@ def test_topics_are_found_on_all_training_texts(spark, monkeypatch):
     assert (scoring.topics(blocks) == centres).all()
 
 
+def test_letters_with_marks_go_to_the_model_as_two_words(monkeypatch):
+    pieces = token_files.Pieces(public_tokenizers.path("word_bpe_49k.json"))
+    monkeypatch.setattr(pieces, "learn_joined", lambda some: pytest.fail(f"{some} went through the whole tokenizer"))
+    plain = "word word. word*** naïve, É?! ÉÇOLE: straße_"
+    assert pieces.encode([plain])[0].tolist() == pieces.tokenizer.encode(plain, add_special_tokens=False).ids
+    monkeypatch.undo()
+    odd = "don' don't don't. 's abc'.s x— a1. ... a...b. \u03a3. a\u0338< \ufb01. a<|endoftext|> <|endoftext|>. a<| \u0130. \u01c5. ×. ÷a ÿ_"
+    assert pieces.encode([odd])[0].tolist() == pieces.tokenizer.encode(odd, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("joined", [1, 7, 100])
 def test_pieces_learned_together_are_those_encoded_alone(monkeypatch, joined):
     monkeypatch.setattr(token_files, "JOINED", joined)

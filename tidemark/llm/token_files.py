@@ -15,7 +15,9 @@ text; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,6 +36,13 @@ SEGMENT = 1 << 20
 MARK = b"\x01"
 #: Pieces that one call encodes: the tokenizer takes longer for a piece in a longer text.
 JOINED = 100
+#: How a tokenizer may cut texts: letters, then marks, are words of their own then.
+CUT = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+CUT_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Letters that NFC leaves alone and that every library lowers alike.
+LETTERS = re.compile("[a-zÀ-ÖØ-öø-ÿ]+")
 FILE = (
     "part int, segment int, width int, n_ids long, doc_ids array<long>, doc_starts array<long>, block_offsets array<long>, payload binary"
 )
@@ -81,6 +90,15 @@ def unpack(data: bytes | memoryview, width: int, first: int, count: int) -> np.n
     return out.reshape(-1)[skip : skip + count]
 
 
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: the letter for each byte that is none itself."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in own)}
+
+
+BYTE_LETTERS = byte_letters()
+
+
 class Pieces(dict):
     """Ids of white-space separated pieces, as little-endian 32-bit bytes, remembered for up to ``limit`` pieces."""
 
@@ -93,6 +111,9 @@ class Pieces(dict):
         # A byte between pieces, so that one call encodes many and its id shows where each ends. Only that byte has this id.
         found = self.tokenizer.encode(MARK.decode(), add_special_tokens=False).ids
         self.mark_id = found[0] if len(found) == 1 else None
+        told = json.loads(self.tokenizer.to_str())
+        cut = (told["normalizer"] or {}).get("normalizers") == NORMAL and (told["pre_tokenizer"] or {}).get("pretokenizers") == [CUT, CUT_BYTES]
+        self.model = self.tokenizer.model if cut and told["model"]["type"] == "BPE" else None
 
     @property
     def vocabulary(self) -> int:
@@ -105,6 +126,8 @@ class Pieces(dict):
             held = {p: self[p] for p in pieces.difference(new)}
             forget_older(self)
             self.update(held)
+        if self.model is not None:
+            new = [p for p in new if not self.learn_letters(p)]
         if self.mark_id is not None:
             plain = [p for p in new if MARK not in p]
             new = [p for p in new if MARK in p]
@@ -115,6 +138,23 @@ class Pieces(dict):
             for piece, got in zip(some, self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)):
                 self[piece] = np.array(got.ids, "<u4").tobytes()
 
+    def learn_letters(self, piece: bytes) -> bool:
+        """Whether the piece is letters with or without marks after them, and then its ids."""
+        letters = piece.rstrip(MARKS)
+        if not LETTERS.fullmatch(letters.decode()):
+            return False
+        for word in (letters, piece[len(letters) :]):
+            if word and word not in self:
+                self[word] = self.word(word.decode().lower())
+        if len(letters) < len(piece):
+            self[piece] = self[letters] + self[piece[len(letters) :]]
+        return True
+
+    def word(self, word: str) -> bytes:
+        """The model's ids of one word, which it takes with a letter for each byte."""
+        spelled = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+
     def learn_joined(self, some: list[bytes]) -> None:
         joined = (b" " + MARK + b" ").join(some).decode()
         ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
