@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tests.llm.test_operators import ROWS, SCHEMA, words
-from tidemark.llm import jaccard_join
+from tidemark.llm import common, jaccard_join
 
 
 def shingles(text, n):
@@ -89,3 +90,25 @@ def test_pairs_stars_and_common_tokens_do_not_change_the_links(spark, monkeypatc
     rows = [(n, t, None, None, None, None, None) for n, t in enumerate(chain(80) * 2 + [f"{words(k, 3)} {line}" for k in (4, 5, 6, 7, 20, 23)])]
     got = jaccard_join.join(spark.createDataFrame(rows, SCHEMA), 5, 80)
     assert Counter(map(tuple, got.collect())) == brute(rows, 5, 80)
+
+
+def test_a_task_links_its_sets_as_stars():
+    found = [np.arange(k, 100 + k, dtype=np.uint64) for k in (0, 4, 8, 12)] + [np.arange(500, 600, dtype=np.uint64)]
+    assert sorted(jaccard_join.group_links(np.array([40, 30, 10, 20, 5]), found, 90)) == [(20, 10), (30, 10), (40, 10)]
+
+
+def test_stars_cost_no_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(common, "settled", lambda df, label, settled=common.settled: (written.append(label), settled(df, label))[1])
+    rows = [(5, 2), (2, 9), (3, 3), (8, 7), (7, 8), (None, 1), (4, None)]
+    got = common.components(spark.createDataFrame(rows, "a long, b long"))
+    assert {tuple(r) for r in got.collect()} == {(2, 2), (5, 2), (9, 2), (7, 7), (8, 7)}
+    assert len(written) == 1
+    assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert len(written) == 2
+
+
+@pytest.mark.parametrize("rows", [[(1, 2), (2, 3)], [(3, 1), (3, 2)], [(1, 5), (2, 5), (2, 6), (4, 6)]])
+def test_what_is_no_star_is_contracted(spark, rows):
+    ids = {n for r in rows for n in r}
+    assert {tuple(r) for r in common.components(spark.createDataFrame(rows, "a long, b long")).collect()} == {(n, 1) for n in ids}

@@ -13,7 +13,8 @@ A document's set is its distinct word shingles (of ``words`` words); equal sets
    set, how many of its tokens each union holds. Only groups whose count could reach the threshold are opened (those that hold none of its rarest
    tokens cannot), where the exact overlaps are one matrix product.
 3. A cluster above ``CHUNK`` tokens is cut into chunks by size of set, and every pair of chunks whose sizes let any two sets
-   link is a task, so nothing is left out and no task holds more than two chunks. Links leave a task as a spanning forest, not as pairs.
+   link is a task, so nothing is left out and no task holds more than two chunks. Links leave a task as stars, not as
+   pairs: those of a cluster that one task holds need no further round.
 
 Nodes are 64-bit digests of the sets. Defined results: null, empty and wordless texts have the empty set and stand
 alone; a text with fewer words than a shingle is one shingle; repeated rows share a node; a row with a null id links like any
@@ -219,7 +220,7 @@ def alike(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
 
 
 def group_links(nodes: np.ndarray, found: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """The links of a cluster's sets, as a spanning forest, by the token-group matrix."""
+    """The links of a cluster's sets, as stars (each to the least node it reaches), by the token-group matrix."""
     order = sorted(range(len(found)), key=lambda i: (int(found[i][0]), len(found[i]), int(nodes[i])))  # least token first: similar sets meet
     nodes, found = nodes[order], [found[i] for i in order]
     sizes = np.array([len(s) for s in found])
@@ -262,7 +263,6 @@ def group_links(nodes: np.ndarray, found: list[np.ndarray], percent: int) -> lis
             if groups[g][0] <= q:  # each pair once: queries look at their own and earlier groups
                 opened[g].append(q)
     label = np.arange(len(ids))
-    out = []
     for members, columns, queries in zip(groups, unions, opened):
         matrix = np.zeros((len(members), len(columns)), np.float32)
         for r, i in enumerate(members):
@@ -278,12 +278,11 @@ def group_links(nodes: np.ndarray, found: list[np.ndarray], percent: int) -> lis
             overlap = np.rint(ask @ matrix.T).astype(np.int64)
             linked = 100 * overlap >= percent * (sizes[some][:, None] + sizes[members][None, :] - overlap)
             for r, q in enumerate(some):
-                near = np.array(members)[linked[r]]
-                for other in np.unique(label[near]):
+                for other in np.unique(label[np.array(members)[linked[r]]]):
                     if other != label[q]:
-                        out.append((int(nodes[q]), int(nodes[near[label[near] == other][0]])))
                         label[label == other] = label[q]
-    return out
+    least_node = pd.Series(nodes).groupby(label).transform("min").to_numpy()
+    return [(int(a), int(b)) for a, b in zip(nodes, least_node) if a != b]
 
 
 def bitmap(nodes: DataFrame) -> np.ndarray:
