@@ -112,3 +112,13 @@ def test_stars_cost_no_round(spark, monkeypatch):
 def test_what_is_no_star_is_contracted(spark, rows):
     ids = {n for r in rows for n in r}
     assert {tuple(r) for r in common.components(spark.createDataFrame(rows, "a long, b long")).collect()} == {(n, 1) for n in ids}
+
+
+def test_verified_links_need_no_round(spark, monkeypatch):
+    written, settled = [], common.settled
+    for module in (common, jaccard_join):
+        monkeypatch.setattr(module, "settled", lambda df, label: (written.append(label), settled(df, label))[1])
+    rows = [(n, t, None, None, None, None, None) for n, t in enumerate(chain(80))]
+    got = jaccard_join.join(spark.createDataFrame(rows, SCHEMA), 5, 80)
+    assert Counter(map(tuple, got.collect())) == brute(rows, 5, 80)
+    assert written[written.index("members") :] == ["members", "links"]
