@@ -122,3 +122,25 @@ def test_verified_links_need_no_round(spark, monkeypatch):
     got = jaccard_join.join(spark.createDataFrame(rows, SCHEMA), 5, 80)
     assert Counter(map(tuple, got.collect())) == brute(rows, 5, 80)
     assert written[written.index("members") :] == ["members", "links"]
+
+
+@pytest.mark.parametrize("n, percent", [(3, 90), (5, 80)])
+def test_texts_without_near_copies_send_no_signatures(spark, n, percent):
+    """Once, each text sent a tenth or a fifth of its shingles."""
+    texts = [f"{words(120, 300 + k)} {words(8, 1)}" for k in range(30)]
+    rows = [(k, t, None, None, None, None, None) for k, t in enumerate([*texts, texts[0] + " more", texts[1]])]
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    order, bits = jaccard_join.common(jaccard_join.sets(docs, n)), jaccard_join.repeated(docs, n)
+    sent = {r["node"] for r in jaccard_join.signatures(docs, order, bits, n, percent).collect()}
+    near = jaccard_join.shingles(jaccard_join.worker_hashes(), [texts[0], texts[0] + " more"], n)
+    assert sent == set(jaccard_join.nodes_of(near).tolist())
+    got = jaccard_join.join(docs, n, percent)
+    assert Counter(map(tuple, got.collect())) == brute(rows, n, percent)
+
+
+@pytest.mark.parametrize("places", [8, 64])
+def test_full_bits_lose_no_link(spark, monkeypatch, places):
+    monkeypatch.setattr(jaccard_join, "PLACES", places)
+    rows = [(n, t, None, None, None, None, None) for n, t in enumerate(chain(80) + [words(k, 3) for k in (20, 60, 70, 95, 400)] + chain(90))]
+    got = jaccard_join.join(spark.createDataFrame(rows, SCHEMA).repartition(3), 5, 80)
+    assert Counter(map(tuple, got.collect())) == brute(rows, 5, 80)

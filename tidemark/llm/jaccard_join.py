@@ -4,7 +4,9 @@ A document's set is its distinct word shingles (of ``words`` words); equal sets
 
 1. Candidates. Tokens have one order: common ones last, the most common at the very end. Two similar sets share their
    first shared token, and before it each has at most the tokens that the other can lack; so it is among the first of both, one
-   more than a similar set can lack. These are a node's signatures. Nodes that share one are candidates, but for pairs of a small group
+   more than a similar set can lack. These are a node's signatures. The very first in the order are tokens that only one set holds, of those
+   in the lower half of all hashes, where such tokens are looked for: they count as places, but nobody can share them, so they are not sent,
+   and a text without near copies mostly sends nothing. Nodes that share a signature are candidates, but for pairs of a small group
    that cannot be similar: by their sizes and the token's places in both, then by how many tokens each has in 256 ranges of hashes.
    Lines that many texts repeat make candidates only of texts with hardly anything else. Common are tokens that several sets of a
    task hold; any choice gives the same links.
@@ -42,6 +44,8 @@ from tidemark.llm.token_files import chunks
 CHUNK = 2_000_000
 #: Tokens of a task counted at once, and common tokens that tasks know.
 COUNTED, COMMON = 1 << 21, 1 << 17
+#: Ranges of tokens by their first 12 bits, how many of them are asked for tokens that several sets hold, and bits of a range that tell.
+RANGES, ASKED, PLACES = 1 << 12, 1 << 11, 1 << 16
 #: Rows with one signature that are compared in pairs.
 PAIRED = 64
 #: Cells of a group's matrix.
@@ -122,8 +126,63 @@ def sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(build, "doc_id long, n_shingles long, node long, token long, held long, cells binary")
 
 
+def repeated(docs: DataFrame, words: int) -> np.ndarray:
+    """Bits by range and place (see ``lone``): set where several sets hold a token. 16 MB at any size of the input; fuller, they hide tokens
+    that one set holds, which makes work and loses nothing, and so do copies in several tasks, each of which counts as a set.
+
+    Tokens travel by range, 4 bytes each: the 32 bits after the 12 of the range.
+    """
+
+    places = PLACES
+
+    def dealt(some: list[np.ndarray]) -> pd.DataFrame:
+        tokens = np.sort(np.concatenate(some))
+        ends = np.searchsorted(tokens, np.arange(1, ASKED, dtype=np.uint64) * np.uint64((1 << 64) // RANGES))
+        parts = np.split((tokens >> np.uint64(20)).astype("<u4"), ends)
+        return pd.DataFrame([(n, part.tobytes()) for n, part in enumerate(parts) if len(part)], columns=["range", "tokens"])
+
+    def build(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, seen, some, held = worker_hashes(), set(), [], 0
+        for frame in rows:
+            for part in chunks(frame, 1 << 20):
+                full = [s for s in shingles(known, part["text"], words) if len(s)]
+                for node, tokens in zip(nodes_of(full).tolist(), full):
+                    if node not in seen:
+                        if len(seen) < SENT:
+                            seen.add(node)
+                        some.append(tokens[: np.searchsorted(tokens, np.uint64(ASKED * ((1 << 64) // RANGES)))])
+                        held += len(some[-1])
+                if held >= COUNTED:
+                    yield dealt(some)
+                    some, held = [], 0
+        if some:
+            yield dealt(some)
+
+    def several(frame: pd.DataFrame) -> pd.DataFrame:
+        tokens = np.sort(np.frombuffer(b"".join(frame["tokens"]), "<u4"))
+        bits = np.zeros(places, bool)
+        bits[tokens[1:][tokens[1:] == tokens[:-1]] % places] = True
+        return pd.DataFrame({"range": frame["range"].iloc[:1], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
+
+    found = docs.select("text").mapInPandas(build, "range int, tokens binary").groupBy("range").applyInPandas(several, "range int, bits binary")
+    out = np.zeros((ASKED, places // 8), np.uint8)
+    for r in settled(found, "repeated").toLocalIterator():  # at most ASKED rows of 8 KB
+        out[r["range"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return out
+
+
+def lone(tokens: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which tokens are known to be in one set only."""
+    out = np.zeros(len(tokens), bool)
+    at = np.flatnonzero(tokens < np.uint64(ASKED * ((1 << 64) // RANGES)))
+    place = (tokens[at] >> np.uint64(20)).astype(np.int64) % (8 * bits.shape[1])
+    out[at] = bits[(tokens[at] >> np.uint64(52)).astype(np.int64), place >> 3] >> (place & 7) & 1 == 0
+    return out
+
+
 class Order:
-    """An order of all tokens that is the same everywhere: those that are not common by their hash, then the common ones, the rarest first."""
+    """An order of all tokens that is the same everywhere: those that one set holds, those that are not common by their hash, then the
+    common ones, the rarest first."""
 
     def __init__(self, tokens: np.ndarray, held: np.ndarray):
         by = np.argsort(tokens)
@@ -144,17 +203,24 @@ class Order:
         out[maybe[same]] = self.held[at[same]]
         return out
 
-    def first(self, found: list[np.ndarray], percent: int) -> list[np.ndarray]:
-        """Of each sorted set, its first tokens, one more than a similar set can lack."""
-        counts = np.split(self.counts(np.concatenate([np.empty(0, np.uint64), *found])), np.cumsum([len(s) for s in found])[:-1])
-        out = []
-        for tokens, held in zip(found, counts):
-            many = len(tokens) + percent * len(tokens) // -100 + 1
+    def first(self, found: list[np.ndarray], bits: np.ndarray, percent: int) -> tuple[list[np.ndarray], list[int]]:
+        """Of each sorted set, its first tokens, one more than a similar set can lack, without those that it holds alone; and how many those are."""
+        row, ends = np.concatenate([np.empty(0, np.uint64), *found]), np.cumsum([len(s) for s in found])[:-1]
+        shared = ~lone(row, bits)
+        counts, out, before = np.zeros(len(row), np.int64), [], []
+        counts[shared] = self.counts(row[shared])
+        for tokens, some, held in zip(found, np.split(shared, ends), np.split(counts, ends)):
+            before.append(len(tokens) - int(some.sum()))
+            many = len(tokens) + percent * len(tokens) // -100 + 1 - before[-1]
+            if many <= 0:
+                out.append(tokens[:0])
+                continue
+            tokens, held = tokens[some], held[some]
             plain = np.flatnonzero(held[: 2 * many] == 0)[:many]  # mostly that is enough
             if len(plain) < many:
                 plain = np.argsort(held, kind="stable")[:many]
             out.append(tokens[plain])
-        return out
+        return out, before
 
 
 def common(found: DataFrame) -> Order:
@@ -164,9 +230,9 @@ def common(found: DataFrame) -> Order:
     return Order(most["token"].to_numpy(np.int64).view(np.uint64), most["held"].to_numpy(np.int64))
 
 
-def signatures(docs: DataFrame, order: Order, words: int, percent: int) -> DataFrame:
+def signatures(docs: DataFrame, order: Order, bits: np.ndarray, words: int, percent: int) -> DataFrame:
     """(node, sign, n, place): what candidates share, the size of the set and how many of its tokens come before."""
-    shared = docs.sparkSession.sparkContext.broadcast(order)
+    shared = docs.sparkSession.sparkContext.broadcast((order, bits))
 
     def build(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = worker_hashes()
@@ -174,13 +240,14 @@ def signatures(docs: DataFrame, order: Order, words: int, percent: int) -> DataF
             for some in chunks(frame, 1 << 20):
                 full = [s for s in shingles(known, some["text"], words) if len(s)]
                 found = dict(zip(nodes_of(full).tolist(), full))
-                signs = shared.value.first(list(found.values()), percent)
+                order, bits = shared.value
+                signs, before = order.first(list(found.values()), bits, percent)
                 many = [len(s) for s in signs]
                 yield pd.DataFrame({
                     "node": np.repeat(np.array(list(found), np.int64), many),
                     "sign": np.concatenate([np.empty(0, np.uint64), *signs]).view(np.int64),
                     "n": np.repeat(np.array([len(s) for s in found.values()], np.int32), many),
-                    "place": np.concatenate([np.empty(0, np.int32), *[np.arange(m, dtype=np.int32) for m in many]]),
+                    "place": np.concatenate([np.empty(0, np.int32), *[np.arange(b, b + m, dtype=np.int32) for b, m in zip(before, many)]]),
                 })
 
     return docs.select("text").mapInPandas(build, "node long, sign long, n int, place int")
@@ -192,7 +259,7 @@ def candidates(docs: DataFrame, found: DataFrame, order: Order, words: int, perc
     Where up to ``PAIRED`` rows share a signature, each pair that could be similar; where more do, a star (each to the least node).
     """
     group = W.partitionBy("sign")
-    met = signatures(docs, order, words, percent)
+    met = signatures(docs, order, repeated(docs, words), words, percent)
     met = met.withColumns({"least": F.min("node").over(group), "most": F.max("node").over(group), "many": F.count("*").over(group)})
     met = settled(met.where("least <> most").drop("most"), "met")
     stars = met.where(f"many > {PAIRED} and node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
