@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.operators import quality
 from tidemark.plans import facts
 from tidemark.schemas import BRONZE_EVENTS
@@ -141,3 +143,52 @@ def test_a_large_day_is_merged_in_pieces(spark, tmp_path, monkeypatch):
     merge(spark, path, [("k3", D[0], 300), ("k4", D[1], 400), (None, D[0], 1)])
     expected = [(f"k{i}", D[0], i) for i in range(40) if i not in (3, 4)] + [("k3", D[0], 300), ("k4", D[1], 400)] + [(None, D[0], 1)] * 3
     assert stored(spark, path) == sorted(expected, key=str)
+
+
+def shuffle_files(spark):
+    return str(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()).count("/shuffle_")
+
+
+def grown(spark, before):
+    """Whether there are more shuffle files than before, after some time to remove them."""
+    for _ in range(20):
+        if shuffle_files(spark) <= before:
+            return False
+        time.sleep(0.25)
+    return True
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_path):
+    """Once, each write's stayed until the driver collected garbage: those of all writes of a run stood on disk at once."""
+    rows = spark.range(1000).withColumn("k", F.col("id") % 7).repartition(3, "k")
+    before = shuffle_files(spark)
+    assert len(session.written(rows, "rows").collect()) == 1000
+    sinks.publish_table(rows, str(tmp_path / "t"))
+    assert not grown(spark, before)
+    rows.collect()
+    assert shuffle_files(spark) > before
+
+
+def test_a_merge_leaves_no_increment(spark, tmp_path):
+    shared = session.shared_folder(spark)
+    left, path = set(os.listdir(shared)), str(tmp_path / "t")
+    merge(spark, path, [("a", D[0], 1), ("b", D[1], 1)])
+    merge(spark, path, [("a", D[1], 3), ("c", D[0], 1)])
+    assert not [n for n in set(os.listdir(shared)) - left if n.startswith("increment")]
+    assert sorted(n for n in os.listdir(path) if not n.startswith(("_", ".day"))) == [f"day={D[0]}", f"day={D[1]}"]
+
+
+def test_order_columns_are_written_before_the_lines_are_shuffled(spark):
+    order = (
+        "order_id string, customer_id string, session_id string, order_date date, shipping_cost_eur double, tax_eur double, order_status string, "
+        "payment_method string, is_first_order boolean, shipping_country_code string, created_at string"
+    )
+    orders = spark.createDataFrame([("o1", None, None, D[0], 1.0, 0.1, "paid", "card", True, "FR", None)], order)
+    lines = spark.createDataFrame([("o1", "1", "p0", 2, 5.0, 0.5, D[0])], "order_id string, line_item_id string, product_id string, quantity int, unit_price_eur double, discount_eur double, order_date date")
+    customers = spark.createDataFrame([("c1", "k1", True)], "customer_id string, customer_sk string, is_current boolean")
+    products = spark.createDataFrame([("p0", "s0", "n", "a", "b", "x", True)], "product_id string, product_sk string, product_name string, category_l1 string, category_l2 string, brand string, is_current boolean")
+    calendar = spark.createDataFrame([(D[0], 20240101)], "calendar_date date, time_sk int")
+    events = spark.createDataFrame([], BRONZE_EVENTS).withColumns({"event_ts": F.lit(None).cast("timestamp"), "event_date": F.lit(None).cast("date"), "referrer_channel": F.lit("")})
+    fact = facts.fact_order_lines(lines, orders, customers, products, calendar, events)
+    assert any("order-heads" in f for f in fact.inputFiles())
+    assert [(r.order_id, r.product_sk, r.customer_sk, r.time_sk) for r in fact.collect()] == [("o1", "s0", "-1", 20240101)]
